@@ -1,0 +1 @@
+"""Feature preparation, training and scoring of spend models."""
