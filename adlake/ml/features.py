@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,27 +90,26 @@ def impute_plan(frame: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def modes(frame: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value of each column, the lowest on ties.
 
-    Values are counted per column with map-side combining and only the best row of
-    each column travels on, so a frequent value costs no more than a rare one.
+    Columns of one type share a pass: values are counted per column with map-side
+    combining, so a frequent value costs no more than a rare one, and one best row
+    per column and task goes on to the final choice.
     """
-    if not columns:
-        return {}
-
-    def best(index: int, column: str) -> DataFrame:
-        value = F.col(f"`{column}`")
-        counted = frame.filter(value.isNotNull()).groupBy(value.alias("value")).count()
-        top = counted.orderBy(F.desc("count"), F.asc("value")).limit(1)
-        return top.select(F.lit(index).alias("place"), "value")
-
-    found: dict[str, object] = {}
+    found: dict[str, object] = dict.fromkeys(columns)
     by_type: dict[str, list[int]] = {}
     for i, c in enumerate(columns):
         by_type.setdefault(frame.schema[c].dataType.simpleString(), []).append(i)
-    for indexes in by_type.values():
-        tops = [best(i, columns[i]) for i in indexes]
-        for row in reduce(DataFrame.unionByName, tops).collect():
+    for places in by_type.values():
+        cells = [F.struct(F.lit(i).alias("place"), F.col(f"`{columns[i]}`").alias("value")) for i in places]
+        counted = (
+            frame.select(F.inline(F.array(*cells)))
+            .filter(F.col("value").isNotNull())
+            .groupBy("place", "value")
+            .agg(F.count("*").alias("uses"))
+        )
+        best = F.min(F.struct((-F.col("uses")).alias("order"), F.col("value"))).alias("best")
+        for row in counted.groupBy("place").agg(best).select("place", "best.value").collect():
             found[columns[row.place]] = row["value"]
-    return {c: found.get(c) for c in columns}
+    return found
 
 
 @dataclass(frozen=True)

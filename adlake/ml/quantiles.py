@@ -28,6 +28,10 @@ class _Search:
     high: object = None
     answer: object = None
 
+    @property
+    def band(self) -> tuple:
+        return self.column, self.low, self.high
+
     def between(self):
         value = F.col(self.column)
         test = value.isNotNull()
@@ -50,43 +54,60 @@ def rank_values(
     """
     searches = [_Search(c, rank, 0, count) for c, rank, count in ranks]
     while any(s.answer is None and s.inside > small_rows for s in searches):
-        wide = [i for i, s in enumerate(searches) if s.answer is None and s.inside > small_rows]
-        brackets = frame.agg(
-            *[
-                F.percentile_approx(
-                    F.when(searches[i].between(), F.col(searches[i].column)), _around(searches[i], accuracy), accuracy
-                ).alias(f"q{i}")
-                for i in wide
-            ]
-        ).first()
-        counted = []
-        for i in wide:
-            s, (left, right) = searches[i], brackets[f"q{i}"]
-            value = F.col(s.column)
-            inside = s.between()
-            counted += [
-                F.count_if(inside & (value < F.lit(left))).alias(f"lt{i}"),
-                F.count_if(inside & (value == F.lit(left))).alias(f"eql{i}"),
-                F.count_if(inside & (value > F.lit(left)) & (value < F.lit(right))).alias(f"mid{i}"),
-                F.count_if(inside & (value == F.lit(right))).alias(f"eqr{i}"),
-            ]
-        counts = frame.agg(*counted).first()
-        for i in wide:
-            sizes = [counts[f"{part}{i}"] for part in ("lt", "eql", "mid", "eqr")]
-            searches[i] = _narrow(searches[i], *brackets[f"q{i}"], *sizes)
-
-    rest = [i for i, s in enumerate(searches) if s.answer is None]
+        wide = [s for s in searches if s.answer is None and s.inside > small_rows]
+        brackets = _brackets(frame, wide, accuracy)
+        sizes = _sizes(frame, brackets)
+        searches = [_narrow(s, *brackets[s], *sizes[s]) if s in brackets else s for s in searches]
+
+    rest = list(dict.fromkeys(s for s in searches if s.answer is None))
     if rest:
-        sorted_values = [
-            F.sort_array(F.collect_list(F.when(s.between(), F.col(s.column)))) for s in searches
-        ]
-        found = frame.agg(
-            *[F.get(sorted_values[i], F.lit(searches[i].rank - searches[i].below)).alias(f"v{i}") for i in rest]
-        ).first()
-        searches = [replace(s, answer=found[f"v{i}"]) if i in rest else s for i, s in enumerate(searches)]
+        values = {
+            s.band: F.sort_array(F.collect_list(F.when(s.between(), F.col(s.column)))) for s in rest
+        }
+        lists = {band: f"l{i}" for i, band in enumerate(values)}
+        gathered = frame.agg(*[values[band].alias(name) for band, name in lists.items()])
+        found = gathered.select(*[F.get(lists[s.band], F.lit(s.rank - s.below)).alias(f"v{i}") for i, s in enumerate(rest)])
+        answers = dict(zip(rest, found.first()))
+        searches = [replace(s, answer=answers[s]) if s in answers else s for s in searches]
     return [s.answer for s in searches]
 
 
+def _brackets(frame: DataFrame, wide: Sequence[_Search], accuracy: int) -> dict[_Search, tuple]:
+    """Values close below and above each rank. Searches of one range share one sketch."""
+    points: dict[tuple, list[float]] = {}
+    spot: dict[_Search, tuple] = {}
+    for s in dict.fromkeys(wide):
+        asked = points.setdefault(s.band, [])
+        spot[s] = (s.band, len(asked))
+        share, margin = (s.rank - s.below) / s.inside, 2 / accuracy + 1 / s.inside
+        asked += [max(0.0, share - margin), min(1.0, share + margin)]
+    by_band = {s.band: s for s in spot}
+    found = frame.agg(
+        *[
+            F.percentile_approx(F.when(by_band[band].between(), F.col(band[0])), asked, accuracy).alias(f"q{i}")
+            for i, (band, asked) in enumerate(points.items())
+        ]
+    ).first()
+    sketch = dict(zip(points, found))
+    return {s: tuple(sketch[band][at : at + 2]) for s, (band, at) in spot.items()}
+
+
+def _sizes(frame: DataFrame, brackets: dict[_Search, tuple]) -> dict[_Search, list[int]]:
+    """Exact counts within each search range: below, at, between and at its brackets."""
+    counted = []
+    for s, (left, right) in brackets.items():
+        value, inside = F.col(s.column), s.between()
+        low, high = F.lit(left), F.lit(right)
+        counted += [
+            F.count_if(inside & (value < low)),
+            F.count_if(inside & (value == low)),
+            F.count_if(inside & (value > low) & (value < high)),
+            F.count_if(inside & (value == high)),
+        ]
+    counts = list(frame.agg(*[c.alias(f"c{i}") for i, c in enumerate(counted)]).first())
+    return {s: counts[4 * i : 4 * i + 4] for i, s in enumerate(brackets)}
+
+
 def medians(
     frame: DataFrame, counts: dict[str, int], small_rows: int = SMALL_ROWS, accuracy: int = ACCURACY
 ) -> dict[str, float | None]:
@@ -97,12 +118,6 @@ def medians(
     return {c: (float(pairs[c][0]) + float(pairs[c][1])) / 2 if c in pairs else None for c in counts}
 
 
-def _around(s: _Search, accuracy: int) -> list[float]:
-    share = (s.rank - s.below) / s.inside
-    margin = 2 / accuracy + 1 / s.inside
-    return [max(0.0, share - margin), min(1.0, share + margin)]
-
-
 def _narrow(s: _Search, left, right, lt: int, eql: int, mid: int, eqr: int) -> _Search:
     place = s.rank - s.below
     if place < lt:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from adlake.fixed import PREDICTION, TRAINING_SEED
 from adlake.ml.features import DATETIME, Fill, fit_impute, hash_share
+from adlake.session import materialize
 from adlake.sources.tables import TableStore
 
 LABEL = "_label"
@@ -78,7 +79,7 @@ def _numeric_stage(frame: DataFrame, inputs: Sequence[str], fills: Mapping[str,
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def default_grid(pipeline: Pipeline, prepare: Sequence, seed: int) -> list[dict]:
+def default_grid(pipeline: Pipeline, seed: int) -> list[dict]:
     """Candidates: regularised linear models, a random forest and boosted trees."""
     shared = {"featuresCol": "_features", "labelCol": LABEL, "predictionCol": PREDICTION}
     linear = LinearRegression(**shared)
@@ -86,12 +87,7 @@ def default_grid(pipeline: Pipeline, prepare: Sequence, seed: int) -> list[dict]
     boosted = GBTRegressor(seed=seed, maxIter=10, **shared)
 
     def candidates(estimator, param, values) -> list[dict]:
-        return (
-            ParamGridBuilder()
-            .baseOn({pipeline.stages: [*prepare, estimator]})
-            .addGrid(param, values)
-            .build()
-        )
+        return ParamGridBuilder().baseOn({pipeline.stages: [estimator]}).addGrid(param, values).build()
 
     return (
         candidates(linear, linear.regParam, [0.0, 0.1, 1.0])
@@ -100,6 +96,18 @@ def default_grid(pipeline: Pipeline, prepare: Sequence, seed: int) -> list[dict]
     )
 
 
+def preparation(frame: DataFrame, categorical: Sequence[str], fills: Sequence[Fill]) -> Pipeline:
+    """Filled numbers, indexed categories and one feature vector, as model stages."""
+    by_column = {f.column: f for f in fills}
+    numeric = [c for c in frame.columns if c not in categorical]
+    indexed = [f"_i_{c}" for c in categorical]
+    stages = [_numeric_stage(frame, numeric, by_column)]
+    if categorical:
+        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[f"_f_{c}" for c in numeric] + indexed, outputCol="_features"))
+    return Pipeline(stages=stages)
+
+
 def train(
     frame: DataFrame,
     target: str,
@@ -113,25 +121,22 @@ def train(
 ) -> Trained:
     """Cross-validate at most `trials` candidates and keep the best one's refit.
 
-    Rows without a target are left out, fill values come from this frame alone, and
-    folds are set by row hash, so a recomputed partition keeps its fold. Pass a
-    written table: each candidate reads it again.
+    Rows without a target are left out, and fill values come from this frame alone.
+    Features are prepared and written once for all candidates. Folds are set by row
+    hash, so a recomputed partition keeps its fold.
     """
     rows = frame.filter(F.col(target).isNotNull())
     inputs = [c for c in frame.columns if c != target]
-    numeric = [c for c in inputs if c not in categorical]
-    fills = {f.column: f for f in fit_impute(rows.select(*numeric))}
-    indexed = [f"_i_{c}" for c in categorical]
-    prepare = [_numeric_stage(frame, numeric, fills)]
-    if categorical:
-        prepare.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    prepare.append(VectorAssembler(inputCols=[f"_f_{c}" for c in numeric] + indexed, outputCol="_features"))
-
-    pipeline = Pipeline(stages=[])
-    candidates = grid(pipeline, prepare, seed)[:trials]
+    given = rows.select(*inputs)
+    fills = fit_impute(given.select(*[c for c in inputs if c not in categorical]))
+    prepared = preparation(given, categorical, fills).fit(given)
     labelled = rows.withColumns(
         {LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")}
     )
+    ready = materialize(prepared.transform(labelled).select("_features", LABEL, "_fold"), "features")
+
+    pipeline = Pipeline(stages=[])
+    candidates = grid(pipeline, seed)[:trials]
     search = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=candidates,
@@ -140,7 +145,7 @@ def train(
         parallelism=parallelism,
         seed=seed,
         foldCol="_fold",
-    ).fit(labelled)
+    ).fit(ready)
     averages = [float(m) for m in search.avgMetrics]
     best = max(averages) if search.getEvaluator().isLargerBetter() else min(averages)
     measured = [
@@ -150,7 +155,8 @@ def train(
     metrics = frame.sparkSession.createDataFrame(
         measured, f"trial int, estimator string, {metric} double, best boolean"
     )
-    return Trained(search.bestModel, signature_of(frame, inputs), metrics)
+    model = PipelineModel([*prepared.stages, *search.bestModel.stages])
+    return Trained(model, signature_of(frame, inputs), metrics)
 
 
 def score(

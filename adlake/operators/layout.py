@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import inf
+from math import ceil, inf
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -35,7 +35,8 @@ def z_rank(frame: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame
             splits=[-inf, *last, inf], inputCol=n, outputCol=f"_b{i}", handleInvalid="keep"
         )
         placed = splitter.transform(placed)
-        rank = F.get(F.lit([0, *last.values()]), F.col(f"_b{i}").cast("int")).cast("bigint")
+        of_split = F.from_json(F.lit(str([0, *last.values()])), "array<bigint>")
+        rank = F.get(of_split, F.col(f"_b{i}").cast("int"))
         ranks[f"_r{i}"] = F.when(F.col(n).isNull(), F.lit(0).cast("bigint")).otherwise(rank)
     return placed.withColumns(ranks).drop(*numbers, *[f"_b{i}" for i in range(len(columns))])
 
@@ -71,6 +72,11 @@ def zorder(frame: DataFrame, columns: Sequence[str], files: int, bits: int = 8)
     return laid.drop("_z", "_spread")
 
 
+def file_count(rows: int, cores: int, rows_per_file: int = 1_000_000, least_rows: int = 50_000) -> int:
+    """Files for a table: sized by rows, and no fewer than the cores while they stay worthwhile."""
+    return max(1, ceil(rows / rows_per_file), min(cores, rows // least_rows))
+
+
 def file_ranges(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and per-column minimum and maximum of each file behind a table."""
     return (

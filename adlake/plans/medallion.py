@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adlake.fixed import GRAIN, MONEY, VALID
 from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe, round_money, union_feeds
 from adlake.operators.keys import dimension
-from adlake.operators.layout import zorder
+from adlake.operators.layout import file_count, zorder
 from adlake.operators.pick import pick_member
 from adlake.operators.quality import PERFORMANCE_RULES, Rule, source_counts, split_valid, valid_rows
 from adlake.operators.star import (
@@ -25,6 +25,7 @@ from adlake.operators.star import (
 from adlake.plans.graph import Ontology, performance_ontology
 from adlake.plans.performance import performance_model
 from adlake.plans.semantic import Model
+from adlake.session import materialize
 from adlake.sources.tables import TableStore, align_to_schema
 
 SILVER = "conformed/marketing_performance"
@@ -105,7 +106,8 @@ class Medallion:
         """Write dimensions, fact and daily product; fact and product in z-order.
 
         Dimensions are written before the fact reads them: their file size is then known
-        and decides how they are joined.
+        and decides how they are joined. The daily product is summed once and stored
+        before its layout, which reads it several times.
         """
         silver = self.store.read(SILVER)
         self.store.write(calendar(silver, "event_date"), GOLD["date"])
@@ -113,19 +115,20 @@ class Medallion:
         self.store.write(dimension(silver, CAMPAIGN_KEY, "campaign_key"), GOLD["campaign"])
         self.store.write(product_dimension(silver), GOLD["product"])
         channels, campaigns = self.store.read(GOLD["channel"]), self.store.read(GOLD["campaign"])
-        self.store.write(performance_fact(silver, channels, campaigns, self.null_safe_keys), GOLD["fact"])
-        self.store.write(campaign_daily(self.store.read(GOLD["fact"]), channels, campaigns), GOLD["daily"])
-        self.optimize(files)
+        fact = performance_fact(silver, channels, campaigns, self.null_safe_keys)
+        self.store.write(zorder(fact, LAYOUT, files or self._files(silver)), GOLD["fact"])
+        daily = materialize(campaign_daily(self.store.read(GOLD["fact"]), channels, campaigns), "campaign_daily")
+        self.store.write(zorder(daily, LAYOUT, files or self._files(daily)), GOLD["daily"])
         return self.gold()
 
     def optimize(self, files: int | None = None) -> None:
-        """Rewrite fact and daily product clustered on date and campaign."""
+        """Cluster fact and daily product anew, after appends."""
         for name in ("fact", "daily"):
             table = self.store.read(GOLD[name])
             self.store.write(zorder(table, LAYOUT, files or self._files(table)), GOLD[name])
 
-    def _files(self, table: DataFrame, rows_per_file: int = 4_000_000) -> int:
-        return max(1, -(-table.count() // rows_per_file))
+    def _files(self, table: DataFrame) -> int:
+        return file_count(table.count(), self.spark.sparkContext.defaultParallelism)
 
     def gold(self) -> dict[str, DataFrame]:
         return {name: self.store.read(path) for name, path in GOLD.items()}

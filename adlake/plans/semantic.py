@@ -15,6 +15,7 @@ from adlake.functions import display, divide
 from adlake.operators.pick import top_with_ties
 
 KEY_LIST = 256
+KEY_TABLE = 200_000
 COMPARISONS = {
     ">": operator.gt,
     ">=": operator.ge,
@@ -145,8 +146,9 @@ class Model:
         """Fact under the filters, and for each filtered dimension how to join it still.
 
         A dimension filter that selects few members becomes a key list on the fact
-        scan, where it skips files and needs no join. A longer one joins its members,
-        after a key range where keys follow the filtered column.
+        scan, where it skips files and needs no join. A longer one becomes a key range
+        where keys follow the filtered column, and a semi join with the counted keys.
+        Only members too many to broadcast wait for the summed fact.
         """
         fact, by_dimension = self.fact, {}
         joins: dict[str, tuple[DataFrame, str]] = {}
@@ -170,7 +172,12 @@ class Model:
             if any(f.column == f"{name}.{dim.monotone}" for f, _ in tests):
                 low, high = chosen.agg(F.min(dim.key), F.max(dim.key)).first()
                 fact = fact.filter(F.col(dim.fact_key).between(low, high))
-            joins[name] = (chosen, "inner")
+            if chosen.select(dim.key).limit(KEY_TABLE + 1).count() <= KEY_TABLE:
+                wanted = chosen.select(F.col(dim.key).alias(dim.fact_key))
+                fact = fact.join(F.broadcast(wanted), dim.fact_key, "left_semi")
+                joins[name] = (chosen, "resolved")
+            else:
+                joins[name] = (chosen, "inner")
         return fact, joins, late
 
     def _grouped(

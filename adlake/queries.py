@@ -476,9 +476,11 @@ _TRAINED: dict[int, training.Trained] = {}
 
 
 def training_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
-    """Train and test features of a bounded sample of silver, written once."""
+    """Train and test features of a bounded sample of silver, written once in even parts."""
     sample = pick.bounded_sample(at.silver, GRAIN, TRAINING_ROWS)
-    rows = materialize(features.feature_frame(sample, categorical=["source_system", "region"]), "training")
+    parts = layout.file_count(TRAINING_ROWS, at.spark.sparkContext.defaultParallelism, least_rows=5_000)
+    even = features.feature_frame(sample, categorical=["source_system", "region"]).repartition(parts, *GRAIN)
+    rows = materialize(even, "training")
     return features.hash_split(rows, rows.columns, 0.8, TRAINING_SEED)
 
 

@@ -13,14 +13,15 @@ from adlake.sources.tables import batch_stamp
 
 
 def explode_records(
-    spark: SparkSession, path: str | Sequence[str], field: str, record: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], field: str, record: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
     """One row per record of the list `field` in each JSON document under `path`.
 
     With ``multi_line`` a file is one document; otherwise each line is one, and
     large files split over tasks.
     """
-    document = T.StructType([T.StructField(field, T.ArrayType(record))])
+    kind = f"struct<{record}>" if isinstance(record, str) else record.simpleString()
+    document = f"`{field}` array<{kind}>"
     documents = spark.read.schema(document).option("multiLine", multi_line).json(path)
     return documents.select(F.explode(field).alias("r")).select("r.*")
 
