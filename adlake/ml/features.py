@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from adlake.ml.quantiles import SMALL_ROWS, medians
 from adlake.operators.fill import ffill
+from adlake.operators.pick import row_digest
 
 SKEW_LIMIT = 1.0
 DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -176,7 +177,8 @@ def fill_datetimes(
 
 def hash_share(keys: Sequence[str], seed: int, parts: int = 100) -> Column:
     """A row's fixed place in 0 .. parts-1, set by its key and the seed alone."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed)), F.lit(parts))
+    digest = F.substring(row_digest(keys, seed), 1, 8)
+    return F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(parts))
 
 
 def hash_split(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:

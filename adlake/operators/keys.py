@@ -27,7 +27,7 @@ def dense_key(
     sort = [F.col(c).asc_nulls_first() for c in order]
     if rows <= small_rows:
         return frame.withColumn(key_name, F.row_number().over(Window.orderBy(*sort)))
-    bounds = sample_bounds(frame, order, buckets or max(8, bucket_count(rows)), rows)
+    bounds = sample_bounds(frame, order, buckets or bucket_count(rows), rows)
     placed = frame.withColumn("_bucket", bucket_of(frame, order, bounds))
     counts = dict(placed.groupBy("_bucket").count().collect())
     starts, total = [], 0
@@ -51,6 +51,15 @@ def dimension(
     return dense_key(members, natural_key, key_name, small_rows)
 
 
+def unkeyed_rows(frame: DataFrame, dim: DataFrame, natural_key: Sequence[str]) -> DataFrame:
+    """Natural keys an inner join on them would drop (a null part, or no member), with their rows.
+
+    Rows are counted per key first, so a hot key reaches the join once per task.
+    """
+    used = frame.groupBy(*natural_key).agg(F.count("*").alias("rows"))
+    return used.join(dim.select(*natural_key), list(natural_key), "left_anti")
+
+
 def attach_keys(
     fact: DataFrame, dim: DataFrame, natural_key: Sequence[str], key_name: str, null_safe: bool = False
 ) -> DataFrame:

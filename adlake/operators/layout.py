@@ -7,12 +7,15 @@ from functools import reduce
 from math import ceil, inf
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Z_BITS = 16
+COLUMN_BITS = 8
 
-def z_rank(frame: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
+
+def z_rank(frame: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     """The frame with ``_r0``, ``_r1``, ...: each numeric or date column's quantile, 0 .. 2^bits - 1.
 
     Quantiles stretch every column over the whole bit range, so a column of five
@@ -47,7 +50,7 @@ def _number(frame: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
-def z_value(ranks: Sequence[Column], bits: int = 8) -> Column:
+def z_value(ranks: Sequence[Column], bits: int) -> Column:
     """The bits of all ranks interleaved, highest first."""
     one = F.lit(1).cast("bigint")
     taken = [
@@ -58,18 +61,36 @@ def z_value(ranks: Sequence[Column], bits: int = 8) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), taken)
 
 
-def zorder(frame: DataFrame, columns: Sequence[str], files: int, bits: int = 8) -> DataFrame:
-    """The same rows, range-partitioned and sorted by z-value.
+def zorder(frame: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+    """The same rows in `files` partitions of even size, each a run of the z-order.
 
-    A hash of the row breaks ties, so a single hot z-value spreads over several
-    partitions instead of making one oversized file.
+    Z-values have at most ``Z_BITS`` bits, so counting rows per value gives a table of
+    bounded size, and running counts say exactly which partitions a value fills. A hot
+    value fills several: its rows are spread over them by hash. Both passes that decide
+    the layout read the key columns only, and a partition's rows are fixed by the data.
     """
+    bits = max(1, min(COLUMN_BITS, Z_BITS // len(columns)))
+    ranks = [F.col(f"_r{i}") for i in range(len(columns))]
     ranked = z_rank(frame, columns, bits)
-    names = [f"_r{i}" for i in range(len(columns))]
+    placed = ranked.select(*[F.col(f"`{c}`") for c in frame.columns], z_value(ranks, bits).alias("_z"))
+
+    counts = placed.groupBy("_z").agg(F.count("*").alias("_rows"))
+    running = Window.orderBy("_z").rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.partitionBy()
+    ends = counts.select(
+        "_z", "_rows", F.sum("_rows").over(running).alias("_end"), F.sum("_rows").over(everything).alias("_all")
+    )
+    per_file = F.col("_all") / F.lit(files)
+    places = ends.select(
+        "_z",
+        F.floor((F.col("_end") - F.col("_rows")) / per_file).alias("_first"),
+        F.floor((F.col("_end") - 1) / per_file).alias("_last"),
+    )
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns])
-    placed = ranked.withColumns({"_z": z_value([F.col(n) for n in names], bits), "_spread": spread})
-    laid = placed.drop(*names).repartitionByRange(files, "_z", "_spread").sortWithinPartitions("_z")
-    return laid.drop("_z", "_spread")
+    part = F.col("_first") + F.pmod(spread, F.col("_last") - F.col("_first") + 1)
+    laid = placed.join(F.broadcast(places), "_z").withColumn("_part", F.least(part, F.lit(files - 1)).cast("int"))
+    kept = [F.col(f"`{c}`") for c in frame.columns]
+    return laid.repartitionById(files, F.col("_part")).sortWithinPartitions("_z").select(*kept)
 
 
 def file_count(rows: int, cores: int, rows_per_file: int = 1_000_000, least_rows: int = 50_000) -> int:

@@ -17,9 +17,9 @@ def latest_rows(frame: DataFrame, by: str, limit: int, ties: Sequence[str] | Non
     return frame.orderBy(F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in rest]).limit(limit)
 
 
-def row_digest(keys: Sequence[str]) -> Column:
-    """Hex digest of a key; the same in every engine that has md5."""
-    return F.md5(text_key(*[F.col(k) for k in keys]))
+def row_digest(keys: Sequence[str], *seed: int) -> Column:
+    """Hex digest of a key, varied by a seed; the same in every engine that has md5."""
+    return F.md5(text_key(*[F.col(f"`{k}`") for k in keys], *[F.lit(s) for s in seed]))
 
 
 def bounded_sample(frame: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
@@ -44,7 +44,7 @@ def bounded_sample(frame: DataFrame, keys: Sequence[str], limit: int) -> DataFra
 
 def pick_member(dim: DataFrame, key: str, seed: int) -> DataFrame:
     """One member of a dimension, fixed by the seed."""
-    return dim.select(key).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(1)
+    return dim.select(key).orderBy(row_digest([key], seed), key).limit(1)
 
 
 def top_with_ties(frame: DataFrame, by: str, n: int) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+MIN_BUCKETS = 8
+MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 20
 _FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -24,7 +25,7 @@ _FORMATS = {
 
 
 def bucket_count(rows: int) -> int:
-    return max(1, min(MAX_BUCKETS, ceil(rows / ROWS_PER_BUCKET)))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, ceil(rows / ROWS_PER_BUCKET)))
 
 
 def _as_json(columns: Sequence[str]) -> Column:

@@ -30,7 +30,6 @@ from adlake.sources.tables import TableStore, align_to_schema
 
 SILVER = "conformed/marketing_performance"
 AUDIT = "audit/source_row_counts"
-REJECTED = "audit/rejected_rows"
 GOLD = {
     "date": "dimensions/dim_date",
     "channel": "dimensions/dim_channel",

@@ -107,7 +107,7 @@ def brand_leads(m: Model) -> DataFrame:
 
 
 def brand_lookup(m: Model) -> DataFrame:
-    """Every product with its attributes and performance, where it has any."""
+    """Promoted products with their attributes and performance."""
     columns = ["Product.Brand", "Product.Category", "Product.Product", "Product.Availability Status"]
     return m.query(
         columns, ["Total Spend", "Total Revenue", "Return on Ad Spend"],

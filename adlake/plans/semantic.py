@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions import display, divide
 from adlake.operators.pick import top_with_ties
+from adlake.session import materialize
 
 KEY_LIST = 256
 KEY_TABLE = 200_000
@@ -301,11 +302,12 @@ class Model:
         Per level: the `bars` largest members under each shown parent, their rank, value
         and share of the parent. Every shown member is opened, or only the ``selected`` one
         (shown or not) on levels that name one.
-        One row per bar; columns of deeper levels are null.
+        One row per bar; columns of deeper levels are null. The fact is summed once, at
+        the finest level, and stored; all levels are sums of that.
         """
         selected = dict(selected or {})
         sums = self._sums_behind([measure])
-        finest = self._grouped(path, sums, filters)
+        finest = materialize(self._grouped(path, sums, filters), "decomposition")
         names = [slug(c) for c in path]
         additive = not self.measures[measure].ratio
 

@@ -114,7 +114,8 @@ def append_aligned(spark: SparkSession, folder: str) -> DataFrame:
 
 def zorder_layout(spark: SparkSession, folder: str) -> DataFrame:
     fact = lake(spark, folder).gold["fact"]
-    return fact_columns(layout.zorder(fact, ["date_key", "campaign_key"], files=8))
+    files = layout.file_count(fact.count(), spark.sparkContext.defaultParallelism)
+    return fact_columns(layout.zorder(fact, ["date_key", "campaign_key"], files))
 
 
 def load_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +192,7 @@ def dim_product(spark: SparkSession, folder: str) -> DataFrame:
 
 def surrogate_key_large(spark: SparkSession, folder: str) -> DataFrame:
     members = materialize(source(spark, folder, "orders").select("o_custkey", "o_orderkey").distinct(), "order_members")
-    return keys.dense_key(members, ["o_custkey", "o_orderkey"], "order_key", small_rows=0, buckets=16)
+    return keys.dense_key(members, ["o_custkey", "o_orderkey"], "order_key", small_rows=0)
 
 
 def fact_build(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,7 +464,22 @@ def ffill(spark: SparkSession, folder: str) -> DataFrame:
     gaps = events.select(
         "user_id", "ts", "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
     )
-    return fill.ffill(gaps, ["value"], ["user_id"], ["ts", "event_id"], buckets=16)
+    return fill.ffill(gaps, ["value"], ["user_id"], ["ts", "event_id"])
+
+
+def fill_datetimes(spark: SparkSession, folder: str) -> DataFrame:
+    """Event days, missing on error events: the user's last known day, else the most frequent day."""
+    events = source(spark, folder, "events")
+    gaps = events.select(
+        "user_id", "event_id", F.when(F.col("event_type") != "error", F.col("ts").cast("date")).alias("day")
+    )
+    return features.fill_datetimes(gaps, features.fit_impute(gaps.select("day")), ["user_id"], ["event_id"])
+
+
+def natural_key_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Signals whose campaign variant the dimension lacks, as the fact join would drop them."""
+    at = lake(spark, folder)
+    return keys.unkeyed_rows(PLAN.unioned(at.feeds), at.gold["campaign"].filter("campaign_id > 101"), star.CAMPAIGN_KEY)
 
 
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -472,7 +488,7 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
-_TRAINED: dict[int, training.Trained] = {}
+_TRAINED: dict[Lake, training.Trained] = {}
 
 
 def training_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
@@ -485,10 +501,10 @@ def training_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
 
 
 def trained(at: Lake) -> training.Trained:
-    if id(at) not in _TRAINED:
+    if at not in _TRAINED:
         train, _ = training_rows(at)
-        _TRAINED[id(at)] = training.train(train, "spend", categorical=["source_system", "region"])
-    return _TRAINED[id(at)]
+        _TRAINED[at] = training.train(train, "spend", categorical=["source_system", "region"])
+    return _TRAINED[at]
 
 
 def train_eval(spark: SparkSession, folder: str) -> DataFrame:
@@ -542,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "derive_attributes": derive_attributes,
     "seasonality_index": seasonality_index,
     "fk_orphans": fk_orphans,
+    "natural_key_gaps": natural_key_gaps,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_distinct_counts": dq_distinct_counts,
     "dq_complete_attrs": dq_complete_attrs,
@@ -579,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "impute_stats": impute_stats,
     "impute_apply": impute_apply,
     "ffill": ffill,
+    "fill_datetimes": fill_datetimes,
     "train_test_split": train_test_split,
     "train_eval": train_eval,
     "batch_score": batch_score,

@@ -222,6 +222,7 @@ def orphans(label: str, dim: str, key: str, columns: str) -> str:
     )
 
 
+GRAIN_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce(cast({k} as varchar), '∅')" for k in GRAIN.split(", ")) + "{seed})"
 DIMS = [
     ("Date", "known_date", "date_key"),
     ("Channel", "dim_channel", "channel_key"),
@@ -519,9 +520,16 @@ ORACLES = {
         'select brand as "Brand", campaign as "Campaign", count(*) as paths from gold group by 1, 2'
     ),
     "bounded_sample": chained(
-        f"select {GRAIN}, cast(spend as double) as spend from (select *, md5(concat_ws(chr(31), "
-        + ", ".join(f"coalesce(cast({k} as varchar), '∅')" for k in GRAIN.split(", "))
-        + f")) as digest from silver) order by digest, {GRAIN} limit 10000"
+        f"select {GRAIN}, cast(spend as double) as spend from (select *, md5({GRAIN_TEXT.format(seed='')}) as digest "
+        f"from silver) order by digest, {GRAIN} limit 10000"
+    ),
+    "pick_member": chained(
+        "select product_key from dim_product order by md5(concat_ws(chr(31), cast(product_key as varchar), '41')), "
+        "product_key limit 1"
+    ),
+    "train_test_split": chained(
+        "select case when share < 8000 then 'train' else 'test' end as split, count(*) as rows from (select "
+        f"cast('0x' || substr(md5({GRAIN_TEXT.format(seed=", '41'")}), 1, 8) as bigint) % 10000 as share from silver) group by 1"
     ),
     "drop_null_columns": chained(
         f"select * exclude (device_category) from (select {CANON} from canon0 where source_system = 'Meta Ads')"
@@ -554,6 +562,15 @@ ORACLES = {
         + " from gapped",
         GAPPED,
     ),
+    "natural_key_gaps": chained(
+        "select campaign_id, campaign_name, campaign_objective, count(*) as rows from canon0 c where not exists "
+        "(select 1 from dim_campaign d where d.campaign_id > 101 and d.campaign_id = c.campaign_id "
+        "and d.campaign_name = c.campaign_name and d.campaign_objective = c.campaign_objective) group by 1, 2, 3"
+    ),
+    "fill_datetimes": """with days as (select user_id, event_id, case when event_type <> 'error' then cast(ts as date) end as day
+        from events) select user_id, event_id, coalesce(last_value(day ignore nulls) over (partition by user_id order by event_id
+        rows between unbounded preceding and current row), (select day from days where day is not null group by day
+        order by count(*) desc, day limit 1)) as day from days""",
     "ffill": """select user_id, ts, event_id, last_value(case when event_type <> 'error' then value end ignore nulls)
         over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as value
         from events""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from adlake.ml.quantiles import medians, rank_values
 from adlake.operators import pick
 from adlake.operators.fill import ffill
-from adlake.operators.keys import attach_keys, dense_key, dimension
+from adlake.operators.keys import attach_keys, dense_key, dimension, unkeyed_rows
 from adlake.operators.layout import file_count, file_ranges, zorder
 from adlake.operators.ranges import bucket_of, sample_bounds
 from adlake.session import materialize
@@ -58,6 +58,7 @@ def test_null_keys_drop_unless_null_safe(spark):
     assert attach_keys(fact, dim, ["x"], "k").count() == 1
     safe = attach_keys(fact, dim, ["x"], "k", null_safe=True)
     assert safe.columns == ["x", "v", "k"] and safe.count() == 2
+    assert rows(unkeyed_rows(fact, dim, ["x"])) == [(None, 1)]
 
 
 @pytest.fixture(scope="module")
