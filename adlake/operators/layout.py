@@ -15,33 +15,31 @@ Z_BITS = 16
 COLUMN_BITS = 8
 
 
-def z_rank(frame: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
-    """The frame with ``_r0``, ``_r1``, ...: each numeric or date column's quantile, 0 .. 2^bits - 1.
+def z_value(frame: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """The frame with ``_z``: the bits of each numeric or date column's quantile, interleaved.
 
     Quantiles stretch every column over the whole bit range, so a column of five
-    values clusters as well as one of five thousand. Nulls come first.
+    values clusters as well as one of five thousand. Nulls come first. A column's
+    quantile is found by binary search, its spread bits by a lookup.
     """
     steps = 2**bits
     points = [i / steps for i in range(1, steps)]
     numbers = {f"_n{i}": _number(frame, c) for i, c in enumerate(columns)}
-    numbered = frame.withColumns(numbers)
-    found = numbered.agg(*[F.percentile_approx(n, points, 10 * steps).alias(n) for n in numbers]).first()
-    placed, ranks = numbered, {}
+    placed = frame.withColumns(numbers)
+    found = placed.agg(*[F.percentile_approx(n, points, 10 * steps).alias(n) for n in numbers]).first()
+    shares = []
     for i, n in enumerate(numbers):
-        cuts = found[n] or []
         # A value of many rows is several quantiles at once: its rank is the last of them.
-        last = {cut: place for place, cut in enumerate(cuts, start=1)}
+        last = {cut: place for place, cut in enumerate(found[n] or [], start=1)}
         if not last:
-            ranks[f"_r{i}"] = F.lit(0).cast("bigint")
             continue
-        splitter = Bucketizer(
-            splits=[-inf, *last, inf], inputCol=n, outputCol=f"_b{i}", handleInvalid="keep"
-        )
+        splitter = Bucketizer(splits=[-inf, *last, inf], inputCol=n, outputCol=f"_b{i}", handleInvalid="keep")
         placed = splitter.transform(placed)
-        of_split = F.from_json(F.lit(str([0, *last.values()])), "array<bigint>")
-        rank = F.get(of_split, F.col(f"_b{i}").cast("int"))
-        ranks[f"_r{i}"] = F.when(F.col(n).isNull(), F.lit(0).cast("bigint")).otherwise(rank)
-    return placed.withColumns(ranks).drop(*numbers, *[f"_b{i}" for i in range(len(columns))])
+        spread = [_spread_bits(rank, bits, len(columns), i) for rank in [0, *last.values()]]
+        looked_up = F.get(F.from_json(F.lit(str(spread)), "array<bigint>"), F.col(f"_b{i}").cast("int"))
+        shares.append(F.when(F.col(n).isNull(), F.lit(0).cast("bigint")).otherwise(looked_up))
+    z = reduce(lambda a, b: a.bitwiseOR(b), shares) if shares else F.lit(0).cast("bigint")
+    return placed.select(*[F.col(f"`{c}`") for c in frame.columns], z.alias("_z"))
 
 
 def _number(frame: DataFrame, column: str) -> Column:
@@ -50,15 +48,8 @@ def _number(frame: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
-def z_value(ranks: Sequence[Column], bits: int) -> Column:
-    """The bits of all ranks interleaved, highest first."""
-    one = F.lit(1).cast("bigint")
-    taken = [
-        F.shiftleft(F.shiftright(rank, bit).bitwiseAND(one), bit * len(ranks) + place)
-        for bit in range(bits)
-        for place, rank in enumerate(ranks)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), taken)
+def _spread_bits(rank: int, bits: int, columns: int, place: int) -> int:
+    return sum((rank >> bit & 1) << (bit * columns + place) for bit in range(bits))
 
 
 def zorder(frame: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
@@ -70,10 +61,7 @@ def zorder(frame: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     the layout read the key columns only, and a partition's rows are fixed by the data.
     """
     bits = max(1, min(COLUMN_BITS, Z_BITS // len(columns)))
-    ranks = [F.col(f"_r{i}") for i in range(len(columns))]
-    ranked = z_rank(frame, columns, bits)
-    placed = ranked.select(*[F.col(f"`{c}`") for c in frame.columns], z_value(ranks, bits).alias("_z"))
-
+    placed = z_value(frame, columns, bits)
     counts = placed.groupBy("_z").agg(F.count("*").alias("_rows"))
     running = Window.orderBy("_z").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
