@@ -7,18 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlake.llm.substrings import repeated_windows
+from adlake.llm.suffixes import repeated_substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_substrings(table(spark, folder, "documents"), whole=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_windows(table(spark, folder, "documents"), whole=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_array": op3_suffix_array,
     "op7_substring_dedup": op7_substring_dedup,
 }
 
