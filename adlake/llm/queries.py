@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adlake.llm.decontaminate import contamination
+from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
 
@@ -24,9 +26,22 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Trusted: what labels mark as of quality 1."""
+    trusted = table(spark, folder, "labels").filter("quality = 1")
+    return quality_rules(table(spark, folder, "documents"), trusted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array": op3_suffix_array,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_decontamination": op9_decontamination,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
