@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlake.llm.decontaminate import contamination
+from adlake.llm.jaccard import similarity_components
 from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
@@ -21,6 +22,10 @@ def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity_components(table(spark, folder, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_windows(table(spark, folder, "documents"), whole=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -39,6 +44,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array": op3_suffix_array,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
