@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlake.llm.decontaminate import contamination
+from adlake.llm.embedding import quality_scores
 from adlake.llm.jaccard import similarity_components
+from adlake.llm.language import predicted_languages
 from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
@@ -17,6 +19,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return predicted_languages(table(spark, folder, "documents"))
+
+
 def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_substrings(table(spark, folder, "documents"), whole=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -31,6 +37,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -43,9 +53,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_suffix_array": op3_suffix_array,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
