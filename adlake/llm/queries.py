@@ -13,12 +13,17 @@ from adlake.llm.language import predicted_languages
 from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
+from adlake.llm.wavelet import tokenized
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenized(table(spark, folder, "documents"))
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted_languages(table(spark, folder, "documents"))
 
@@ -53,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_language_id": op2_language_id,
     "op3_suffix_array": op3_suffix_array,
     "op4_jaccard_join": op4_jaccard_join,
