@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlake.llm.decontaminate import contamination
 from adlake.llm.embedding import quality_scores
 from adlake.llm.jaccard import similarity_components
 from adlake.llm.language import predicted_languages
+from adlake.llm.mixing import mixed
 from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
@@ -37,6 +39,24 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similarity_components(table(spark, folder, "documents"))
 
 
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The domain of a document: the number at the end of its source, modulo 4; domain0 without one."""
+    number = F.try_to_number(F.nullif(F.regexp_extract("source", r"(\d{1,9})$", 1), F.lit("")), F.lit("999999999"))
+    return docs.withColumn("domain", F.concat(F.lit("domain"), F.coalesce(number.cast("long") % 4, F.lit(0)).cast("string")))
+
+
+def mix_weights(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """English counts four times as much as any other language of its domain, and src0 half as much as any other source of its leaf's parent."""
+    langs = docs.select("domain").distinct().select("domain", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(4).alias("weight"))
+    nodes = docs.select("domain", "lang", "source").filter("lang is not null and source is not null").distinct()
+    return langs.unionAll(nodes.select("domain", "lang", "source", F.when(F.col("source") == "src0", 1).otherwise(2)))
+
+
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_domain(table(spark, folder, "documents"))
+    return mixed(docs, mix_weights(spark, docs))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_windows(table(spark, folder, "documents"), whole=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -62,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_suffix_array": op3_suffix_array,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_source_mix": op5_source_mix,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
@@ -69,6 +90,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_source_mix": r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    'domain' || coalesce(TRY_CAST(nullif(regexp_extract(source, '(\d{1,9})$', 1), '') AS BIGINT) % 4, 0) AS domain,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents),
+leaf AS MATERIALIZED (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS n, 3 * sum(n_tokens)::HUGEINT AS cap, CASE WHEN source = 'src0' THEN 1 ELSE 2 END AS w FROM d GROUP BY ALL),
+a0 AS (SELECT domain, sum(cap) AS cap, 1 AS w, (SELECT sum(n) FROM leaf) AS budget FROM leaf GROUP BY ALL),
+a1 AS (SELECT *, budget - coalesce(sum(cap) OVER (ORDER BY cap / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l, sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM a0),
+a2 AS (SELECT *, l > 0 AND cap * ws <= l * w AS f FROM a1),
+a3 AS (SELECT *, budget - coalesce(sum(cap) FILTER (f) OVER (), 0) AS rest, sum(w) FILTER (NOT f) OVER () AS sh FROM a2),
+a AS (SELECT domain, CASE WHEN f THEN cap WHEN sh > 0 THEN (rest * w) // sh ELSE 0 END AS share FROM a3),
+b0 AS (SELECT domain, lang, sum(cap) AS cap, CASE WHEN lang = 'en' THEN 4 ELSE 1 END AS w, any_value(a.share) AS budget FROM leaf JOIN a USING (domain) GROUP BY ALL),
+b1 AS (SELECT *, budget - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l, sum(w) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM b0),
+b2 AS (SELECT *, l > 0 AND cap * ws <= l * w AS f FROM b1),
+b3 AS (SELECT *, budget - coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain), 0) AS rest, sum(w) FILTER (NOT f) OVER (PARTITION BY domain) AS sh FROM b2),
+b AS (SELECT domain, lang, CASE WHEN f THEN cap WHEN sh > 0 THEN (rest * w) // sh ELSE 0 END AS share FROM b3),
+c0 AS (SELECT leaf.*, b.share AS budget FROM leaf JOIN b USING (domain, lang)),
+c1 AS (SELECT *, budget - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l, sum(w) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM c0),
+c2 AS (SELECT *, l > 0 AND cap * ws <= l * w AS f FROM c1),
+c3 AS (SELECT *, budget - coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain, lang), 0) AS rest, sum(w) FILTER (NOT f) OVER (PARTITION BY domain, lang) AS sh FROM c2),
+c AS (SELECT domain, lang, source, n, CASE WHEN f THEN cap WHEN sh > 0 THEN (rest * w) // sh ELSE 0 END AS share FROM c3),
+plan AS MATERIALIZED (SELECT domain, lang, source, CAST(CASE WHEN n > 0 THEN share // n ELSE 0 END AS BIGINT) AS epochs, CAST(share - CASE WHEN n > 0 THEN share // n ELSE 0 END * n AS BIGINT) AS r FROM c),
+uses AS (
+  SELECT doc_id, d.domain, d.lang, d.source, unnest(range(0, epochs)) AS epoch, n_tokens, n_tokens AS taken FROM d JOIN plan USING (domain, lang, source)
+  UNION ALL
+  SELECT doc_id, domain, lang, source, epochs, n_tokens, least(n_tokens, r - s) FROM (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || epochs || ':' || doc_id), doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS s
+    FROM d JOIN plan USING (domain, lang, source) WHERE r > 0) WHERE s < r)
+SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch, n_tokens, CAST(taken AS BIGINT) AS taken FROM uses
+""",
     "op7_substring_dedup": r"""
 WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 win AS MATERIALIZED (
