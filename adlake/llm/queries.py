@@ -11,6 +11,7 @@ from adlake.llm.decontaminate import contamination
 from adlake.llm.embedding import quality_scores
 from adlake.llm.jaccard import similarity_components
 from adlake.llm.language import predicted_languages
+from adlake.llm.licenses import licences
 from adlake.llm.mixing import mixed
 from adlake.llm.rules import quality_rules
 from adlake.llm.substrings import repeated_windows
@@ -57,6 +58,14 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(docs, mix_weights(spark, docs))
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of their source, language and thousand of ids."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 1000").cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = licences(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
+    return found.withColumnRenamed("file", "doc_id")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeated_windows(table(spark, folder, "documents"), whole=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -83,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array": op3_suffix_array,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_source_mix": op5_source_mix,
+    "op6_license_scan": op6_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
