@@ -122,6 +122,12 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS,
     return (vectors @ (output[1] - output[0])).astype(np.float64)
 
 
+def _scores(features: Features, texts: pa.Array, weights: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    for first, last, found, of in features.scan(texts):
+        logit = np.bincount(of, weights[found], minlength=last - first) / np.maximum(np.bincount(of, minlength=last - first), 1)
+        yield first, last, 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: quality 1 likelier), predicted (1 from a score of 0.7).
 
@@ -136,12 +142,27 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for first, last, found, of in features.scan(batch["text"]):
-                n = last - first
-                logit = np.bincount(of, weights.value[found], minlength=n) / np.maximum(np.bincount(of, minlength=n), 1)
-                scores = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
-                held = [zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in ids[first:last].tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[first:last]), pa.array(held, pa.bool_()), pa.array(scores), pa.array((scores >= PREDICTED_FROM).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            ids = batch["doc_id"].to_pylist()
+            for first, last, scores in _scores(features, batch["text"], weights.value):
+                held = [zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in ids[first:last]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.int64()), pa.array(held, pa.bool_()), pa.array(scores), pa.array((scores >= PREDICTED_FROM).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return _documents(docs).mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def of_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """The rows of docs that the classifier predicts to be of quality 1, with all their columns, in one pass after the fit.
+
+    Cases as for ``quality_scores``: empty texts go, and so do rows without doc_id.
+    """
+    weights = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs, labels, per_class)))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    carried = docs.filter("doc_id is not null").select(row, F.col("text").cast("string").alias("text"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch in batches:
+            for first, last, scores in _scores(features, batch["text"], weights.value):
+                yield batch.select(["row"]).slice(first, last - first).filter(pa.array(scores >= PREDICTED_FROM))
+
+    return carried.mapInArrow(choose, carried.select("row").schema).select("row.*")

@@ -174,7 +174,8 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     Result: doc_id, n_shingles (set size), component_id (smallest doc_id reachable by links, itself included).
     Words are runs of bytes outside \\x20 and \\x09-\\x0D, in lower case of A-Z. A text of fewer words than
     a shingle is one shingle; null, empty and blank texts have an empty set and no links. Equal
-    sets are always linked. Rows without doc_id are left out; rows that share one each get a result.
+    sets are always linked. Rows without doc_id are left out. Repeated rows each get a result; rows of
+    different texts under one doc_id are one document with several sets, of which a link needs only one.
     Other columns don't matter. No documents: no rows.
 
     Equal sets go on as one representative. Comparing all members of a token's list would grow with the
@@ -184,8 +185,9 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     """
     sets = materialize(shingle_sets(docs, size), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    chosen = materialize(sets.filter("prefix is not null").join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "representatives")
+    reps = classes.select("s1", "s2", "n", F.col("rep").alias("doc_id"))
+    own = ["doc_id", "s1", "s2", "n"]
+    chosen = materialize(sets.filter("prefix is not null").join(reps, own, "left_semi").dropDuplicates(own), "representatives")
     rows = chosen.select("doc_id", "n", F.explode("prefix").alias("token"))
     common = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     rows = materialize(rows.join(common, "token", "left_semi"), "postings")
@@ -207,6 +209,15 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     )
 
 
+def single_documents(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each component of similar documents, that of the smallest doc_id, with all columns.
+
+    Cases as for ``similarity_components``; rows without doc_id go.
+    """
+    kept = similarity_components(docs, size).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
+
+
 def _near_sizes(n: str, m: str) -> F.Column:
     return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m))
 

@@ -136,9 +136,9 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, percent: int = PERC
 
 
 def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, percent: int = PERCENT, seed: int = SEED) -> DataFrame:
-    """docs, with all their columns, that a mix of one epoch uses; the last document of a leaf is whole.
+    """The rows of docs that a mix of one epoch uses, with all their columns; the last document of a leaf is whole.
 
-    docs as for ``mixed``. Each leaf's last order key is joined to the documents, which themselves aren't
+    docs as for ``mixed``, and so are the cases. Each leaf's last order key is joined to the documents, which themselves aren't
     shuffled when the leaves are few. Of rows with one key, which share a doc_id, all are used or none.
     """
     sized = materialize(_sized(docs), "sized")
