@@ -47,7 +47,7 @@ def _shares(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
     left = F.col("budget").cast(_BIG) - F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     weights = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)).cast(_BIG)
     nodes = nodes.withColumns({"left": left, "weights": weights})
-    nodes = nodes.withColumn("full", (F.col("left") > 0) & (cap * F.col("weights") <= F.col("left") * weight))
+    nodes = nodes.withColumn("full", (F.col("weight") > 0) & (F.col("left") > 0) & (cap * F.col("weights") <= F.col("left") * weight))
     rest = F.col("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(family), F.lit(0))
     sharing = F.sum(F.when(~F.col("full"), F.col("weight"))).over(family)
     nodes = nodes.withColumns({"rest": rest, "sharing": sharing})
@@ -123,7 +123,7 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, percent: int = PERC
     ``percent`` of all tokens; what no leaf can give within ``max_epochs`` stays unused. Shares are rounded
     down. Missing weights are 1, weights of 0 or less give nothing; the largest of repeated weights counts.
     Null or empty texts have no tokens: they come along in whole epochs, and in a partial epoch as
-    long as tokens are left. Rows without doc_id are left out; repeated rows are documents of their
+    long as tokens are left; a leaf without any token isn't used. Rows without doc_id are left out; repeated rows are documents of their
     own. Other columns don't matter. No documents: no rows.
     """
     sized = materialize(_sized(docs), "sized")

@@ -77,7 +77,8 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(raw[own]), pa.array(target[own])], names=["bucket", "raw", "target"])
 
     docs = _documents(docs)
-    marked = docs.join(trusted, docs.doc_id == trusted.trusted_id, "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
+    # one plan at every size: a set that grows with the corpus is never broadcast
+    marked = docs.join(trusted.hint("merge"), docs.doc_id == trusted.trusted_id, "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
     counts = marked.mapInArrow(count, "bucket long, raw long, target long")
     return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 

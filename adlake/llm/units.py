@@ -32,7 +32,9 @@ def with_units(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame
 
 def cut(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     """Bucket, first and last place of each run of ascending hashes that go to one bucket."""
+    if not len(hashes):
+        return []
     bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     edges = np.flatnonzero(np.diff(bucket)) + 1
-    firsts = [0, *edges.tolist()] if len(hashes) else []
+    firsts = [0, *edges.tolist()]
     return [(int(bucket[a]), a, b) for a, b in zip(firsts, [*firsts[1:], len(hashes)], strict=True)]
