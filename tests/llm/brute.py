@@ -172,16 +172,22 @@ def shares(budget, children):
         full.add(min(more, key=lambda c: (children[c][1] / children[c][0], c)))
 
 
-def best_template(text, templates, texts, similar):
-    """Licence and cosine of the best line, by dictionaries."""
-    def terms(x):
-        return ALNUM.findall(lower(x))
+def terms(text):
+    return ALNUM.findall(lower(text))
+
 
-    frequency = Counter(t for x in texts for t in set(terms(x)))
+def frequencies(templates, texts):
+    """Number of texts, and in how many each term of the templates is."""
     vocabulary = {t for _, x in templates for t in terms(x)}
+    return len(texts), Counter(t for x in texts for t in set(terms(x)) & vocabulary)
+
+
+def best_template(text, templates, counted, similar):
+    """Licence and cosine of the best line, by dictionaries."""
+    n_texts, frequency = counted
 
     def weight(t):
-        return math.log((1 + len(texts)) / (1 + (frequency[t] if t in vocabulary else 0))) + 1
+        return math.log((1 + n_texts) / (1 + frequency[t])) + 1
 
     best = (0.0, None)
     for line in text.split("\n"):

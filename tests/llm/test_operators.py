@@ -274,9 +274,9 @@ def test_licences_of_files_and_directories(spark):
     ]
     frame = spark.createDataFrame(files, "file long, path string, text string").withColumn("at", F.lit(1))
     found = {r.file: r for r in licenses.licences(frame).collect()}
-    texts = [t or "" for *_, t in files]
+    counted = brute.frequencies(licenses.TEMPLATES, [t or "" for *_, t in files])
     for i, _, text in files:
-        score, name = brute.best_template(text or "", licenses.TEMPLATES, texts, licenses.SIMILAR)
+        score, name = brute.best_template(text or "", licenses.TEMPLATES, counted, licenses.SIMILAR)
         if name:
             assert (found[i].licence, found[i].origin) == (name, "header") and found[i].score == pytest.approx(score, abs=1e-5)
     inherited = {i: (r.licence, r.directory) for i, r in found.items() if r.origin == "inherited"}
@@ -286,15 +286,15 @@ def test_licences_of_files_and_directories(spark):
 
 def test_licences_in_real_texts(spark, real):
     found = {r.doc_id: r for r in queries.op6_license_scan(spark, TESTDATA).collect()}
-    texts = [t for _, t in real_docs(real)]
-    stated = 0
+    counted, stated = brute.frequencies(licenses.TEMPLATES, [t for _, t in real_docs(real)]), 0
     for i, text in real_docs(real):
-        line = [x for x in text.split("\n") if "icense" in x.lower()]
-        if line:
+        lines = [x for x in text.split("\n") if len(x) < 200]  # no template is a fifth as long
+        score, name = brute.best_template("\n".join(lines), licenses.TEMPLATES, counted, licenses.SIMILAR)
+        assert (found[i].origin == "header") == (name is not None)
+        if name:
             stated += 1
-            score, name = brute.best_template("\n".join(line), licenses.TEMPLATES, texts, licenses.SIMILAR)
             assert found[i].licence == name and found[i].score == pytest.approx(score, abs=1e-5)
-    assert stated and sum(r.origin == "header" for r in found.values()) == stated
+    assert stated >= 3
 
 
 # -- 9, 10 ---------------------------------------------------------------------
