@@ -13,9 +13,11 @@ the output of lost or repeated tasks away.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, Rolling, slices
+from adlake.llm.text import CODES, Rolling, distinct, slices
 from adlake.llm.units import text_bytes
 from adlake.session import shared_folder
 
@@ -35,8 +37,10 @@ RANGE_BYTES = 16 << 20
 BLOCK_BITS = 512
 #: Texts are handed to the tokenizer in runs of about so many bytes.
 RUN_BYTES = 1 << 16
-#: Pieces of text whose ids a task remembers.
-MEMORY_PIECES = 1 << 20
+#: Pieces of text whose ids a worker remembers.
+MEMORY_PIECES = 1 << 21
+#: Module in which a worker keeps its encoders.
+_KEPT = "adlake_llm_encoders"
 
 SHARDS = "part int, shard int, n_tokens long, bits int, doc_ids binary, lengths binary, planes binary, ranks binary, zeros binary"
 _SHARDS = pa.schema([
@@ -136,16 +140,24 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids in order."""
-        places, found = np.arange(self.n, dtype=np.int32), np.zeros(self.n, np.uint32)
-        for level in range(len(self.planes)):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
-            ones = np.cumsum(bits, dtype=np.int32)
-            after = np.where(bits, ones + np.int32(self.zeros[level] - 1), np.arange(self.n, dtype=np.int32) - ones)
-            found = found << np.uint32(1) | bits[places]
-            places = after[places]
+        found = np.zeros(self.n, np.uint32)
+        for level in reversed(range(len(self.planes))):
+            ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            above = np.empty_like(found)
+            above[~ones] = found[: self.zeros[level]]
+            above[ones] = found[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            found = above
         return found
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which keeps what it has learnt for the tasks after this one."""
+    kept = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__.setdefault("encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 class Encoder:
     """Token ids of texts, each distinct piece of text encoded once.
 
@@ -181,15 +193,16 @@ class Encoder:
         sizes = (last - first)[order]
         many = int(plain.sum())
         run = np.cumsum(sizes[:many]) // RUN_BYTES
-        for k in np.unique(run):
-            own = order[:many][run == k]
-            found = self._encode([b"".join(raw[a:b] for a, b in zip(first[own].tolist(), last[own].tolist(), strict=True)).decode()])[0]
-            ends = np.cumsum(self.sizes[found])
-            edges = np.searchsorted(ends, np.cumsum((last - first)[own]))
-            if ends[edges[-1]] != (last - first)[own].sum() or (ends[edges] != np.cumsum((last - first)[own])).any():
+        edges = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
+        for a, b in zip(edges, [*edges[1:], many], strict=True):
+            own = order[a:b]
+            found = self._encode([b"".join(raw[x:y] for x, y in zip(first[own].tolist(), last[own].tolist(), strict=True)).decode()])[0]
+            ends, wanted = np.cumsum(self.sizes[found]), np.cumsum(sizes[a:b])
+            at = np.searchsorted(ends, wanted)
+            if at[-1] != len(found) - 1 or (ends[at] != wanted).any():
                 raise ValueError("the tokenizer joins text across white space")
             ids.append(found)
-            counts[own] = np.diff(edges, prepend=-1)
+            counts[own] = np.diff(at, prepend=-1)
         for k in order[many:].tolist():
             found = self._encode([raw[first[k] : last[k]].decode()])[0]
             ids.append(found)
@@ -211,7 +224,7 @@ class Encoder:
             return np.zeros(0, np.uint16), np.zeros(n, np.int64)
         white = (data[1:] == 0x20) | (data[1:] == 0x0A)
         cuts = np.flatnonzero(white & _safe_ends(data, np.arange(1, len(data)))) + 1
-        first = np.unique(np.concatenate([bounds[:-1][np.diff(bounds) > 0], cuts]))
+        first = distinct(np.concatenate([bounds[:-1][np.diff(bounds) > 0], cuts]))
         last = np.append(first[1:], len(data))
         hashes = self.rolling.ranges(self.rolling.prefix(CODES[data]), first, last)
         pieces, at, of = np.unique(hashes, return_index=True, return_inverse=True)
@@ -248,7 +261,7 @@ def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_
         part, number, encoder = TaskContext.get().partitionId(), 0, None
         ids, lengths, doc_ids, size = [], [], [], 0
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
+            encoder = encoder or worker_encoder(tokenizer)
             bits = max(1, int(max(len(encoder.sizes) - 1, end_id)).bit_length())
             keys = batch["doc_id"].to_numpy().astype(np.int64)
             for first, last, data, bounds in slices(batch["text"]):
