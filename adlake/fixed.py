@@ -65,21 +65,6 @@ CATALOG_SOURCE = "DummyJSON Products API"
 CATALOG_TABLE = "src_api_product_df"
 BATCH_STAMP_FORMAT = "yyyyMMddHHmmss"
 
-# --- fixed values: vehicle attributes by product id -------------------------
-VEHICLE_BRANDS = [
-    "Apex Motors", "Aurora Automotive", "Contoso Motors",
-    "Fabrikam Auto", "Northstar Vehicles", "Tailspin Motors",
-]
-VEHICLE_CATEGORIES = ["Electric SUV", "Sedan", "Crossover", "Sports Car", "Pickup Truck"]
-VEHICLE_MODELS = [
-    ["Summit EV", "Verona", "Trailcrest", "Velocity GT", "Atlas XT"],
-    ["Borealis E-SUV", "Solstice", "Horizon Cross", "Nova RS", "Tundra Max"],
-    ["TerraVolt", "Regent", "Metro Trek", "Falcon XR", "Frontier Pro"],
-    ["Eclipse X", "Monarch", "Venture", "Tempest R", "Workhorse HD"],
-    ["Polar EV", "Meridian", "Pathfinder", "Comet S", "Ridgeline TX"],
-    ["Cyclone E-X", "Aero", "Drift Cross", "Raptor Z", "Storm Hauler"],
-]
-
 # --- fixed values: scoring signature (name, type), in order -----------------
 SCORING_SIGNATURE = [
     ("event_date", "date"),

@@ -6,9 +6,7 @@ from adlake.functions.columns import (
     display,
     divide,
     positive_ratio,
-    seasonality,
     text_key,
-    vehicle_attributes,
 )
 
 __all__ = [
@@ -17,7 +15,5 @@ __all__ = [
     "display",
     "divide",
     "positive_ratio",
-    "seasonality",
     "text_key",
-    "vehicle_attributes",
 ]

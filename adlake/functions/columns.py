@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlake.fixed import VEHICLE_BRANDS, VEHICLE_CATEGORIES, VEHICLE_MODELS
-
 UNIT_SEPARATOR = "\u001f"
 NULL_MARK = "\u2205"
 
@@ -32,30 +30,6 @@ def divide(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(bottom, F.lit(0.0))
 
 
-def seasonality(day_offset: Column, amplitude: float = 0.18, period: int = 30) -> Column:
-    """Linear ramp from 1 to 1 + amplitude that restarts every `period` days."""
-    return F.lit(1.0) + F.lit(amplitude) * (F.pmod(day_offset, F.lit(period)) / F.lit(float(period - 1)))
-
-
-def vehicle_attributes(product_id: Column) -> dict[str, Column]:
-    """Model, brand and category of a vehicle id; null outside the known ids."""
-    width = len(VEHICLE_CATEGORIES)
-    position = product_id - 1
-    known = product_id.between(1, width * len(VEHICLE_BRANDS))
-    row = F.floor(position / width).cast("int")
-    column = F.pmod(position, F.lit(width)).cast("int")
-
-    def lookup(values: list[str], index: Column) -> Column:
-        return F.when(known, F.get(F.array(*[F.lit(v) for v in values]), index))
-
-    models = [name for names in VEHICLE_MODELS for name in names]
-    return {
-        "model": lookup(models, position.cast("int")),
-        "brand": lookup(VEHICLE_BRANDS, row),
-        "category": lookup(VEHICLE_CATEGORIES, column),
-    }
-
-
 def text_key(*parts: Column) -> Column:
     """Composite key as text; a null part stays distinct from an empty one."""
     return F.concat_ws(UNIT_SEPARATOR, *[F.coalesce(p.cast("string"), F.lit(NULL_MARK)) for p in parts])

@@ -31,9 +31,15 @@ def datetime_columns(frame: DataFrame) -> list[str]:
     return [f.name for f in frame.schema if isinstance(f.dataType, DATETIME)]
 
 
+def without_nan(frame: DataFrame) -> DataFrame:
+    """NaN as null, so that both count as missing wherever statistics are taken or values filled."""
+    floats = [f for f in frame.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return frame.withColumns({f.name: F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)) for f in floats}) if floats else frame
+
+
 def drop_null_columns(frame: DataFrame) -> DataFrame:
-    """Without the columns that hold no value at all; one pass decides for all of them."""
-    filled = frame.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in frame.columns]).first()
+    """Without the columns that hold no value at all, where NaN is none; one pass decides for all of them."""
+    filled = without_nan(frame).agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in frame.columns]).first()
     return frame.select(*[F.col(f"`{c}`") for c in frame.columns if filled[c]])
 
 
@@ -60,7 +66,7 @@ def adjusted_skewness(column: str) -> Column:
 def skew_profile(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column: value count, mean and adjusted skewness; one pass."""
     names = list(columns or numeric_columns(frame))
-    measured = frame.agg(
+    measured = without_nan(frame).agg(
         *[F.count(c).alias(f"n_{c}") for c in names],
         *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in names],
         *[adjusted_skewness(c).alias(f"s_{c}") for c in names],
@@ -79,7 +85,10 @@ def skew_profile(frame: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def strategy(skewness: Column) -> Column:
     return (
-        F.when(skewness <= SKEW_LIMIT, "mean").when(skewness > SKEW_LIMIT, "median").otherwise("most_frequent")
+        F.when(F.isnan(skewness), "most_frequent")
+        .when(skewness <= SKEW_LIMIT, "mean")
+        .when(skewness > SKEW_LIMIT, "median")
+        .otherwise("most_frequent")
     )
 
 
@@ -96,6 +105,7 @@ def modes(frame: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     per column and task goes on to the final choice.
     """
     found: dict[str, object] = dict.fromkeys(columns)
+    frame = without_nan(frame)
     by_type: dict[str, list[int]] = {}
     for i, c in enumerate(columns):
         by_type.setdefault(frame.schema[c].dataType.simpleString(), []).append(i)
@@ -122,6 +132,7 @@ class Fill:
 
 def impute_stats(frame: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
     """Mean, exact median and mode of each numeric column, all as double."""
+    frame = without_nan(frame)
     profile = {r.column_name: r for r in skew_profile(frame, columns).collect()}
     middle = medians(frame, {c: profile[c]["value_count"] for c in columns}, small_rows)
     frequent = modes(frame, columns)
@@ -136,6 +147,7 @@ def fit_impute(frame: DataFrame, small_rows: int = SMALL_ROWS) -> list[Fill]:
 
     Numeric columns follow :func:`impute_plan`; all others, dates included, take the mode.
     """
+    frame = without_nan(frame)
     plan = {r.column_name: r for r in impute_plan(frame).collect()} if numeric_columns(frame) else {}
     by_strategy = {c: r.strategy for c, r in plan.items()}
     skewed = [c for c, s in by_strategy.items() if s == "median"]
@@ -152,12 +164,11 @@ def fit_impute(frame: DataFrame, small_rows: int = SMALL_ROWS) -> list[Fill]:
 def apply_impute(frame: DataFrame, fills: Sequence[Fill]) -> DataFrame:
     """Nulls and NaNs replaced by the fitted values; mean- and median-filled columns become double."""
     by_column = {f.column: f for f in fills}
+    frame = without_nan(frame)
     columns = []
     for f in frame.schema:
         value = F.col(f"`{f.name}`")
         fill = by_column.get(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            value = F.nanvl(value, F.lit(None).cast(f.dataType))
         if fill and fill.strategy in ("mean", "median"):
             value = F.coalesce(value.cast("double"), F.lit(fill.value))
         elif fill and fill.value is not None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from adlake.session import materialize
 from adlake.sources.tables import TableStore
 
 LABEL = "_label"
+MODELS = "models/versions"
+_LISTED = "name string, version int, path string"
 SAFE_UPCASTS = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
@@ -67,24 +70,28 @@ def _sql_literal(value: object) -> str:
 
 
 def _numeric_stage(frame: DataFrame, inputs: Sequence[str], fills: Mapping[str, Fill]) -> SQLTransformer:
-    """Every numeric or date-time input as a filled double, saved as part of the model."""
+    """Every numeric or date-time input as a filled double, saved as part of the model. Dates count days."""
     parts = []
     for name in inputs:
         value = f"`{name}`"
+        fill = fills[name].value
         if isinstance(frame.schema[name].dataType, DATETIME):
-            parts.append(f"double(coalesce(unix_date(date({value})), 0)) AS `_f_{name}`")
+            day = "NULL" if fill is None else f"date'{fill:%Y-%m-%d}'"
+            parts.append(f"double(coalesce(unix_date(coalesce(date({value}), {day})), 0)) AS `_f_{name}`")
             continue
-        fill = fills[name].value
         parts.append(f"coalesce(nanvl(double({value}), NULL), {_sql_literal(fill or 0.0)}) AS `_f_{name}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def default_grid(pipeline: Pipeline, seed: int) -> list[dict]:
-    """Candidates: regularised linear models, a random forest and boosted trees."""
+def default_grid(pipeline: Pipeline, seed: int, bins: int = 32) -> list[dict]:
+    """Candidates: regularised linear models over one-hot categories, a random forest and boosted trees over indexed ones.
+
+    bins: at least the categories of the widest column.
+    """
     shared = {"featuresCol": "_features", "labelCol": LABEL, "predictionCol": PREDICTION}
-    linear = LinearRegression(**shared)
-    forest = RandomForestRegressor(seed=seed, numTrees=20, **shared)
-    boosted = GBTRegressor(seed=seed, maxIter=10, **shared)
+    linear = LinearRegression(**{**shared, "featuresCol": "_wide"})
+    forest = RandomForestRegressor(seed=seed, numTrees=20, maxBins=bins, **shared)
+    boosted = GBTRegressor(seed=seed, maxIter=10, maxBins=bins, **shared)
 
     def candidates(estimator, param, values) -> list[dict]:
         return ParamGridBuilder().baseOn({pipeline.stages: [estimator]}).addGrid(param, values).build()
@@ -100,14 +107,23 @@ def preparation(frame: DataFrame, categorical: Sequence[str], fills: Sequence[Fi
     """Filled numbers, indexed categories and one feature vector, as model stages."""
     by_column = {f.column: f for f in fills}
     numeric = [c for c in frame.columns if c not in categorical]
-    indexed = [f"_i_{c}" for c in categorical]
+    indexed, hot = [f"_i_{c}" for c in categorical], [f"_h_{c}" for c in categorical]
+    numbers = [f"_f_{c}" for c in numeric]
     stages = [_numeric_stage(frame, numeric, by_column)]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"_f_{c}" for c in numeric] + indexed, outputCol="_features"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=numbers + indexed, outputCol="_features"))
+    stages.append(VectorAssembler(inputCols=numbers + hot, outputCol="_wide"))
     return Pipeline(stages=stages)
 
 
+def widest_category(prepared: PipelineModel) -> int:
+    """Values of the column with the most categories, the one for unseen values included."""
+    indexers = [s for s in prepared.stages if isinstance(s, StringIndexerModel)]
+    return max([0, *(len(labels) + 1 for s in indexers for labels in s.labelsArray)])
+
+
 def train(
     frame: DataFrame,
     target: str,
@@ -119,9 +135,9 @@ def train(
     metric: str = "rmse",
     grid=default_grid,
 ) -> Trained:
-    """Cross-validate at most `trials` candidates and keep the best one's refit.
+    """Cross-validate the candidates and keep the best one's refit.
 
-    Rows without a target are left out, and fill values come from this frame alone.
+    A grid of more than `trials` candidates is refused, as leaving some out would choose in silence. Rows without a target are left out, and fill values come from this frame alone.
     Features are prepared and written once for all candidates. Folds are set by row
     hash, so a recomputed partition keeps its fold.
     """
@@ -133,10 +149,12 @@ def train(
     labelled = rows.withColumns(
         {LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")}
     )
-    ready = materialize(prepared.transform(labelled).select("_features", LABEL, "_fold"), "features")
+    ready = materialize(prepared.transform(labelled).select("_features", "_wide", LABEL, "_fold"), "features")
 
     pipeline = Pipeline(stages=[])
-    candidates = grid(pipeline, seed)[:trials]
+    candidates = grid(pipeline, seed, max(32, widest_category(prepared)))
+    if len(candidates) > trials:
+        raise ValueError(f"{len(candidates)} candidates for at most {trials} trials")
     search = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=candidates,
@@ -168,6 +186,9 @@ def score(
 ) -> DataFrame:
     """The signature's columns, others asked for, and the prediction."""
     fitted = to_signature(frame, signature)
+    problems = check_signature(fitted, signature)
+    if problems:
+        raise ValueError("; ".join(problems))
     if keep:
         extra = [F.col(c) for c in keep if c not in dict(signature)]
         fitted = frame.select(*[F.col(n).cast(t).alias(n) for n, t in signature], *extra)
@@ -188,28 +209,47 @@ def evaluate(predicted: DataFrame, target: str, output: str = PREDICTION) -> Dat
     )
 
 
+def fit_line(train: DataFrame, test: DataFrame, feature: str, target: str) -> tuple[tuple[float, float], DataFrame]:
+    """Least-squares slope and intercept over the train rows, and the errors of that line over the test rows."""
+
+    def known(frame: DataFrame) -> DataFrame:
+        pair = frame.select(F.col(feature).cast("double").alias(feature), F.col(target).cast("double").alias(LABEL))
+        return VectorAssembler(inputCols=[feature], outputCol="_features").transform(pair.na.drop())
+
+    line = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION, regParam=0.0).fit(known(train))
+    return (float(line.coefficients[0]), float(line.intercept)), evaluate(line.transform(known(test)), LABEL)
+
+
 class ModelStore:
-    """Saved models by name and version, in the same log as tables."""
+    """Saved models by name and version. The catalog table MODELS lists their folders, a row once a folder is complete."""
 
     def __init__(self, store: TableStore):
         self.store = store
 
-    def save(self, name: str, trained: Trained) -> int:
-        return self.store.commit_folder(name, lambda path: self._write(path, trained))
+    def versions(self, name: str) -> DataFrame:
+        """version, path of a model, the newest first."""
+        listed = self.store.read(MODELS) if self.store.exists(MODELS) else self.store.spark.createDataFrame([], _LISTED)
+        return listed.filter(F.col("name") == name).orderBy(F.desc("version"))
 
-    def _write(self, path: str, trained: Trained) -> None:
-        trained.model.write().overwrite().save(f"{path}/model")
+    def save(self, name: str, trained: Trained) -> int:
+        newest = self.versions(name).first()
+        version = newest["version"] + 1 if newest else 1
+        path = f"{self.store.root}/model_files/{name}/v{version}-{uuid.uuid4().hex}"
+        trained.model.write().save(f"{path}/model")
         rows = [(i, n, t) for i, (n, t) in enumerate(trained.signature)]
         signature = self.store.spark.createDataFrame(rows, "place int, name string, type string")
         signature.coalesce(1).write.parquet(f"{path}/signature")
+        row = self.store.spark.createDataFrame([(name, version, path)], _LISTED)
+        (self.store.append if self.store.exists(MODELS) else self.store.write)(row, MODELS)
+        return version
 
     def load(self, name: str, version: int | None = None) -> tuple[PipelineModel, list[tuple[str, str]]]:
-        found = self.store.current(name, version)
+        listed = self.versions(name)
+        found = (listed if version is None else listed.filter(F.col("version") == version)).first()
         if not found:
             raise KeyError(f"no saved model {name!r}")
-        path = found[1]
-        rows = self.store.spark.read.parquet(f"{path}/signature").orderBy("place").collect()
-        return PipelineModel.load(f"{path}/model"), [(r["name"], r["type"]) for r in rows]
+        rows = self.store.spark.read.parquet(f"{found['path']}/signature").orderBy("place").collect()
+        return PipelineModel.load(f"{found['path']}/model"), [(r["name"], r["type"]) for r in rows]
 
 
 def manual_rows(spark: SparkSession, rows: Sequence[tuple], signature: Sequence[tuple[str, str]]) -> DataFrame:

@@ -1,84 +1,22 @@
-"""Z-order layout for data skipping on several columns."""
+"""Table layout for data skipping."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from math import ceil, inf
+from math import ceil
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-Z_BITS = 16
-COLUMN_BITS = 8
 
+def clustered(frame: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+    """The same rows in `files` partitions, each a sorted range of the columns.
 
-def z_value(frame: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
-    """The frame with ``_z``: the bits of each numeric or date column's quantile, interleaved.
-
-    Quantiles stretch every column over the whole bit range, so a column of five
-    values clusters as well as one of five thousand. Nulls come first. A column's
-    quantile is found by binary search, its spread bits by a lookup.
+    A hash of the whole row ends the range, so rows of one hot value fill several partitions. The
+    frame is read twice, for the bounds of the ranges and for the rows: write down what is dear first.
     """
-    steps = 2**bits
-    points = [i / steps for i in range(1, steps)]
-    numbers = {f"_n{i}": _number(frame, c) for i, c in enumerate(columns)}
-    placed = frame.withColumns(numbers)
-    found = placed.agg(*[F.percentile_approx(n, points, 10 * steps).alias(n) for n in numbers]).first()
-    shares = []
-    for i, n in enumerate(numbers):
-        # A value of many rows is several quantiles at once: its rank is the last of them.
-        last = {cut: place for place, cut in enumerate(found[n] or [], start=1)}
-        if not last:
-            continue
-        splitter = Bucketizer(splits=[-inf, *last, inf], inputCol=n, outputCol=f"_b{i}", handleInvalid="keep")
-        placed = splitter.transform(placed)
-        spread = [_spread_bits(rank, bits, len(columns), i) for rank in [0, *last.values()]]
-        looked_up = F.get(F.from_json(F.lit(str(spread)), "array<bigint>"), F.col(f"_b{i}").cast("int"))
-        shares.append(F.when(F.col(n).isNull(), F.lit(0).cast("bigint")).otherwise(looked_up))
-    z = reduce(lambda a, b: a.bitwiseOR(b), shares) if shares else F.lit(0).cast("bigint")
-    return placed.select(*[F.col(f"`{c}`") for c in frame.columns], z.alias("_z"))
-
-
-def _number(frame: DataFrame, column: str) -> Column:
-    kind = frame.schema[column].dataType
-    value = F.unix_date(column) if isinstance(kind, T.DateType) else F.col(column)
-    return value.cast("double")
-
-
-def _spread_bits(rank: int, bits: int, columns: int, place: int) -> int:
-    return sum((rank >> bit & 1) << (bit * columns + place) for bit in range(bits))
-
-
-def zorder(frame: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
-    """The same rows in `files` partitions of even size, each a run of the z-order.
-
-    Z-values have at most ``Z_BITS`` bits, so counting rows per value gives a table of
-    bounded size, and running counts say exactly which partitions a value fills. A hot
-    value fills several: its rows are spread over them by hash. Both passes that decide
-    the layout read the key columns only, and a partition's rows are fixed by the data.
-    """
-    bits = max(1, min(COLUMN_BITS, Z_BITS // len(columns)))
-    placed = z_value(frame, columns, bits)
-    counts = placed.groupBy("_z").agg(F.count("*").alias("_rows"))
-    running = Window.orderBy("_z").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    ends = counts.select(
-        "_z", "_rows", F.sum("_rows").over(running).alias("_end"), F.sum("_rows").over(everything).alias("_all")
-    )
-    per_file = F.col("_all") / F.lit(files)
-    places = ends.select(
-        "_z",
-        F.floor((F.col("_end") - F.col("_rows")) / per_file).alias("_first"),
-        F.floor((F.col("_end") - 1) / per_file).alias("_last"),
-    )
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns])
-    part = F.col("_first") + F.pmod(spread, F.col("_last") - F.col("_first") + 1)
-    laid = placed.join(F.broadcast(places), "_z").withColumn("_part", F.least(part, F.lit(files - 1)).cast("int"))
-    kept = [F.col(f"`{c}`") for c in frame.columns]
-    return laid.repartitionById(files, F.col("_part")).sortWithinPartitions("_z").select(*kept)
+    return frame.repartitionByRange(files, *columns, spread).sortWithinPartitions(*columns)
 
 
 def file_count(rows: int, cores: int, rows_per_file: int = 1_000_000, least_rows: int = 50_000) -> int:

@@ -77,23 +77,25 @@ def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
-def orphan_counts(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows and distinct keys without a member, per dimension.
+def key_gaps(frame: DataFrame, members: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
+    """name, gap_keys, gap_rows: keys of the frame without a member, per named key column.
 
-    Rows are counted per key before the anti join, so each key crosses the network
-    once per task however many rows hold it.
+    members: name -> (key column of the frame, frame whose first column holds the members). All columns are
+    counted in one pass; a key crosses the network once per task however many rows hold it.
     """
+    cells = [F.struct(F.lit(n).alias("name"), F.col(key).cast("bigint").alias("key")) for n, (key, _) in members.items()]
+    used = frame.select(F.inline(F.array(*cells))).groupBy("name", "key").agg(F.count("*").alias("rows"))
+    known = [m.select(F.lit(n).alias("name"), F.col(m.columns[0]).cast("bigint").alias("key")) for n, (_, m) in members.items()]
+    lost = used.join(reduce(DataFrame.unionAll, known), ["name", "key"], "left_anti")
+    counts = lost.groupBy("name").agg(F.count("*").alias("gap_keys"), F.sum("rows").alias("gap_rows"))
+    names = frame.sparkSession.createDataFrame([(n,) for n in members], "name string")
+    return names.join(counts, "name", "left").na.fill(0, ["gap_keys", "gap_rows"])
 
-    def count(name: str, dim: DataFrame, key: str) -> DataFrame:
-        used = fact.groupBy(key).agg(F.count("*").alias("rows"))
-        lost = used.join(dim.select(key), key, "left_anti")
-        return lost.agg(
-            F.lit(name).alias("dimension"),
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),
-        )
 
-    return reduce(DataFrame.unionByName, [count(n, d, k) for n, (d, k) in dims.items()])
+def orphan_counts(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Fact rows and distinct keys without a member, per dimension."""
+    gaps = key_gaps(fact, {n: (key, dim.select(key)) for n, (dim, key) in dims.items()})
+    return gaps.toDF("dimension", "orphan_keys", "orphan_rows")
 
 
 def check_layout(frame: DataFrame, prefix: str, max_width: int) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions import positive_ratio, text_key
+from adlake.operators.quality import key_gaps
 
 
 @dataclass(frozen=True)
@@ -77,18 +78,12 @@ class Ontology:
         return self.tables[e.table].select(F.col(e.key[0]).alias("target_key"))
 
     def dangling(self) -> DataFrame:
-        """Per relationship: edges without a target entity, and the target keys they name."""
-
-        def count(name: str) -> DataFrame:
-            used = self.edges(name).groupBy("target_key").agg(F.count("*").alias("edges"))
-            lost = used.join(self._targets(name), "target_key", "left_anti")
-            return lost.agg(
-                F.lit(name).alias("relationship"),
-                F.count("*").alias("missing_targets"),
-                F.coalesce(F.sum("edges"), F.lit(0)).alias("dangling_edges"),
-            )
-
-        return reduce(DataFrame.unionByName, [count(name) for name in self.relationships])
+        """Per relationship: edges without a target entity, and the target keys they name. One pass per table of edges."""
+        by_table: dict[str, dict[str, tuple[str, DataFrame]]] = {}
+        for name, r in self.relationships.items():
+            by_table.setdefault(r.table, {})[name] = (r.target_column, self._targets(name))
+        gaps = [key_gaps(self.tables[table], members) for table, members in by_table.items()]
+        return reduce(DataFrame.unionByName, gaps).toDF("relationship", "missing_targets", "dangling_edges")
 
     def related(self, relationship: str, members: DataFrame) -> DataFrame:
         """One hop: edges that lead to the given target members (a frame with their key column)."""

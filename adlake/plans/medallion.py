@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adlake.fixed import GRAIN, MONEY, VALID
 from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe, round_money, union_feeds
 from adlake.operators.keys import dimension
-from adlake.operators.layout import file_count, zorder
+from adlake.operators.layout import clustered, file_count
 from adlake.operators.pick import pick_member
 from adlake.operators.quality import PERFORMANCE_RULES, Rule, source_counts, split_valid, valid_rows
 from adlake.operators.star import (
@@ -102,11 +102,11 @@ class Medallion:
         return silver
 
     def build_gold(self, files: int | None = None) -> dict[str, DataFrame]:
-        """Write dimensions, fact and daily product; fact and product in z-order.
+        """Write dimensions, fact and daily product; fact and product clustered by date and campaign.
 
         Dimensions are written before the fact reads them: their file size is then known
-        and decides how they are joined. The daily product is summed once and stored
-        before its layout, which reads it several times.
+        and decides how they are joined. Fact and product are written down once before
+        their layout, which reads them twice, so the joins run once.
         """
         silver = self.store.read(SILVER)
         self.store.write(calendar(silver, "event_date"), GOLD["date"])
@@ -114,17 +114,17 @@ class Medallion:
         self.store.write(dimension(silver, CAMPAIGN_KEY, "campaign_key"), GOLD["campaign"])
         self.store.write(product_dimension(silver), GOLD["product"])
         channels, campaigns = self.store.read(GOLD["channel"]), self.store.read(GOLD["campaign"])
-        fact = performance_fact(silver, channels, campaigns, self.null_safe_keys)
-        self.store.write(zorder(fact, LAYOUT, files or self._files(silver)), GOLD["fact"])
+        fact = materialize(performance_fact(silver, channels, campaigns, self.null_safe_keys), "fact")
+        self.store.write(clustered(fact, LAYOUT, files or self._files(fact)), GOLD["fact"])
         daily = materialize(campaign_daily(self.store.read(GOLD["fact"]), channels, campaigns), "campaign_daily")
-        self.store.write(zorder(daily, LAYOUT, files or self._files(daily)), GOLD["daily"])
+        self.store.write(clustered(daily, LAYOUT, files or self._files(daily)), GOLD["daily"])
         return self.gold()
 
     def optimize(self, files: int | None = None) -> None:
         """Cluster fact and daily product anew, after appends."""
         for name in ("fact", "daily"):
-            table = self.store.read(GOLD[name])
-            self.store.write(zorder(table, LAYOUT, files or self._files(table)), GOLD[name])
+            table = materialize(self.store.read(GOLD[name]), name)
+            self.store.write(clustered(table, LAYOUT, files or self._files(table)), GOLD[name])
 
     def _files(self, table: DataFrame) -> int:
         return file_count(table.count(), self.spark.sparkContext.defaultParallelism)
@@ -133,7 +133,7 @@ class Medallion:
         return {name: self.store.read(path) for name, path in GOLD.items()}
 
     def refresh(self) -> Model:
-        """The governed model over the current table versions."""
+        """The governed model over the tables as they are now."""
         return performance_model(self.gold())
 
     def ontology(self) -> Ontology:

@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlake.fixed import ADDITIVE, CATALOG_TYPES, GRAIN, MAX_FEED_WIDTH, MONEY, TRAINING_SEED
-from adlake.functions import positive_ratio, seasonality, vehicle_attributes
+from adlake.fixed import ADDITIVE, CATALOG_TABLE, CATALOG_TYPES, GRAIN, MAX_FEED_WIDTH, MONEY, PREDICTION, TRAINING_SEED
+from adlake.functions import positive_ratio
 from adlake.ml import features, training
 from adlake.operators import fill, keys, layout, pick, quality, star
 from adlake.operators.conform import FEEDS, META, conform, round_money
 from adlake.plans import reports
 from adlake.plans.lake import PLAN, Lake, lake
+from adlake.plans.medallion import AUDIT, GOLD, SILVER, Medallion, insert_movement
 from adlake.plans.semantic import Between, Having, Members, Model
-from adlake.session import materialize
-from adlake.sources.records import coerce, landed_files, parse_records, select_or_null
+from adlake.session import materialize, shared_folder
+from adlake.sources.records import coerce, explode_records, landed_files, parse_records, select_or_null
+from adlake.sources.records import typed_catalog as records_to_catalog
 from adlake.sources.scan import scan
 from adlake.sources.signals import FEED_MONEY
-from adlake.sources.tables import align_to_schema, batch_stamp
+from adlake.sources.tables import TableStore, align_to_schema, batch_stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_ROWS = 10_000
-TRAINING_ROWS = 100_000
 NUMERIC = [*ADDITIVE, "video_views", "engagements"]
 MOVEMENT = {
     "date_key": 20991231, "channel_key": 1, "campaign_key": 1, "product_key": 1, "spend": 2011.0,
@@ -35,7 +38,6 @@ MOVEMENT = {
 }
 RATIOS = ["click_through_rate", "cost_per_click", "return_on_ad_spend"]
 RATIO_SCALE = 6
-LAST_KNOWN_DAY = "1999-12-31"
 
 
 def plain(frame: DataFrame) -> DataFrame:
@@ -107,15 +109,39 @@ def stamped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def append_aligned(spark: SparkSession, folder: str) -> DataFrame:
-    fact = lake(spark, folder).gold["fact"]
-    row = spark.createDataFrame([tuple(MOVEMENT.values())], list(MOVEMENT))
-    return fact_columns(fact.unionByName(align_to_schema(row, fact.schema)))
+    return fact_columns(with_movement(spark, lake(spark, folder).gold["fact"]))
 
 
 def zorder_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact laid out for skipping by date and campaign: ranges, sorted within."""
     fact = lake(spark, folder).gold["fact"]
     files = layout.file_count(fact.count(), spark.sparkContext.defaultParallelism)
-    return fact_columns(layout.zorder(fact, ["date_key", "campaign_key"], files))
+    return fact_columns(layout.clustered(fact, ["date_key", "campaign_key"], files))
+
+
+def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table written, appended to with other columns, reread, and overwritten with another schema."""
+    store, name = _job(spark).store, "conformed/orders"
+    store.write(source(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), name)
+    store.append(source(spark, folder, "lineitem").select(F.col("l_orderkey").cast("string").alias("o_orderkey"), "l_partkey"), name)
+    counts = store.read(name).groupBy("o_orderpriority").agg(F.count("o_orderkey").alias("rows"), F.count("o_totalprice").alias("priced"))
+    store.write(materialize(counts, "priorities"), name)
+    return store.read(name)
+
+
+def catalog_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a list of records each, exploded, typed, stamped, loaded and reread. The turns of a conversation are its records."""
+    record = F.struct(
+        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"), F.col("role").alias("title"), F.col("text").alias("description"),
+        F.when(F.col("turn") == 3, "n/a").otherwise(F.length("text").cast("string")).alias("price"), F.col("turn").cast("string").alias("stock"),
+    )
+    documents = source(spark, folder, "conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(record).alias("products"))).alias("value"))
+    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    documents.select("value").write.text(path)
+    records = explode_records(spark, path, "products", "id string, title string, description string, price string, stock string", multi_line=False)
+    store = _job(spark).store
+    store.write(records_to_catalog(records, "2024-09-01 12:30:05"), CATALOG_TABLE)
+    return plain(store.read(CATALOG_TABLE))
 
 
 def load_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,40 +253,19 @@ def fact_latest_100(spark: SparkSession, folder: str) -> DataFrame:
     return fact_columns(pick.latest_rows(lake(spark, folder).gold["fact"], "date_key", 100, ties))
 
 
-def derive_attributes(spark: SparkSession, folder: str) -> DataFrame:
-    parts = source(spark, folder, "part").select(
-        "p_partkey", (F.pmod(F.col("p_partkey"), F.lit(35)) + 1).alias("product_id")
-    )
-    return parts.select("*", *[c.alias(n) for n, c in vehicle_attributes(F.col("product_id")).items()])
-
-
-def seasonality_index(spark: SparkSession, folder: str) -> DataFrame:
-    silver = lake(spark, folder).silver
-    first = silver.agg(F.min("event_date")).scalar()
-    days = silver.groupBy("event_date").agg(F.count("*").alias("rows"))
-    offset = F.datediff("event_date", first)
-    return rounded(days.select("event_date", "rows", seasonality(offset).alias("seasonality")), "seasonality")
-
-
 # -- checks ---------------------------------------------------------------------
 
 
-def _known_days(dates: DataFrame) -> DataFrame:
-    return dates.filter(F.col("date") <= F.lit(LAST_KNOWN_DAY).cast("date"))
-
-
-def _dims(gold: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
-    return {
-        "date": (_known_days(gold["date"]), "date_key"),
-        "channel": (gold["channel"], "channel_key"),
-        "campaign": (gold["campaign"], "campaign_key"),
-        "product": (gold["product"], "product_key"),
-    }
+def with_movement(spark: SparkSession, fact: DataFrame) -> DataFrame:
+    """The fact with a what-if row on a day that no calendar has."""
+    row = spark.createDataFrame([tuple(MOVEMENT.values())], list(MOVEMENT))
+    return fact.unionByName(align_to_schema(row, fact.schema))
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
     gold = lake(spark, folder).gold
-    return quality.orphan_counts(gold["fact"], _dims(gold))
+    dims = {name: (gold[name], f"{name}_key") for name in ("date", "channel", "campaign", "product")}
+    return quality.orphan_counts(with_movement(spark, gold["fact"]), dims)
 
 
 def dq_duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,16 +285,20 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     at = lake(spark, folder)
     silver, gold = at.silver, at.gold
     missing = "product_name IS NULL OR brand IS NULL OR category IS NULL"
+    conformed = PLAN.silver(at.feeds).count()
+    keyless = [keys.unkeyed_rows(silver, gold[d], k) for d, k in (("channel", star.CHANNEL_KEY), ("campaign", star.CAMPAIGN_KEY))]
+    dropped = sum(lost.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] for lost in keyless)
     checks = [
-        quality.Check("silver rows", silver, "count(*)"),
+        quality.Check("silver rows", silver, "count(*)", conformed),
         quality.Check("silver sources", silver, "count(DISTINCT source_system)", 3),
         quality.Check("silver categories", silver, "count(DISTINCT category)", 6),
         quality.Check("silver rows without attributes", silver, f"count_if({missing})", 0),
         quality.Check("silver rows not valid", silver, quality.not_valid(), 0),
-        quality.Check("fact rows", gold["fact"], "count(*)"),
+        quality.Check("fact rows", gold["fact"], "count(*)", conformed - dropped),
         quality.Check("campaign rows per key", gold["campaign"], "count(*) - count(DISTINCT campaign_key)", 0),
         quality.Check("product rows per key", gold["product"], "count(*) - count(DISTINCT product_key)", 0),
         quality.Check("channel rows", gold["channel"], "count(*)", 3),
+        quality.Check("channel rows per key", gold["channel"], "count(*) - count(DISTINCT channel_key)", 0),
         quality.Check("date rows per key", gold["date"], "count(*) - count(DISTINCT date_key)", 0),
         quality.Check("daily sources", gold["daily"], "count(DISTINCT source_system)", 3),
     ]
@@ -348,17 +357,18 @@ def slicer_members(m: Model) -> DataFrame:
     return m.members(reports.MONTH)
 
 
+def moved(m: Model) -> Model:
+    return replace(m, fact=with_movement(m.fact.sparkSession, m.fact))
+
+
 def blank_member(m: Model) -> DataFrame:
-    date = m.dimensions["Date"]
-    short = replace(m, dimensions={**m.dimensions, "Date": replace(date, table=_known_days(date.table))})
-    return short.query([reports.YEAR], ["Total Spend", "Total Clicks", "Return on Ad Spend"])
+    """By year; the movement's day is in no calendar, so it reports under the blank year."""
+    return moved(m).query([reports.YEAR], ["Total Spend", "Total Clicks", "Return on Ad Spend"])
 
 
 def blank_selected(m: Model) -> DataFrame:
-    """The blank member chosen in a slicer: facts on days the calendar lacks, with those of 1995."""
-    date = m.dimensions["Date"]
-    short = replace(m, dimensions={**m.dimensions, "Date": replace(date, table=_known_days(date.table))})
-    return short.query([reports.PLATFORM], ["Total Spend"], filters=[Members(reports.YEAR, [1995, None])])
+    """The blank member chosen in a slicer, with the facts of 1995."""
+    return moved(m).query([reports.PLATFORM], ["Total Spend"], filters=[Members(reports.YEAR, [1995, None])])
 
 
 def calendar_rollup(m: Model) -> DataFrame:
@@ -391,8 +401,7 @@ def edges(target: str) -> Query:
 
 def edges_dangling(spark: SparkSession, folder: str) -> DataFrame:
     ontology = lake(spark, folder).ontology
-    known = {**ontology.tables, "date": _known_days(ontology.tables["date"])}
-    return replace(ontology, tables=known).dangling()
+    return replace(ontology, tables={**ontology.tables, "fact": with_movement(spark, ontology.tables["fact"])}).dangling()
 
 
 def traverse_brand_campaigns(spark: SparkSession, folder: str) -> DataFrame:
@@ -416,14 +425,11 @@ def pick_member(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gapped(silver: DataFrame) -> DataFrame:
-    """Silver's numbers as double, with clicks missing on a known part of the rows."""
-    return silver.select(
-        *GRAIN,
-        *[
-            (F.when(F.col("impressions") != 300, F.col(c)) if c == "clicks" else F.col(c)).cast("double").alias(c)
-            for c in NUMERIC
-        ],
-    )
+    """Silver's numbers as double, with clicks missing and sessions no number on a known part of the rows."""
+    numbers = {c: F.col(c).cast("double") for c in NUMERIC}
+    numbers["clicks"] = F.when(F.col("impressions") != 300, numbers["clicks"])
+    numbers["sessions"] = F.when(F.col("impressions") == 500, float("nan")).otherwise(numbers["sessions"])
+    return silver.select(*GRAIN, *[value.alias(c) for c, value in numbers.items()])
 
 
 def bounded_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -477,9 +483,9 @@ def fill_datetimes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def natural_key_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Signals whose campaign variant the dimension lacks, as the fact join would drop them."""
+    """Days of signals that the calendar lacks, with their rows: the signals of rejected rows alone."""
     at = lake(spark, folder)
-    return keys.unkeyed_rows(PLAN.unioned(at.feeds), at.gold["campaign"].filter("campaign_id > 101"), star.CAMPAIGN_KEY)
+    return keys.unkeyed_rows(PLAN.unioned(at.feeds), at.gold["date"].withColumnRenamed("date", "event_date"), ["event_date"])
 
 
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -489,38 +495,89 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TRAINED: dict[Lake, training.Trained] = {}
+_SPLIT: dict[Lake, tuple[DataFrame, DataFrame]] = {}
+CATEGORICAL = ["source_system", "region"]
 
 
-def training_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
-    """Train and test features of a bounded sample of silver, written once in even parts."""
-    sample = pick.bounded_sample(at.silver, GRAIN, TRAINING_ROWS)
-    parts = layout.file_count(TRAINING_ROWS, at.spark.sparkContext.defaultParallelism, least_rows=5_000)
-    even = features.feature_frame(sample, categorical=["source_system", "region"]).repartition(parts, *GRAIN)
-    rows = materialize(even, "training")
-    return features.hash_split(rows, rows.columns, 0.8, TRAINING_SEED)
+def split_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
+    """Train and test features: silver split by its grain, each written once."""
+    if at not in _SPLIT:
+        parts = features.hash_split(at.silver, GRAIN, 0.8, TRAINING_SEED)
+        _SPLIT[at] = tuple(materialize(features.feature_frame(p, categorical=CATEGORICAL), "split") for p in parts)
+    return _SPLIT[at]
 
 
 def trained(at: Lake) -> training.Trained:
+    """Fitted on the whole train split."""
     if at not in _TRAINED:
-        train, _ = training_rows(at)
-        _TRAINED[at] = training.train(train, "spend", categorical=["source_system", "region"])
+        _TRAINED[at] = training.train(split_rows(at)[0], "spend", categorical=CATEGORICAL)
     return _TRAINED[at]
 
 
+def scored(at: Lake, rows: DataFrame) -> DataFrame:
+    fitted = trained(at)
+    return training.score(rows, fitted.model, fitted.signature, keep=["spend"])
+
+
 def train_eval(spark: SparkSession, folder: str) -> DataFrame:
     return trained(lake(spark, folder)).metrics
 
 
 def batch_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of silver scored, as a deployed model would."""
     at = lake(spark, folder)
-    fitted = trained(at)
-    rows = features.feature_frame(at.silver, categorical=["source_system", "region"])
-    return training.score(rows, fitted.model, fitted.signature, keep=["spend"])
+    return scored(at, features.feature_frame(at.silver, categorical=CATEGORICAL))
 
 
 def score_error(spark: SparkSession, folder: str) -> DataFrame:
-    """Error of the model's predictions over the whole silver table."""
-    return training.evaluate(batch_score(spark, folder), "spend")
+    """Error of the model's predictions over the test rows, which it has not seen."""
+    at = lake(spark, folder)
+    return training.evaluate(scored(at, split_rows(at)[1]), "spend")
+
+
+def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of either split that get a prediction."""
+    at = lake(spark, folder)
+    parts = [
+        scored(at, rows).agg(F.lit(name).alias("split"), F.count("*").alias("rows"), F.count(PREDICTION).alias("predicted"))
+        for name, rows in zip(("train", "test"), split_rows(at), strict=True)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def least_squares(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend as a line over clicks, fitted on the train rows; its error on the test rows."""
+    train, test = split_rows(lake(spark, folder))
+    line, error = training.fit_line(train, test, "clicks", "spend")
+    return rounded(error.select("rows", F.lit(line[0]).alias("slope"), F.lit(line[1]).alias("intercept"), "rmse"), "slope", "intercept", "rmse", scale=4)
+
+
+# -- the load job ---------------------------------------------------------------------
+
+
+def _job(spark: SparkSession) -> Medallion:
+    """The load over a place of its own."""
+    return Medallion(TableStore(spark, f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"), PLAN)
+
+
+def load_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze to gold in one run: rows of each table it wrote, and the audit's rows per source."""
+    job = _job(spark)
+    job.run(lake(spark, folder).feeds)
+    written = {**{n: n for n in FEEDS}, "silver": SILVER, **{n: p for n, p in GOLD.items()}}
+    counts = [job.store.read(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, path in written.items()]
+    audit = job.store.read(AUDIT).select(F.concat(F.lit("audit "), "source_system").alias("table_name"), F.col("count").alias("rows"))
+    return reduce(DataFrame.unionByName, [*counts, audit])
+
+
+def movement_insert(spark: SparkSession, folder: str) -> DataFrame:
+    """A what-if row whose members are picked by seed, appended to the fact; revenue is spend times return. By year."""
+    job = _job(spark)
+    at = lake(spark, folder)
+    for name, path in GOLD.items():
+        job.store.write(at.gold[name], path)
+    insert_movement(job, date_key=20991231, spend=2011.0, roas=2.0, batch_id="manual", impressions=1000, clicks=50, conversions=1, seed=TRAINING_SEED)
+    return plain(job.refresh().query([reports.YEAR], ["Total Spend", "Total Revenue", "Total Impressions", "Total Conversions"]))
 
 
 QUERIES: dict[str, Query] = {
@@ -533,6 +590,8 @@ QUERIES: dict[str, Query] = {
     "batch_stamp": stamped,
     "append_aligned": append_aligned,
     "zorder_layout": zorder_layout,
+    "table_roundtrip": table_roundtrip,
+    "catalog_ingest": catalog_ingest,
     "load_summary": load_summary,
     "conform_google": conformed("src_google_ads_raw"),
     "conform_meta": conformed("src_meta_ads_raw"),
@@ -555,8 +614,6 @@ QUERIES: dict[str, Query] = {
     "campaign_daily": campaign_daily,
     "campaign_daily_sorted": campaign_daily_sorted,
     "fact_latest_100": fact_latest_100,
-    "derive_attributes": derive_attributes,
-    "seasonality_index": seasonality_index,
     "fk_orphans": fk_orphans,
     "natural_key_gaps": natural_key_gaps,
     "dq_duplicate_keys": dq_duplicate_keys,
@@ -598,6 +655,10 @@ QUERIES: dict[str, Query] = {
     "ffill": ffill,
     "fill_datetimes": fill_datetimes,
     "train_test_split": train_test_split,
+    "scored_rows": scored_rows,
+    "least_squares": least_squares,
+    "load_job": load_job,
+    "movement_insert": movement_insert,
     "train_eval": train_eval,
     "batch_score": batch_score,
     "score_error": score_error,

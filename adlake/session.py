@@ -8,10 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_REMOVED_AT_END: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, private to this application.
+    """Folder every executor can reach, private to this application and removed when its JVM ends.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a session that runs on
     one machine may fall back to a temporary folder.
@@ -21,8 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="adlake-"))
-    return f"{base.rstrip('/')}/adlake/{context.applicationId}"
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="adlake-")
+        base = _LOCAL_FOLDERS[context.applicationId]
+    folder = f"{base.rstrip('/')}/adlake/{context.applicationId}"
+    if folder not in _REMOVED_AT_END:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)  # only what exists can be marked
+        files.deleteOnExit(path)
+        _REMOVED_AT_END.add(folder)
+    return folder
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:

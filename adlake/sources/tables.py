@@ -1,94 +1,62 @@
-"""Versioned Parquet tables, aligned appends and catalog housekeeping."""
+"""Catalog tables, aligned appends and catalog housekeeping."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
+import hashlib
+import re
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import BATCH_STAMP_FORMAT
 
-_LOG_SCHEMA = "name string, version bigint, path string, committed_utc timestamp"
-
-
 class TableStore:
-    """Named tables under one root, each replaced by writing a new version folder.
+    """Named tables of the session catalog, with their files under one root.
 
-    A version counts only once its row stands in the ``versions`` log, so a failed
-    write stays invisible, and readers of an older version are never overwritten.
+    A name is ``folder/table``; every folder is a schema of the catalog, located under the root. Rows of a
+    failed append are never seen. A failed overwrite leaves no table behind, so a load step is run again.
+    A table can't be overwritten from a frame that reads it: write the frame down first.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.schema = f"lake_{hashlib.md5(self.root.encode()).hexdigest()[:12]}"
+
+    def _parts(self, name: str) -> tuple[str, str, str]:
+        folder, _, table = name.rpartition("/")
+        folder = re.sub(r"\W", "_", folder) or "bronze"
+        return f"{self.schema}_{folder}", table, f"{self.root}/{folder}"
+
+    def table(self, name: str) -> str:
+        """The name under which the catalog knows the table."""
+        schema, table, _ = self._parts(name)
+        return f"{schema}.{table}"
 
-    def history(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/versions")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-
-    def current(self, name: str, version: int | None = None) -> tuple[int, str] | None:
-        """Version number and path of the newest (or the given) version, if any."""
-        log = self.history().filter(F.col("name") == name)
-        if version is not None:
-            log = log.filter(F.col("version") == version)
-        newest = log.orderBy(F.desc("version"), F.desc("committed_utc"), F.desc("path")).first()
-        return (newest.version, newest.path) if newest else None
-
-    def _commit(self, name: str, version: int, path: str) -> None:
-        row = self.spark.range(1).select(
-            F.lit(name).alias("name"),
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(path).alias("path"),
-            F.current_timestamp().alias("committed_utc"),
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.table(name))
 
     def write(
         self, frame: DataFrame, name: str, partition_by: Sequence[str] = (), keep_schema: bool = False
-    ) -> int:
+    ) -> None:
         """Replace a table; its schema travels along unless ``keep_schema`` asks for the old one."""
-        latest = self.current(name) if keep_schema else None
-        if latest:
-            require_schema(frame, self.spark.read.parquet(latest[1]).schema)
-        return self.commit_folder(name, lambda path: frame.write.partitionBy(*partition_by).parquet(path))
-
-    def commit_folder(self, name: str, write: Callable[[str], None]) -> int:
-        """Let `write` fill a new version folder, then enter it in the log."""
-        latest = self.current(name)
-        version = latest[0] + 1 if latest else 1
-        path = f"{self.root}/{name}/v{version}-{uuid.uuid4().hex}"
-        write(path)
-        self._commit(name, version, path)
-        return version
+        if keep_schema and self.exists(name):
+            require_schema(frame, self.read(name).schema)
+        schema, _, place = self._parts(name)
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{place}'")
+        frame.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(self.table(name))
 
     def append(self, frame: DataFrame, name: str) -> None:
-        """Add rows to the current version, aligned to its schema."""
-        _, path = self._located(name)
-        target = self.spark.read.parquet(path).schema
-        align_to_schema(frame, target).write.mode("append").parquet(path)
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self._located(name, version)[1])
-
-    def _located(self, name: str, version: int | None = None) -> tuple[int, str]:
-        found = self.current(name, version)
-        if not found:
-            raise KeyError(f"no version of table {name!r} under {self.root}")
-        return found
-
-    def register(self, name: str, catalog_name: str) -> None:
-        """Point a catalog table at the current version."""
-        _, path = self._located(name)
-        self.spark.sql(f"DROP TABLE IF EXISTS {catalog_name}")
-        self.spark.catalog.createTable(catalog_name, path=path, source="parquet")
+        """Add rows to a table, aligned to its schema."""
+        rows = align_to_schema(frame, self.read(name).schema)
+        rows.write.format("parquet").mode("append").saveAsTable(self.table(name))
+
+    def read(self, name: str) -> DataFrame:
+        if not self.exists(name):
+            raise KeyError(f"no table {name!r} under {self.root}")
+        return self.spark.table(self.table(name))
 
 
 def require_schema(frame: DataFrame, expected: T.StructType) -> None:

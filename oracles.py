@@ -167,24 +167,23 @@ INVALID = {
     "clicks above impressions": "coalesce(clicks > impressions, false)",
 }
 REASONS = "concat_ws('; ', " + ", ".join(f"case when {c} then '{r}' end" for r, c in INVALID.items()) + ")"
-SHORT_DATES = "known_date as (select * from dim_date where date <= date '1999-12-31')"
+# The what-if row: date, channel, campaign and product key, spend, revenue, impressions, clicks, conversions.
+MOVED = (
+    "moved as (select date_key, channel_key, campaign_key, product_key from fact union all select 20991231, 1, 1, 1), "
+    "moved_gold as (select year, platform, spend, revenue, clicks, impressions, conversions from gold union all "
+    "select null, (select source_system from dim_channel where channel_key = 1), 2011.0, 4022.0, 50, 1000, 1)"
+)
 NUMERIC = "impressions clicks sessions spend conversions leads revenue video_views engagements".split()
+# Clicks are null and sessions not a number there, which is the same to the operators.
+HOLES = {"clicks": "case when impressions <> 300 then clicks end", "sessions": "case when impressions <> 500 then sessions end"}
 GAPPED = (
     ", gapped as (select " + GRAIN + ", "
     + ", ".join(
-        f"cast({'case when impressions <> 300 then clicks end' if c == 'clicks' else c} as double) as {c}"
+        f"cast({HOLES.get(c, c)} as double) as {c}"
         for c in NUMERIC
     )
     + " from silver)"
 )
-BRANDS = "['Apex Motors','Aurora Automotive','Contoso Motors','Fabrikam Auto','Northstar Vehicles','Tailspin Motors']"
-CATEGORIES = "['Electric SUV','Sedan','Crossover','Sports Car','Pickup Truck']"
-MODELS = """['Summit EV','Verona','Trailcrest','Velocity GT','Atlas XT',
-  'Borealis E-SUV','Solstice','Horizon Cross','Nova RS','Tundra Max',
-  'TerraVolt','Regent','Metro Trek','Falcon XR','Frontier Pro',
-  'Eclipse X','Monarch','Venture','Tempest R','Workhorse HD',
-  'Polar EV','Meridian','Pathfinder','Comet S','Ridgeline TX',
-  'Cyclone E-X','Aero','Drift Cross','Raptor Z','Storm Hauler']"""
 RECORDS = """(select cast(event_id as varchar) as id, event_type as title,
   case when event_type = 'error' then 'n/a' else regexp_extract(props, '"k": *"?([^",}]*)', 1) end as price,
   cast(user_id as varchar) as stock from events)"""
@@ -218,13 +217,17 @@ def orphans(label: str, dim: str, key: str, columns: str) -> str:
     first = "dimension" if keys == "orphan_keys" else "relationship"
     return (
         f"select {name} as {first}, count(distinct f.{key}) as {keys}, count(*) as {rows} "
-        f"from fact f where not exists (select 1 from {dim} d where d.{key} = f.{key})"
+        f"from moved f where not exists (select 1 from {dim} d where d.{key} = f.{key})"
     )
 
 
 GRAIN_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce(cast({k} as varchar), '∅')" for k in GRAIN.split(", ")) + "{seed})"
+SPLIT = (
+    "select case when share < 8000 then 'train' else 'test' end as split, cast(spend as double) as spend, clicks from (select *, "
+    f"cast('0x' || substr(md5({GRAIN_TEXT.format(seed=", '41'")}), 1, 8) as bigint) % 10000 as share from silver)"
+)
 DIMS = [
-    ("Date", "known_date", "date_key"),
+    ("Date", "dim_date", "date_key"),
     ("Channel", "dim_channel", "channel_key"),
     ("Campaign", "dim_campaign", "campaign_key"),
     ("Product", "dim_product", "product_key"),
@@ -265,6 +268,13 @@ ORACLES = {
         "4022.0, null, null, null, null, 2.0, 'manual', null"
     ),
     "zorder_layout": chained(f"select {FACT} from fact"),
+    "table_roundtrip": """select o_orderpriority, count(*) as rows, count(priced) as priced from (
+        select o_orderpriority, o_totalprice as priced from orders union all select null, null from lineitem) group by 1""",
+    "catalog_ingest": """select conv_id * 1000 + turn as id, role as title, text as description, cast(null as varchar) as category,
+        cast(null as varchar) as brand, case when turn <> 3 then cast(length(text) as double) end as price,
+        cast(null as double) as "discountPercentage", cast(null as double) as rating, turn as stock, cast(null as varchar) as sku,
+        cast(null as varchar) as "availabilityStatus", 'DummyJSON Products API' as source_system,
+        timestamp '2024-09-01 12:30:05' as ingestion_utc, '20240901123005' as batch_id from conversations""",
     "load_summary": chained(
         " union all ".join(
             f"select '{t}' as bronze_table, count(*) as row_count, {w} as column_count, '{p}' as source_prefix "
@@ -326,17 +336,8 @@ ORACLES = {
     "fact_latest_100": chained(
         f"select {FACT} from (select * from fact order by date_key desc, channel_key, campaign_key, product_key, region limit 100)"
     ),
-    "derive_attributes": f"""select p_partkey, product_id,
-        case when product_id <= 30 then {MODELS}[product_id] end as model,
-        case when product_id <= 30 then {BRANDS}[(product_id - 1) // 5 + 1] end as brand,
-        case when product_id <= 30 then {CATEGORIES}[(product_id - 1) % 5 + 1] end as category
-        from (select p_partkey, p_partkey % 35 + 1 as product_id from part)""",
-    "seasonality_index": chained(
-        "select event_date, count(*) as rows, round(1.0 + 0.18 * ((date_diff('day', "
-        "(select min(event_date) from silver), event_date) % 30) / 29.0::double), 6) as seasonality from silver group by 1"
-    ),
     "fk_orphans": chained(
-        " union all ".join(orphans(n.lower(), d, k, "orphan_keys orphan_rows") for n, d, k in DIMS), ", " + SHORT_DATES
+        " union all ".join(orphans(n.lower(), d, k, "orphan_keys orphan_rows") for n, d, k in DIMS), ", " + MOVED
     ),
     "dq_duplicate_keys": chained(f"select {GRAIN}, count(*) as rows from canon0 group by {GRAIN} having count(*) > 1"),
     "dq_distinct_counts": chained(
@@ -356,16 +357,17 @@ ORACLES = {
         + " union all ".join(
             f"select '{name}' as check_name, {expected} as expected, {actual} as actual from {table}"
             for name, table, actual, expected in [
-                ("silver rows", "silver", "count(*)", "null"),
+                ("silver rows", "silver", "count(*)", "(select count(*) from silver)"),
                 ("silver sources", "silver", "count(distinct source_system)", 3),
                 ("silver categories", "silver", "count(distinct category)", 6),
                 ("silver rows without attributes", "silver",
                  "count(*) filter (where product_name is null or brand is null or category is null)", 0),
                 ("silver rows not valid", "silver", "count(*) filter (where quality_status <> 'Valid')", 0),
-                ("fact rows", "fact", "count(*)", "null"),
+                ("fact rows", "fact", "count(*)", "(select count(*) from silver)"),
                 ("campaign rows per key", "dim_campaign", "count(*) - count(distinct campaign_key)", 0),
                 ("product rows per key", "dim_product", "count(*) - count(distinct product_key)", 0),
                 ("channel rows", "dim_channel", "count(*)", 3),
+                ("channel rows per key", "dim_channel", "count(*) - count(distinct channel_key)", 0),
                 ("date rows per key", "dim_date", "count(*) - count(distinct date_key)", 0),
                 ("daily sources", "gold", "count(distinct platform)", 3),
             ]
@@ -401,13 +403,27 @@ ORACLES = {
     ),
     "slicer_members": chained("select distinct month_name from dim_date"),
     "blank_member": chained(
-        measured(
-            "known_year", "total_spend total_clicks return_on_ad_spend",
-            source="(select *, case when date <= date '1999-12-31' then year end as known_year from gold)",
-        ).replace("select known_year", "select known_year as year", 1)
+        measured("year", "total_spend total_clicks return_on_ad_spend", source="moved_gold"), ", " + MOVED
     ),
     "blank_selected": chained(
-        measured("platform", "total_spend", where="where year = 1995 or date > date '1999-12-31'")
+        measured("platform", "total_spend", where="where year = 1995 or year is null", source="moved_gold"), ", " + MOVED
+    ),
+    "movement_insert": chained(
+        measured("year", "total_spend total_revenue total_impressions total_conversions", source="moved_gold"), ", " + MOVED
+    ),
+    "load_job": chained(
+        " union all ".join(
+            f"select '{name}' as table_name, count(*) as rows from {table}"
+            for name, table in [
+                ("src_google_ads_raw", "canon0 where source_system = 'Google Ads'"),
+                ("src_meta_ads_raw", "canon0 where source_system = 'Meta Ads'"),
+                ("src_linkedin_ads_raw", "canon0 where source_system = 'LinkedIn Ads'"),
+                ("silver", "silver"), ("date", "dim_date"), ("channel", "dim_channel"), ("campaign", "dim_campaign"),
+                ("product", "dim_product"), ("fact", "fact"),
+                ("daily", "(select distinct date_key, campaign_key, channel_key from fact)"),
+            ]
+        )
+        + " union all select 'audit ' || source_system, count(*) from silver group by 1"
     ),
     "calendar_rollup": chained(
         f"select year, quarter, month_name, date, grouping(year, quarter, month_name, date) as grouping_id, "
@@ -509,7 +525,7 @@ ORACLES = {
         " union all ".join(
             orphans(f"Marketing_Performance_has_{n}", d, k, "missing_targets dangling_edges") for n, d, k in DIMS
         ),
-        ", " + SHORT_DATES,
+        ", " + MOVED,
     ),
     "related_performance": chained(
         "select " + ", ".join(f"{k} as source_{k}" for k in PERFORMANCE_KEY)
@@ -527,10 +543,7 @@ ORACLES = {
         "select product_key from dim_product order by md5(concat_ws(chr(31), cast(product_key as varchar), '41')), "
         "product_key limit 1"
     ),
-    "train_test_split": chained(
-        "select case when share < 8000 then 'train' else 'test' end as split, count(*) as rows from (select "
-        f"cast('0x' || substr(md5({GRAIN_TEXT.format(seed=", '41'")}), 1, 8) as bigint) % 10000 as share from silver) group by 1"
-    ),
+    "train_test_split": chained(f"select split, count(*) as rows from ({SPLIT}) group by 1"),
     "drop_null_columns": chained(
         f"select * exclude (device_category) from (select {CANON} from canon0 where source_system = 'Meta Ads')"
     ),
@@ -563,9 +576,15 @@ ORACLES = {
         GAPPED,
     ),
     "natural_key_gaps": chained(
-        "select campaign_id, campaign_name, campaign_objective, count(*) as rows from canon0 c where not exists "
-        "(select 1 from dim_campaign d where d.campaign_id > 101 and d.campaign_id = c.campaign_id "
-        "and d.campaign_name = c.campaign_name and d.campaign_objective = c.campaign_objective) group by 1, 2, 3"
+        "select event_date, count(*) as rows from canon0 c where not exists "
+        "(select 1 from dim_date d where d.date = c.event_date) group by 1"
+    ),
+    "scored_rows": chained(f"select split, count(*) as rows, count(*) as predicted from ({SPLIT}) group by 1"),
+    "least_squares": chained(
+        "select count(*) as rows, round(any_value(a), 4) as slope, round(any_value(b), 4) as intercept, "
+        "round(sqrt(avg((spend - a * clicks - b) * (spend - a * clicks - b))), 4) as rmse from split, line where split = 'test'",
+        f", split as materialized ({SPLIT}), line as (select regr_slope(spend, clicks) as a, regr_intercept(spend, clicks) as b "
+        "from split where split = 'train')",
     ),
     "fill_datetimes": """with days as (select user_id, event_id, case when event_type <> 'error' then cast(ts as date) end as day
         from events) select user_id, event_id, coalesce(last_value(day ignore nulls) over (partition by user_id order by event_id

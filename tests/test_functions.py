@@ -4,7 +4,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from adlake import functions as fn
-from adlake.fixed import VEHICLE_BRANDS, VEHICLE_CATEGORIES, VEHICLE_MODELS
 from adlake.functions.columns import DOLLARS, MULTIPLE, PERCENT, SHORT_DATE, WHOLE
 
 
@@ -33,19 +32,6 @@ def test_divide_only_refuses_zero_and_null(spark):
         assert one(spark, fn.divide(F.lit(2), F.lit(bottom).cast("bigint"))) == expected
 
 
-def test_seasonality_restarts_each_period(spark):
-    assert [one(spark, fn.seasonality(F.lit(d))) for d in (0, 29, 30)] == [1.0, 1.18, 1.0]
-
-
-def test_vehicle_attributes(spark):
-    frame = spark.range(0, 33).select(F.col("id"), *[c.alias(n) for n, c in fn.vehicle_attributes(F.col("id")).items()])
-    found = {r.id: (r.model, r.brand, r.category) for r in frame.collect()}
-    assert found[1] == (VEHICLE_MODELS[0][0], VEHICLE_BRANDS[0], VEHICLE_CATEGORIES[0])
-    assert found[30] == (VEHICLE_MODELS[5][4], VEHICLE_BRANDS[5], VEHICLE_CATEGORIES[4])
-    assert found[13] == (VEHICLE_MODELS[2][2], VEHICLE_BRANDS[2], VEHICLE_CATEGORIES[2])
-    assert found[0] == found[31] == (None, None, None)
-
-
 def test_text_key_tells_null_from_empty(spark):
     frame = spark.createDataFrame([("a", None), ("a", ""), (None, "a")], "x string, y string")
     assert frame.select(fn.text_key(F.col("x"), F.col("y")).alias("k")).distinct().count() == 3

@@ -110,35 +110,47 @@ def test_movement_lands_under_the_blank_member(spark, literal_feeds, tmp_path):
     assert job.gold()["fact"].count() == before == 2161
 
 
-def test_reload_replaces_and_keeps_the_old_version(spark, literal_feeds, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    job = Medallion(store)
+def test_reload_replaces(spark, literal_feeds, tmp_path):
+    job = Medallion(TableStore(spark, str(tmp_path)))
     job.load_bronze(literal_feeds)
-    job.build_silver(audit=False)
+    assert job.build_silver(audit=False).count() == 2160
     half = {n: f.filter(F.col(f.columns[0]) < F.lit(date(2024, 3, 1))) for n, f in literal_feeds.items()}
     job.load_bronze(half)
     job.build_silver(audit=False)
-    assert store.read(SILVER).count() == 720 and store.read(SILVER, 1).count() == 2160
+    assert job.store.read(SILVER).count() == 720
 
 
-def test_store_versions(spark, tmp_path):
+def test_a_table_is_replaced_with_its_schema(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     with pytest.raises(KeyError):
         store.read("t")
-    assert store.write(spark.range(3), "t") == 1
-    assert store.write(store.read("t").withColumn("x", F.lit(1)), "t") == 2
-    assert store.read("t").columns == ["id", "x"] and store.read("t", 1).columns == ["id"]
+    store.write(spark.range(3), "t")
+    store.write(spark.range(4).withColumn("x", F.lit(1)), "t")
+    assert store.read("t").columns == ["id", "x"] and store.read("t").count() == 4
     with pytest.raises(ValueError):
         store.write(spark.range(3), "t", keep_schema=True)
-    assert store.write(store.read("t"), "t", keep_schema=True) == 3
+    store.write(spark.range(2).withColumn("x", F.lit(1)), "t", keep_schema=True)
+    assert store.read("t").count() == 2 and not TableStore(spark, f"{tmp_path}/other").exists("t")
 
 
-def test_a_failed_write_stays_invisible(spark, tmp_path):
+def test_a_failed_append_shows_no_row(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(spark.range(3), "t")
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") == 999, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
     with pytest.raises(Exception):
-        store.write(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), "t")
+        store.append(broken, "t")
     assert store.read("t").count() == 3
+    store.append(spark.range(2), "t")
+    assert store.read("t").count() == 5
+
+
+def test_the_joins_of_the_fact_run_once(spark, literal_feeds, tmp_path, monkeypatch):
+    from adlake.plans import medallion
+
+    plans = []
+    monkeypatch.setattr(medallion, "clustered", lambda frame, *a: plans.append(plan_of(frame)) or frame)
+    Medallion(TableStore(spark, str(tmp_path))).run(literal_feeds)
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
 
 
 def test_append_aligns(spark, tmp_path):
@@ -151,15 +163,13 @@ def test_append_aligns(spark, tmp_path):
 def test_catalog_housekeeping(spark, tmp_path):
     ensure_schemas(spark, [*SILVER_SCHEMAS, *SILVER_SCHEMAS])
     store = TableStore(spark, str(tmp_path))
-    store.write(spark.range(4), "t")
-    store.register("t", "audit.numbers")
-    assert spark.table("audit.numbers").count() == 4 and missing_tables(spark, ["audit.numbers"]) == []
-    store.write(spark.range(5), "t")
-    store.register("t", "audit.numbers")
-    assert spark.table("audit.numbers").count() == 5
-    retire_tables(spark, ["audit.numbers", *RETIRED_BRONZE])
-    assert missing_tables(spark, ["audit.numbers", *RETIRED_BRONZE]) == ["audit.numbers", *RETIRED_BRONZE]
-    assert store.read("t").count() == 5
+    store.write(spark.range(4), "audit/numbers")
+    name = store.table("audit/numbers")
+    assert spark.table(name).count() == 4 and missing_tables(spark, [name]) == []
+    store.write(spark.range(5), "audit/numbers")
+    assert spark.table(name).count() == 5
+    retire_tables(spark, [name, *RETIRED_BRONZE])
+    assert missing_tables(spark, [name, *RETIRED_BRONZE]) == [name, *RETIRED_BRONZE] and not store.exists("audit/numbers")
 
 
 def test_campaign_variants(loaded):

@@ -56,6 +56,7 @@ def test_the_cluster_must_name_the_shared_folder(spark, monkeypatch):
 
     class Context:
         master, applicationId = "yarn", "app"
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
 
         def getCheckpointDir(self):
             return None

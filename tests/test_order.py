@@ -13,7 +13,7 @@ from adlake.ml.quantiles import medians, rank_values
 from adlake.operators import pick
 from adlake.operators.fill import ffill
 from adlake.operators.keys import attach_keys, dense_key, dimension, unkeyed_rows
-from adlake.operators.layout import file_count, file_ranges, zorder
+from adlake.operators.layout import clustered, file_count, file_ranges
 from adlake.operators.ranges import bucket_of, sample_bounds
 from adlake.session import materialize
 
@@ -106,27 +106,24 @@ def grid(spark):
     return materialize(frame, "test_grid")
 
 
-def test_zorder_keeps_every_row_and_narrows_files(spark, grid, tmp_path):
-    zorder(grid, ["day", "campaign"], files=16).write.parquet(f"{tmp_path}/z")
-    laid = spark.read.parquet(f"{tmp_path}/z")
+def test_clustering_keeps_every_row_and_narrows_files(spark, grid, tmp_path):
+    clustered(grid, ["day", "campaign"], files=16).write.parquet(f"{tmp_path}/c")
+    laid = spark.read.parquet(f"{tmp_path}/c")
     assert laid.exceptAll(grid).count() == 0 and laid.count() == 20000
     ranges = file_ranges(laid, ["day", "campaign"]).collect()
-    assert len(ranges) == 16
-    days = sum(r.max_day - r.min_day for r in ranges) / 16
-    campaigns = sum(r.max_campaign - r.min_campaign for r in ranges) / 16
-    assert days < 182 and campaigns < 2.5  # of 364 and 4
+    assert len(ranges) == 16 and sum(r.max_day - r.min_day for r in ranges) / 16 < 40  # of 364
 
 
-def test_zorder_spreads_a_hot_value(spark, tmp_path):
+def test_clustering_spreads_a_hot_value(spark, tmp_path):
     frame = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
-    zorder(frame, ["k"], files=9).write.parquet(f"{tmp_path}/z")
-    sizes = [r.rows for r in file_ranges(spark.read.parquet(f"{tmp_path}/z"), ["k"]).collect()]
+    clustered(frame, ["k"], files=9).write.parquet(f"{tmp_path}/c")
+    sizes = [r.rows for r in file_ranges(spark.read.parquet(f"{tmp_path}/c"), ["k"]).collect()]
     assert sum(sizes) == 9000 and max(sizes) < 2000
 
 
-def test_zorder_of_a_column_without_values(spark):
+def test_clustering_by_a_column_without_values(spark):
     frame = spark.range(10).select(F.lit(None).cast("int").alias("k"), "id")
-    assert zorder(frame, ["k", "id"], files=2).count() == 10
+    assert clustered(frame, ["k", "id"], files=2).count() == 10
 
 
 def test_file_count():

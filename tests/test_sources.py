@@ -129,3 +129,20 @@ def test_fingerprint_follows_the_files(spark, tmp_path):
 def test_feeds_cover_all_signals(lake):
     total = sum(f.count() for f in lake.feeds.values())
     assert total == 6000 and feeds.__name__ == "feeds"
+
+
+def test_nothing_is_left_when_the_application_ends(tmp_path):
+    import subprocess
+    import sys
+    import time
+
+    job = (
+        "from pyspark.sql import SparkSession; from adlake.session import materialize, shared_folder; import os;"
+        f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', '{tmp_path}').getOrCreate();"
+        "f = materialize(s.range(3), 'a'); assert f.count() == 3 and os.path.isdir(shared_folder(s)); s.stop()"
+    )
+    subprocess.run([sys.executable, "-c", job], check=True, timeout=120)
+    until = time.time() + 30  # the JVM ends after Python
+    while list((tmp_path / "adlake").iterdir()) and time.time() < until:
+        time.sleep(0.5)
+    assert list((tmp_path / "adlake").iterdir()) == []
