@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.operators.ranges import bound_prefixes, bucket_count, bucket_of, sample_bounds
+from adlake.operators.ranges import ranged
+from adlake.session import materialize
 
 
 def ffill(
@@ -19,25 +20,18 @@ def ffill(
 ) -> DataFrame:
     """Replace each null by the last value before it within its group, in the given order.
 
-    ``order_by`` must be total within a group. Rows are cut into range buckets over
-    (group, order), so one huge group becomes many window partitions. A value may then
-    have to cross bucket borders: that concerns only groups a bound falls into, so the
-    carried values are at most about two rows per bound, and are broadcast.
+    ``order_by`` must be total within a group. Rows are cut into ranges over (group,
+    order), so one huge group becomes many window partitions. A value may then have to
+    cross the borders of ranges: that concerns only the groups that ranges begin with, so
+    the carried values are few, at most two a range, and are broadcast. The source is read once.
     """
-    order = [*partition_by, *order_by]
-    rows = frame.count()
-    bounds = sample_bounds(frame, order, buckets or bucket_count(rows), rows)
-    placed = frame.withColumn("_bucket", bucket_of(frame, order, bounds)) if bounds else frame
-    groups = [*partition_by, "_bucket"] if bounds else list(partition_by)
+    placed = ranged(materialize(frame, "unfilled"), [*partition_by, *order_by], buckets)
+    groups = [*partition_by, "_bucket"]
     sort = [F.col(c).asc_nulls_first() for c in order_by]
     window = Window.partitionBy(*groups).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
     filled = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
-    if not bounds:
-        return placed.withColumns(filled)
-
-    cut_groups = bound_prefixes(frame, order, bounds, len(partition_by)).select(
-        *[F.col(c).alias(f"_cut_{c}") for c in partition_by]
-    )
+    first = placed.groupBy("_bucket").agg(F.min(F.struct(*[F.col(c).alias(f"_cut_{c}") for c in partition_by])).alias("g"))
+    cut_groups = first.select("g.*").distinct()
 
     def same(prefix: str):
         return [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in partition_by]

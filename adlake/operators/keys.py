@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.operators.ranges import bucket_count, bucket_of, sample_bounds
+from adlake.operators.ranges import ranged
 from adlake.session import materialize
 
 SMALL_ROWS = 100_000
@@ -19,19 +19,18 @@ def dense_key(
     """Number rows 1..n in the given order (nulls first); order tuples must be distinct.
 
     Up to ``small_rows`` rows one window does it. Beyond that rows are numbered
-    within range buckets and shifted by the count of all earlier buckets, so the
-    sort is spread over tasks; only the bucket counts reach the driver. The frame is
+    within ranges and shifted by the count of all earlier ranges, so the sort is
+    spread over tasks; only the counts of the ranges reach the driver. The frame is
     read several times: pass a written table, not a long plan.
     """
     rows = frame.count()
     sort = [F.col(c).asc_nulls_first() for c in order]
     if rows <= small_rows:
         return frame.withColumn(key_name, F.row_number().over(Window.orderBy(*sort)))
-    bounds = sample_bounds(frame, order, buckets or bucket_count(rows), rows)
-    placed = frame.withColumn("_bucket", bucket_of(frame, order, bounds))
+    placed = ranged(frame, order, buckets)
     counts = dict(placed.groupBy("_bucket").count().collect())
     starts, total = [], 0
-    for bucket in range(len(bounds) + 1):
+    for bucket in range(max(counts) + 1):
         starts.append(total)
         total += counts.get(bucket, 0)
     whole = "int" if total < 2**31 else "bigint"

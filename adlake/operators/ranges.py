@@ -1,79 +1,26 @@
-"""Splitting a sort order into buckets of near-equal size.
+"""Splitting a sort order into ranges of near-equal size.
 
-Sort-dependent operators (dense keys, forward fill, exact quantiles) need work
-split along the order itself, so that neither one task nor one key carries it all.
-Buckets come from sampled bounds. Any bounds give right results; good ones only
-even out the work, so a rerun task can never disagree with its first run.
+Sort-dependent operators (dense keys, forward fill) need work split along the order
+itself, so that neither one task nor one key carries it all. The ranges are Spark's
+own; each row's range is written down with it, so no later task can disagree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, isqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MIN_BUCKETS = 8
-MAX_BUCKETS = 16_384
-SAMPLES_PER_BUCKET = 20
-_FORMATS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+from adlake.session import materialize
 
 
-def bucket_count(rows: int) -> int:
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, ceil(rows / ROWS_PER_BUCKET)))
+def ranged(frame: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """The frame with ``_bucket``, the number of its row's range in the order (nulls first).
 
-
-def _as_json(columns: Sequence[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]), _FORMATS)
-
-
-def _json_type(frame: DataFrame, columns: Sequence[str]) -> str:
-    return ", ".join(f"c{i}: {frame.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
-
-
-def sample_bounds(frame: DataFrame, order: Sequence[str], buckets: int, rows: int, seed: int = 7) -> list[str]:
-    """At most ``buckets - 1`` ascending order tuples, as JSON, that cut the order evenly.
-
-    The driver sees about ``SAMPLES_PER_BUCKET * buckets`` sampled tuples, a number set
-    by the bucket count and not by the table.
+    There are as many ranges as shuffle partitions, unless ``buckets`` says otherwise. The frame
+    is read twice, for the bounds and for the rows, and written once.
     """
-    if buckets < 2 or rows == 0:
-        return []
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
-    sampled = frame.select(*order).sample(fraction=fraction, seed=seed)
-    ascending = sampled.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    points = [r[0] for r in ascending.select(_as_json(order)).collect()]
-    step = max(1, len(points) // buckets)
-    return list(dict.fromkeys(points[step::step]))[: buckets - 1]
-
-
-def bucket_of(frame: DataFrame, order: Sequence[str], bounds: Sequence[str]) -> Column:
-    """Number of bounds at or below the row's order tuple: 0 .. len(bounds).
-
-    Bounds sit in groups of about the square root of their number, so a row is
-    compared with two short lists instead of all of them.
-    """
-    if not bounds:
-        return F.lit(0)
-    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
-    kind = f"struct<{_json_type(frame, order)}>"
-    width = max(1, isqrt(len(bounds)))
-    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    heads = F.from_json(F.lit(f"[{','.join(g[0] for g in groups)}]"), f"array<{kind}>", _FORMATS)
-    nested = F.lit(f"[{','.join('[' + ','.join(g) + ']' for g in groups)}]")
-    group = F.size(F.filter(heads, lambda head: head <= row))
-    members = F.get(F.from_json(nested, f"array<array<{kind}>>", _FORMATS), F.greatest(group - 1, F.lit(0)))
-    inside = F.size(F.filter(members, lambda bound: bound <= row))
-    return F.when(group == 0, 0).otherwise((group - 1) * width + inside)
-
-
-def bound_prefixes(frame: DataFrame, order: Sequence[str], bounds: Sequence[str], width: int) -> DataFrame:
-    """The distinct leading `width` columns of the bounds, under the frame's names."""
-    texts = F.explode(F.from_json(F.lit(f"[{','.join(bounds)}]"), f"array<struct<{_json_type(frame, order)}>>", _FORMATS))
-    rows = frame.sparkSession.range(1).select(texts.alias("b"))
-    return rows.select(*[F.col(f"b.c{i}").alias(order[i]) for i in range(width)]).distinct()
+    sort = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    parts = buckets or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(frame.repartitionByRange(parts, *sort).withColumn("_bucket", F.spark_partition_id()), "ranges")

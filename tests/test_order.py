@@ -14,7 +14,7 @@ from adlake.operators import pick
 from adlake.operators.fill import ffill
 from adlake.operators.keys import attach_keys, dense_key, dimension, unkeyed_rows
 from adlake.operators.layout import clustered, file_count, file_ranges
-from adlake.operators.ranges import bucket_of, sample_bounds
+from adlake.operators.ranges import ranged
 from adlake.session import materialize
 
 
@@ -37,14 +37,13 @@ def test_ranged_keys_equal_a_global_row_number(members, order):
     assert ranged.agg(F.min("key"), F.max("key"), F.count_distinct("key")).first() == (1, 3000, 3000)
 
 
-def test_bounds_are_few_and_buckets_follow_the_order(members):
+def test_ranges_follow_the_order(members):
     order = ["name", "code"]
-    bounds = sample_bounds(members, order, 16, 3000)
-    assert 10 <= len(bounds) <= 15
-    placed = members.withColumn("b", bucket_of(members, order, bounds))
-    ranked = placed.withColumn("before", F.lag("b").over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])))
-    assert ranked.filter("before > b").count() == 0
-    assert placed.groupBy("b").count().agg(F.max("count")).first()[0] < 1000
+    placed = ranged(members, order, 16)
+    ranked = placed.withColumn("before", F.lag("_bucket").over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])))
+    assert ranked.filter("before > _bucket").count() == 0 and placed.count() == 3000
+    sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1000
 
 
 def test_dimension_is_distinct_and_numbered(spark):
@@ -90,10 +89,7 @@ def test_ffill_equals_brute_force_with_a_hot_group(spark, gaps, buckets):
 
 def test_ffill_splits_the_hot_group(spark, gaps):
     frame = spark.createDataFrame(gaps, "u bigint, ts timestamp_ntz, id int, a double, b string")
-    order = ["u", "ts", "id"]
-    bounds = sample_bounds(frame, order, 32, 2000)
-    hot = frame.withColumn("b", bucket_of(frame, order, bounds)).filter("u = 7")
-    assert hot.select("b").distinct().count() > 5
+    assert ranged(frame, ["u", "ts", "id"], 32).filter("u = 7").select("_bucket").distinct().count() > 5
 
 
 @pytest.fixture(scope="module")
