@@ -19,7 +19,7 @@ from adlake.sources.tables import TableStore
 
 STAGING = "staging/ad_signals"
 PLAN = SilverPlan(FEEDS, FEED_MONEY, tie_order=TIE_ORDER)
-_LAKES: dict[tuple[str, str, str], Lake] = {}
+_LAKES: dict[tuple[str, str], Lake] = {}
 
 
 class Lake:
@@ -31,6 +31,7 @@ class Lake:
     def __init__(self, spark: SparkSession, folder: str, identity: str):
         self.spark = spark
         self.folder = folder
+        self.identity = identity
         place = hashlib.md5(f"{folder} {identity}".encode()).hexdigest()
         self.job = Medallion(TableStore(spark, f"{shared_folder(spark)}/lake-{place}"), PLAN)
 
@@ -64,12 +65,14 @@ class Lake:
         return self.gold[name]
 
 
-def lake(spark: SparkSession, folder: str) -> Lake:
-    """The lake of an input folder; a new one when the input files changed."""
+def lake(spark: SparkSession, folder: str, look_again: bool = False) -> Lake:
+    """The lake of an input folder. Its files are looked at once, and with ``look_again``; changed files give a new lake."""
     folder = os.path.normpath(folder) if "://" not in folder else folder.rstrip("/")
-    key = (spark.sparkContext.applicationId, folder, fingerprint(spark, folder))
-    if key not in _LAKES:
-        _LAKES[key] = Lake(spark, folder, key[2])
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LAKES or look_again:
+        identity = fingerprint(spark, folder)
+        if key not in _LAKES or _LAKES[key].identity != identity:
+            _LAKES[key] = Lake(spark, folder, identity)
     return _LAKES[key]
 
 
