@@ -23,8 +23,10 @@ from adlake.session import materialize
 SHINGLE_WORDS = 5
 #: Similarity, in hundredths.
 SIMILAR = 75
-#: Rounds that compare the members of a token with one leader before all that is left is compared.
-LEADER_ROUNDS = 2
+#: Rounds that compare the members of a token's list with one leader before all that is left is compared. Rounds after
+#: the first are left out where no more than FEW_CANDIDATES pairs a member are left, which changes no result.
+LEADER_ROUNDS = 3
+FEW_CANDIDATES = 1
 
 #: Seeds of the hash orders.
 _ORDERS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
@@ -33,9 +35,9 @@ _SENT = "bucket long, unit long, tokens binary, counts binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int64()), ("unit", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
 _COUNTS = "unit long, tokens binary, counts binary"
 _COUNTS_ARROW = pa.schema([("unit", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
-_SETS = "doc_id long, n long, s1 long, s2 long, prefix array<long>, shared binary, ends array<long>"
+_SETS = "doc_id long, n long, s1 long, s2 long, alone long, prefix array<long>, shared binary, ends array<long>"
 _SETS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
+    ("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("alone", pa.int64()),
     ("prefix", pa.list_(pa.int64())), ("shared", pa.binary()), ("ends", pa.list_(pa.int64())),
 ])
 
@@ -72,7 +74,7 @@ def _prefix_length(n: int) -> int:
 def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n (set size), s1 and s2 (signature of the set), and what the join needs of it.
 
-    prefix: the tokens of the rarest-first prefix that another document holds too, null where there
+    alone: tokens that no other document holds; they come first in the rarest-first order. prefix: the tokens of the rarest-first prefix that another document holds too, null where there
     are none, as then no other set can be similar. shared: all tokens that another document holds. ends: the last
     value of the prefix in each hash order. Document frequencies are counted over all documents.
     """
@@ -117,7 +119,8 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 n = int(edges[k + 1] - edges[k])
                 mine, also = tokens[own], more[own]
                 s1, s2 = (int(v[own].sum(dtype=np.uint64).view(np.int64)) for v in values)
-                room = _prefix_length(n) - int(n - also.sum()) if n else 0
+                alone = n - int(also.sum())
+                room = _prefix_length(n) - alone if n else 0
                 prefix = shared = ends = None
                 if room > 0:
                     held = mine[also]
@@ -126,7 +129,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                     # signed, so that Spark can hold it; read back as unsigned
                     last_of = _prefix_length(n) - 1
                     ends = [int(np.partition(v[own], last_of)[last_of].view(np.int64)) for v in values]
-                out.append((ids[first + k], n, s1, s2, prefix, shared, ends))
+                out.append((ids[first + k], n, s1, s2, alone, prefix, shared, ends))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SETS_ARROW.types, strict=True)], schema=_SETS_ARROW)
 
     sent = docs.groupBy("unit").applyInArrow(send, _SENT)
@@ -146,10 +149,13 @@ def _similar(x: tuple, y: tuple) -> bool:
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are similar. Sets are joined to pairs, so a frequent document is split like any skewed key."""
-    own = ("n", "shared", "ends")
-    left = sets.select(F.col("doc_id").alias("u"), F.struct(*own).alias("x"))
-    right = sets.select(F.col("doc_id").alias("v"), F.struct(*own).alias("y"))
+    """The pairs (u, v) whose sets are similar.
+
+    Sets are joined to pairs, so a frequent document is split like any skewed key; both joins read one
+    exchange of the sets.
+    """
+    own = sets.select("doc_id", "n", "shared", "ends")
+    set_of = F.struct("n", "shared", "ends")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
@@ -165,7 +171,9 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     out.append((u, v))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(verify, "u long, v long")
+    left = pairs.join(own, pairs["u"] == own["doc_id"]).select("u", "v", set_of.alias("x"))
+    both = left.join(own, left["v"] == own["doc_id"]).select("u", "v", "x", set_of.alias("y"))
+    return both.mapInArrow(verify, "u long, v long")
 
 
 def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -179,29 +187,31 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     Other columns don't matter. No documents: no rows.
 
     Equal sets go on as one representative. Comparing all members of a token's list would grow with the
-    square of a group, so each list first meets one leader, and members that turn out to be of
-    one component need no more comparison with each other. After LEADER_ROUNDS all candidates
-    of different components are compared; none is dropped.
+    square of a group, so each list first meets one leader, then what is outside its largest
+    component meets other leaders of that component; members that turn out to be of one component
+    need no more comparison with each other. At last all candidates of different components are
+    compared; none is dropped.
     """
     sets = materialize(shingle_sets(docs, size), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     reps = classes.select("s1", "s2", "n", F.col("rep").alias("doc_id"))
     own = ["doc_id", "s1", "s2", "n"]
     chosen = materialize(sets.filter("prefix is not null").join(reps, own, "left_semi").dropDuplicates(own), "representatives")
-    rows = chosen.select("doc_id", "n", F.explode("prefix").alias("token"))
+    rows = chosen.select("doc_id", "n", "alone", F.posexplode("prefix").alias("place", "token"))
+    # room: tokens of the set from this one on, in the rarest-first order
+    rows = rows.select("doc_id", "n", "token", (F.col("n") - F.col("alone") - F.col("place")).alias("room"))
     common = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     rows = materialize(rows.join(common, "token", "left_semi"), "postings")
+    total = rows.count()
 
-    links, label = None, None
+    label = None
     for turn in range(LEADER_ROUNDS + 1):
-        named = rows.withColumn("comp", F.col("doc_id")) if label is None else (
-            rows.join(label.select(F.col("u").alias("doc_id"), F.col("v").alias("root")), "doc_id", "left")
-            .withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
-        )
-        pairs = _with_leader(named, turn) if turn < LEADER_ROUNDS else _all_candidates(named)
+        lists = rows.withColumn("comp", F.col("doc_id")) if label is None else _labelled(rows, label)
+        if turn and turn < LEADER_ROUNDS and _candidates(lists) <= FEW_CANDIDATES * total:
+            continue
+        pairs = _all_candidates(lists) if turn == LEADER_ROUNDS else _with_leader(lists, turn)
         found = materialize(similar_pairs(pairs, chosen), "links")
-        links = found if label is None else label.unionAll(found)
-        label = components(links)
+        label = components(found if label is None else label.unionAll(found))
     label = label.select(F.col("u").alias("rep"), F.col("v").alias("root"))
     members = classes.join(label, "rep", "left").select("s1", "s2", "n", F.coalesce("root", "rep").alias("root"))
     return sets.join(members, ["s1", "s2", "n"], "left").select(
@@ -218,23 +228,50 @@ def single_documents(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
 
 
-def _near_sizes(n: str, m: str) -> F.Column:
-    return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m))
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    known = label.select(F.col("u").alias("doc_id"), F.col("v").alias("root"))
+    return rows.join(known, "doc_id", "left").withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
+
+
+def _may_be_similar(other: str) -> F.Column:
+    """Whether a token can be the first that two similar sets share: no more than what follows it in both can be common."""
+    room = F.least("room", f"{other}room")
+    return (100 + SIMILAR) * room >= SIMILAR * (F.col("n") + F.col(f"{other}n"))
 
 
-def _with_leader(named: DataFrame, turn: int) -> DataFrame:
-    """Each member of a token's list with the list's leader, where they aren't of one component."""
-    place = F.xxhash64(F.lit(turn), "doc_id")
-    lists = named.groupBy("token").agg(F.min(F.struct(place, "doc_id", "n", "comp")).alias("leader"), F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b")
-    met = named.join(lists, "token").filter((F.col("comp") != F.col("leader.comp")) & _near_sizes("n", "leader.n"))
-    return met.select(F.col("doc_id").alias("u"), F.col("leader.doc_id").alias("v")).distinct()
+def _main_components(lists: DataFrame) -> DataFrame:
+    """token, main (largest component of its list), few (members outside it), size; for lists of several components."""
+    sizes = lists.groupBy("token", "comp").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("most"), F.sum("c").alias("size"))
+    return largest.select("token", F.col("most.comp").alias("main"), (F.col("size") - F.col("most.c")).alias("few"), "size").filter("few > 0")
 
 
-def _all_candidates(named: DataFrame) -> DataFrame:
+def _candidates(lists: DataFrame) -> int:
+    """Pairs of tokens' lists that _all_candidates would meet at most."""
+    return int(_main_components(lists).agg(F.sum(F.col("few").cast("decimal(38,0)") * F.col("size"))).first()[0] or 0)
+
+
+def _with_leader(lists: DataFrame, turn: int) -> DataFrame:
+    """Members of a token's list with a leader of its largest component, where they are outside it.
+
+    At first every member is a component, and all lists of a document lead to few leaders; later each token has its own.
+    """
+    place = F.xxhash64("doc_id") if not turn else F.xxhash64(F.lit(turn), "token", "doc_id")
+    if turn:
+        lists = lists.join(_main_components(lists).select("token", "main"), "token")
+        led = lists.filter("comp = main")
+    else:
+        led = lists
+    leaders = led.groupBy("token").agg(F.min(F.struct(place.alias("place"), "doc_id", "n", "room", "comp")).alias("l"))
+    leaders = leaders.select("token", F.col("l.doc_id").alias("v"), F.col("l.n").alias("_n"), F.col("l.room").alias("_room"), F.col("l.comp").alias("_comp"))
+    met = lists.join(leaders, "token").filter((F.col("comp") != F.col("_comp")) & _may_be_similar("_"))
+    return met.select(F.col("doc_id").alias("u"), "v").distinct()
+
+
+def _all_candidates(lists: DataFrame) -> DataFrame:
     """Every pair of one token's list that is of two components: what is outside a list's largest component meets the list."""
-    sizes = named.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
-    lists = named.join(largest.select("token", F.col("most.comp").alias("main")), "token")
-    few = lists.filter("comp != main").select("token", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("comp").alias("cu"))
-    met = few.join(lists, "token").filter((F.col("comp") != F.col("cu")) & ((F.col("comp") == F.col("main")) | (F.col("u") < F.col("doc_id"))) & _near_sizes("nu", "n"))
+    lists = lists.join(_main_components(lists).select("token", "main"), "token")
+    few = lists.filter("comp != main").select("token", F.col("doc_id").alias("u"), F.col("n").alias("_n"), F.col("room").alias("_room"), F.col("comp").alias("_comp"))
+    once = (F.col("comp") == F.col("main")) | (F.col("u") < F.col("doc_id"))
+    met = few.join(lists, "token").filter((F.col("comp") != F.col("_comp")) & once & _may_be_similar("_"))
     return met.select("u", F.col("doc_id").alias("v")).distinct()
