@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, WHITE, Rolling, covered, per_row, slices, word_windows, words
+from adlake.llm.text import CODES, WHITE, Rolling, covered, distinct, per_row, slices, word_windows, words
 
 #: Word n-grams that are counted, and the number of buckets they are hashed to.
 GRAM_WORDS = (1, 2)
@@ -168,7 +168,7 @@ def _in_repeats(hashes: np.ndarray, rows: np.ndarray, counter: Counter) -> np.nd
 def _equal_lines(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, sums: np.ndarray, counter: Counter) -> np.ndarray:
     """Per row, lines with a word that equal an earlier line of the row."""
     breaks = np.flatnonzero(data == 0x0A)
-    firsts = np.unique(np.concatenate([bounds[:-1], breaks + 1]))
+    firsts = distinct(np.concatenate([bounds[:-1], breaks + 1]))
     firsts = firsts[firsts < len(data)]
     # a line ends at its line feed or with its text
     lasts = np.minimum(np.append(breaks, len(data))[np.searchsorted(breaks, firsts)], bounds[np.searchsorted(bounds, firsts, "right")])
