@@ -43,5 +43,5 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/frames/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
