@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +36,10 @@ _SENT = "bucket long, unit long, tokens binary, counts binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int64()), ("unit", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
 _COUNTS = "unit long, tokens binary, counts binary"
 _COUNTS_ARROW = pa.schema([("unit", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
-_SETS = "doc_id long, n long, s1 long, s2 long, alone long, prefix array<long>, shared binary, ends array<long>"
+_SETS = "doc_id long, n long, s1 long, s2 long, alone long, prefix array<int>, shared binary, ends array<long>"
 _SETS_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("alone", pa.int64()),
-    ("prefix", pa.list_(pa.int64())), ("shared", pa.binary()), ("ends", pa.list_(pa.int64())),
+    ("prefix", pa.list_(pa.int32())), ("shared", pa.binary()), ("ends", pa.list_(pa.int64())),
 ])
 
 
@@ -74,8 +75,9 @@ def _prefix_length(n: int) -> int:
 def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n (set size), s1 and s2 (signature of the set), and what the join needs of it.
 
-    alone: tokens that no other document holds; they come first in the rarest-first order. prefix: the tokens of the rarest-first prefix that another document holds too, null where there
-    are none, as then no other set can be similar. shared: all tokens that another document holds. ends: the last
+    alone: tokens that no other document holds; they come first in the rarest-first order. shared: all
+    others, ascending. prefix: places in shared of those in the rarest-first prefix. Both are null where the
+    prefix has none, as then no other set can be similar. ends: the last
     value of the prefix in each hash order. Document frequencies are counted over all documents.
     """
     docs, units = with_units(docs)
@@ -124,7 +126,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 prefix = shared = ends = None
                 if room > 0:
                     held = mine[also]
-                    prefix = held[np.lexsort((held, frequency[own][also]))[:room]].view(np.int64)
+                    prefix = np.lexsort((held, frequency[own][also]))[:room].astype(np.int32)
                     shared = pack(held)
                     # signed, so that Spark can hold it; read back as unsigned
                     last_of = _prefix_length(n) - 1
@@ -137,6 +139,23 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.groupBy("unit").cogroup(told.groupBy("unit")).applyInArrow(build, _SETS)
 
 
+def prefix_tokens(sets: DataFrame) -> DataFrame:
+    """doc_id, n, token, room of every prefix token; room: tokens of the set from this one on, in the rarest-first order."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch["prefix"]).to_numpy()
+            prefixes = batch["prefix"].flatten().to_numpy()
+            ends = np.cumsum(sizes)
+            tokens = [unpack(blob.as_py())[prefixes[b - k : b]] for blob, k, b in zip(batch["shared"], sizes, ends, strict=True)]
+            places = np.arange(len(prefixes)) - np.repeat(ends - sizes, sizes)
+            of = [np.repeat(batch[name].to_numpy(), sizes) for name in ("doc_id", "n", "alone")]
+            token = np.concatenate([np.zeros(0, np.uint64), *tokens]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of[0], of[1], token, of[1] - of[2] - places)], names=["doc_id", "n", "token", "room"])
+
+    return sets.select("doc_id", "n", "alone", "prefix", "shared").mapInArrow(unfold, "doc_id long, n long, token long, room long")
+
+
 def _similar(x: tuple, y: tuple) -> bool:
     """Whether two sets (n, shared tokens, ends) are similar: first the prefixes of every order, then the sets."""
     (n, mine, ends), (m, other, others) = x, y
@@ -197,9 +216,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     reps = classes.select("s1", "s2", "n", F.col("rep").alias("doc_id"))
     own = ["doc_id", "s1", "s2", "n"]
     chosen = materialize(sets.filter("prefix is not null").join(reps, own, "left_semi").dropDuplicates(own), "representatives")
-    rows = chosen.select("doc_id", "n", "alone", F.posexplode("prefix").alias("place", "token"))
-    # room: tokens of the set from this one on, in the rarest-first order
-    rows = rows.select("doc_id", "n", "token", (F.col("n") - F.col("alone") - F.col("place")).alias("room"))
+    rows = prefix_tokens(chosen)
     common = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     rows = materialize(rows.join(common, "token", "left_semi"), "postings")
     total = rows.count()
