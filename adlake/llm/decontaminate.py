@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, LOWER, NOT_ALNUM, Rolling, covered, member, per_row, slices, word_windows, words
+from adlake.llm.text import CODES, LOWER, NOT_ALNUM, Rolling, covered, member, per_row, slices, text_of, word_windows, words
 
 WINDOW_WORDS = 13
 #: Grams that one broadcast may hold, in bytes of their words. Larger benchmarks are taken in blocks.
@@ -114,8 +114,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, block_bytes: int) -> DataFrame:
-    """docs, which has a column text, with found_words, found_spans and found_items.
+def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, block_bytes: int, text: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """docs with found_words, found_spans and found_items; text: the texts of a batch.
 
     Blocks of grams follow each other on the same batches; nothing is shuffled.
     """
@@ -130,7 +130,7 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, block_bytes: int)
             for batch in batches:
                 old = batch.select(["found_spans", "found_items"]).to_pylist()
                 counts, spans, items = [], [], []
-                for before, (n, ranges, ids) in zip(old, _hits(batch["text"], shared.value, scanner), strict=True):
+                for before, (n, ranges, ids) in zip(old, _hits(text(batch), shared.value, scanner), strict=True):
                     ranges = _merged([(x["first"], x["last"]) for x in before["found_spans"]] + ranges)
                     counts.append(n)
                     spans.append([{"first": a, "last": b} for a, b in ranges])
@@ -161,7 +161,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
     grams are broadcast in blocks of about ``block_bytes``, and all documents meet every block.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    return _scanned(docs, benchmark, size, block_bytes).select(
+    return _scanned(docs, benchmark, size, block_bytes, lambda batch: batch["text"]).select(
         "doc_id", F.col("found_words").alias("n_words"), F.col("found_hit").alias("n_hit"),
         F.size("found_items").cast("long").alias("n_items"), F.sha2(F.array_join("found_items", ","), 256).alias("items_sha256"),
         _is_contaminated().alias("contaminated"), F.col("found_items").alias("items"), F.col("found_spans").alias("spans"),
@@ -170,5 +170,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that aren't contaminated, with all their columns and as they are, in one pass without a shuffle."""
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    return _scanned(carried, benchmark, size, block_bytes).filter(~_is_contaminated()).select("row.*")
+    columns = docs.columns
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    return _scanned(carried, benchmark, size, block_bytes, lambda batch: text_of(batch["row"], columns)).filter(~_is_contaminated()).select("row.*")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, WHITE, Rolling, mix, slices, word_windows, words
+from adlake.llm.text import CODES, WHITE, Rolling, mix, slices, text_of, word_windows, words
 
 #: Labelled documents of each class that the vectors are fitted on, the first by a hash of their doc_id.
 SAMPLE_PER_CLASS = 1500
@@ -157,12 +157,12 @@ def of_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_C
     """
     weights = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs, labels, per_class)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    carried = docs.filter("doc_id is not null").select(row, F.col("text").cast("string").alias("text"))
+    carried, columns = docs.filter("doc_id is not null").select(row), docs.columns
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            for first, last, scores in _scores(features, batch["text"], weights.value):
-                yield batch.select(["row"]).slice(first, last - first).filter(pa.array(scores >= PREDICTED_FROM))
+            for first, last, scores in _scores(features, text_of(batch["row"], columns), weights.value):
+                yield batch.slice(first, last - first).filter(pa.array(scores >= PREDICTED_FROM))
 
-    return carried.mapInArrow(choose, carried.select("row").schema).select("row.*")
+    return carried.mapInArrow(choose, carried.schema).select("row.*")

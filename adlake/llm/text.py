@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -96,6 +96,11 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         first = last
 
 
+def text_of(rows: pa.StructArray, columns: list[str]) -> pa.Array:
+    """The text of rows that are carried whole as structs; by place, as other names may differ in case only."""
+    return pc.struct_field(rows, [columns.index("text")])
+
+
 def words(data: np.ndarray, bounds: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word; outside: the bytes between words."""
     inside = ~outside[data]

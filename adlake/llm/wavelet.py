@@ -38,7 +38,7 @@ BLOCK_BITS = 512
 #: Texts are handed to the tokenizer in runs of about so many bytes.
 RUN_BYTES = 1 << 16
 #: Pieces of text whose ids a worker remembers.
-MEMORY_PIECES = 1 << 21
+MEMORY_PIECES = 3 << 18
 #: Module in which a worker keeps its encoders.
 _KEPT = "adlake_llm_encoders"
 
