@@ -29,6 +29,7 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("proprietary", "Copyright. All rights reserved."),
+    ("proprietary", "All rights reserved."),
 ]
 #: A line states the licence of its best template from this cosine.
 SIMILAR = 0.8
@@ -88,6 +89,15 @@ def document_frequencies(files: DataFrame, templates: list[tuple[str, str]]) ->
     return int(counts[-1]), counts[:-1]
 
 
+def shares(templates: list[tuple[str, str]], vocabulary: list[str]) -> np.ndarray:
+    """What share of each template each term is, whatever the texts: a term counts by how few of the licences use it."""
+    users = {t: {name for name, text in templates if t in terms_of(text)} for t in vocabulary}
+    rare = np.array([math.log((1 + len({name for name, _ in templates})) / (1 + len(users[t]))) + 1 for t in vocabulary])
+    counts = np.array([[terms_of(text).count(t) for t in vocabulary] for _, text in templates], float)
+    found = (counts * rare) ** 2
+    return found / found.sum(axis=1, keepdims=True)
+
+
 def own_licences(files: DataFrame, templates: list[tuple[str, str]], similar: float) -> DataFrame:
     """files (file, path, text) with own (licence of the best line), score, licence_words and n_words, without the text."""
     n, frequencies = document_frequencies(files, templates)
@@ -97,7 +107,7 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], similar: fl
     for k, (_, text) in enumerate(templates):
         for t in terms_of(text):
             vectors[k, terms.vocabulary.index(t)] += idf[terms.vocabulary.index(t)]
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    share = shares(templates, terms.vocabulary)
     names = [name for name, _ in templates]
     by_name = sorted(range(len(names)), key=lambda k: names[k])
 
@@ -119,7 +129,9 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], similar: fl
                 norms = np.sqrt(np.bincount(line, weight**2, minlength=size))
                 best, which = np.zeros(size), np.zeros(size, np.int64)
                 for k in by_name:  # of equal cosines the first name
-                    cosine = np.bincount(line[known], weight[known] * vectors[k, term], minlength=size) / np.maximum(norms, 1e-12)
+                    among = np.bincount(line[known], vectors[k, term] ** 2, minlength=size)  # words that line and template share
+                    held = np.minimum(np.bincount(line[known], share[k, term], minlength=size), 1)
+                    cosine = np.bincount(line[known], weight[known] * vectors[k, term], minlength=size) / np.maximum(norms * np.sqrt(among), 1e-12) * np.sqrt(held)
                     better = cosine > best + 1e-9
                     best[better], which[better] = cosine[better], k
                 counts = per_row(lines, size)
@@ -145,7 +157,9 @@ def licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, sim
     """file, path, licence, origin (header, inherited, none), score, directory (whose licence file speaks).
 
     files: file, path, text. Each line of a text is a sparse TF-IDF vector, with document
-    frequencies over all texts; a line states the template of the largest cosine, from ``similar`` on. A file
+    frequencies over all texts; a line states the template of the largest cosine, from ``similar`` on. The cosine is
+    taken over the words of the line, times the root of the share of the template that the line holds; that share
+    does not depend on the texts, so frequencies of words that a line lacks change nothing. A file
     has the licence of its best line (of equal ones the first by name). A file whose words stand in stating
     lines to ``file_share`` or more is a licence file and speaks for its directory: of several the one of the best score, then the
     first by licence. Files without a statement inherit from the nearest directory above them that

@@ -297,6 +297,22 @@ def test_licences_in_real_texts(spark, real):
     assert stated >= 3
 
 
+def test_licences_at_every_size(spark):
+    """Every planted notice is found, and the score of a line does not follow the frequency of template words it lacks."""
+    notices = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "All rights reserved.", "Licensed under CC BY-NC 4.0.",
+               "This work is licensed under the GNU General Public License, version 3."]
+    for folder in (MORE, TESTDATA.replace("sf0.001", "sf0.1")):
+        planted = {r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if set((r.text or "").split("\n")) & set(notices)}
+        found = {r.doc_id for r in queries.op6_license_scan(spark, folder).filter("origin = 'header'").select("doc_id").collect()}
+        assert planted and planted <= found
+    template, scores = [("proprietary", "Copyright. All rights reserved.")], set()
+    for n in (3, 300):
+        files = [(1, "a", "All rights reserved."), *[(k + 2, "b", "copyright" if n == 3 else "words alone") for k in range(n)]]
+        found = licenses.licences(spark.createDataFrame(files, "file long, path string, text string"), template)
+        scores |= {r.score for r in found.filter("file = 1").collect()}
+    assert len(scores) == 1 and min(scores) >= licenses.SIMILAR
+
+
 # -- 9, 10 ---------------------------------------------------------------------
 
 
