@@ -313,6 +313,36 @@ def test_licences_at_every_size(spark):
     assert len(scores) == 1 and min(scores) >= licenses.SIMILAR
 
 
+def test_licence_texts_and_wrapped_headers(spark):
+    """Whole licence files, headers over several lines and usual short forms, among many texts."""
+    import textwrap
+
+    def header(name, start, mark):
+        text = next(x for n, x in licenses.TEMPLATES if n == name and x.startswith(start))
+        return "\n".join(f"{mark} {x}".rstrip() for part in text.split("\n") for x in [*textwrap.wrap(part, 60), ""])
+
+    code = "\n".join(f"{brute.prose(k, 6)};" for k in range(200, 260))
+    stated = {
+        "s/a": ("MIT", "MIT License"), "s/b": ("MIT", "This file is released under the MIT License."), "s/c": ("GPL", "GNU GENERAL PUBLIC LICENSE"),
+        "s/d": ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0\n" + code), "s/e": ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"),
+        "s/f": ("Apache-2.0", "#!/usr/bin/env python\n# Copyright 2020 Some Body\n#\n" + header("Apache-2.0", "Licensed under the Apache License, Version 2.0 (", "#") + "\nimport os\n" + code),
+        "s/g": ("LGPL-2.1", code + "\n/*\n" + header("LGPL-2.1", "This library", " *") + " */\n" + code),
+        "s/h": ("MPL-2.0", header("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.\n", "//") + "\n" + code),
+        "s/i": ("Apache-2.0", code + "\nLicensed under the\nApache License, Version 2.0.\n\n" + code),
+    }
+    files = [(path, text) for path, (_, text) in stated.items()]
+    for name, text in licenses.licence_texts():
+        files += [(f"w/{name}/LICENSE", "Copyright (c) 2019 Some Body\n\n" + text), (f"w/{name}/code/file", brute.prose(1, 50))]
+    files += [(f"n/{k}", brute.prose(k, 100) + "\nthe license of the software") for k in range(300)]
+    frame = spark.createDataFrame(files, "path string, text string").withColumn("file", F.col("path"))
+    found = {r.path: r for r in licenses.licences(frame).collect()}
+    assert {p: (found[p].licence, found[p].origin) for p in stated} == {p: (name, "header") for p, (name, _) in stated.items()}
+    for name, _ in licenses.licence_texts():
+        assert (found[f"w/{name}/LICENSE"].licence, found[f"w/{name}/LICENSE"].origin) == (name, "header")
+        assert (found[f"w/{name}/code/file"].licence, found[f"w/{name}/code/file"].directory) == (name, f"w/{name}")
+    assert {found[f"n/{k}"].origin for k in range(300)} == {"none"}
+
+
 # -- 9, 10 ---------------------------------------------------------------------
 
 
