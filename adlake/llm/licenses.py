@@ -107,8 +107,9 @@ class Terms:
         self.rolling = Rolling()
         self.vocabulary = vocabulary
         data = np.frombuffer("".join(self.vocabulary).encode(), np.uint8)
-        ends = np.cumsum([len(t.encode()) for t in self.vocabulary])
-        hashes = self.rolling.ranges(self.rolling.prefix(CODES[data]), np.append(0, ends[:-1]), ends)
+        sizes = np.array([len(t.encode()) for t in self.vocabulary], np.int64)
+        ends = np.cumsum(sizes)
+        hashes = self.rolling.ranges(self.rolling.prefix(CODES[data]), ends - sizes, ends)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
 
@@ -128,23 +129,25 @@ class Terms:
         return self.order[np.searchsorted(self.hashes, hashes)]
 
 
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
-    """Number of texts, and in how many each term of the templates occurs. The driver gets a number per term."""
-    size = len(vocabulary)
+def document_frequencies(files: DataFrame, among: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of texts, and in how many each of the sorted hashes among occurs. Tasks send sums; the driver gets a number per hash."""
+    sc = files.sparkSession.sparkContext
+    asked, size = sc.broadcast(among), len(among)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = Terms(vocabulary), np.zeros(size + 1, np.int64)
+        terms, total = Terms([]), np.zeros(size + 1, np.int64)
         for batch in batches:
             for first, last, rows, _, hashes in terms.scan(batch["text"]):
-                known = member(hashes, terms.hashes)
-                pairs = np.unique(rows[known] * (1 << 20) + terms.term(hashes[known]))
-                total += np.bincount(pairs % (1 << 20), minlength=len(total))
+                at = np.flatnonzero(member(hashes, asked.value))
+                pairs = np.unique(rows[at] * (size + 1) + np.searchsorted(asked.value, hashes[at]))
+                total += np.bincount(pairs % (size + 1), minlength=size + 1)
                 total[-1] += last - first
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["term", "n"])
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
 
-    found, counts = files.select("text").mapInArrow(count, "term long, n long"), np.zeros(size + 1, np.int64)
-    for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect():
-        counts[r["term"]] = r["n"]
+    found, counts = files.select("text").mapInArrow(count, "place long, n long"), np.zeros(size + 1, np.int64)
+    sums = found.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts[sums["place"].to_numpy()] = sums["n"].to_numpy()
     return int(counts[-1]), counts[:-1]
 
 
@@ -173,6 +176,7 @@ class Templates:
     def weigh(self, idf: np.ndarray, unknown: float, least: float) -> None:
         """anchors: terms of which each text that holds ``least`` of a template has one; the rarest, so that few others do."""
         self.idf, self.unknown, anchors = idf, unknown, set()
+        self.others, self.others_idf = np.zeros(0, np.uint64), np.zeros(0)
         for at, share in zip(self.terms, self.shares):
             order = np.argsort(-idf[at], kind="stable")
             anchors.update(at[order[: int(np.searchsorted(np.cumsum(share[order]), 1 - least + 1e-9)) + 1]].tolist())
@@ -207,6 +211,9 @@ class Vectors:
         self.term = terms.term(found[known])
         weight = np.full(len(at), templates.unknown)
         weight[known] = templates.idf[self.term]
+        other = member(found, templates.others)
+        weight[other] = templates.others_idf[np.searchsorted(templates.others, found[other])]
+        self.strange = self.unit[~known], found[~known]
         weight *= tf
         self.templates, self.size = templates, size
         self.squares = np.bincount(self.unit, weight**2, minlength=size)
@@ -227,12 +234,18 @@ class Vectors:
         return np.bincount(self.unit[on], self.weight[on] ** 2, minlength=self.size) >= RUN_SHARE * np.maximum(self.squares, 1e-12)
 
 
+    def strangers(self, units: np.ndarray) -> np.ndarray:
+        """Words of the marked units that no template holds."""
+        unit, hashes = self.strange
+        return np.unique(hashes[units[unit]])
+
+
 def numbered(changes: np.ndarray) -> np.ndarray:
     return np.cumsum(changes) - 1 if len(changes) else np.zeros(0, np.int64)
 
 
-def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.ndarray, hashes: np.ndarray, size: int, similar: float) -> tuple[list[tuple[int, int, float]], dict[tuple[int, str], float]]:
-    """(row, template, cosine) of every unit that states a licence, and by row and licence the cosine of the whole file."""
+def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.ndarray, hashes: np.ndarray, size: int, similar: float, file_similar: float) -> tuple[list[tuple[int, int, float]], dict[tuple[int, str], float], list[np.ndarray]]:
+    """(row, template, cosine) of every unit that states a licence, by row and licence the cosine of the whole file, and what words outside the templates matter."""
     has = np.zeros(size, bool)
     has[rows[member(hashes, np.sort(terms.hashes_of(templates.anchors)))]] = True
     pick = np.flatnonzero(has[rows])
@@ -241,7 +254,7 @@ def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.n
     pairs = np.unique(rows[known] * width + terms.term(hashes[known]))
     covered = templates.covering(pairs // width, pairs % width, size, similar**2)
     if not covered:
-        return [], {}
+        return [], {}, []
     pick = np.flatnonzero(np.any(list(covered.values()), axis=0)[rows])
     rows, lines, hashes = rows[pick], lines[pick], hashes[pick]
     fresh = np.ones(len(lines), bool)
@@ -251,7 +264,7 @@ def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.n
     apart = np.ones(len(number), bool)  # a line without words ends a block
     apart[1:] = (number[1:] != number[:-1] + 1) | (row_of_line[1:] != row_of_line[:-1])
     block = numbered(apart)
-    found, whole = [], {}
+    found, whole, strange = [], {}, []
     by_line = Vectors(terms, templates, line, hashes, len(number))
     by_block = Vectors(terms, templates, block[line], hashes, int(block[-1]) + 1)
     by_file = Vectors(terms, templates, rows, hashes, size)
@@ -260,11 +273,14 @@ def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.n
         for vectors, row_of in ((by_line, row_of_line), (by_block, row_of_block), (by_file, np.arange(size))):
             cosine = vectors.cosines(k)
             found += [(int(row_of[u]), k, float(cosine[u])) for u in np.flatnonzero(cosine >= similar)]
+            strange.append(vectors.strangers(cosine >= (min(similar, file_similar) if vectors is by_file else similar)))
             if vectors is by_file:
                 for u in np.flatnonzero(held).tolist():
                     key = (u, templates.names[k])
                     whole[key] = max(whole.get(key, 0.0), float(cosine[u]))
-        of = np.flatnonzero(by_line.belonging(k) & held[row_of_line])  # runs of lines, also over those without words
+        belong = by_line.belonging(k) & held[row_of_line]  # runs of lines, also over those without words
+        strange.append(by_line.strangers(belong))
+        of = np.flatnonzero(belong)
         if len(of) < 2:
             continue
         begins = np.ones(len(of), bool)
@@ -277,20 +293,37 @@ def statements(terms: Terms, templates: Templates, rows: np.ndarray, lines: np.n
         cosine = Vectors(terms, templates, run[line[at]], hashes[at], len(long)).cosines(k)
         row_of = row_of_line[of[begins]]
         found += [(int(row_of[u]), k, float(cosine[u])) for u in np.flatnonzero(cosine >= similar)]
-    return found, whole
+    return found, whole, strange
 
 
 def own_licences(files: DataFrame, templates: list[tuple[str, str]], texts: list[tuple[str, str]], similar: float, file_similar: float) -> DataFrame:
     """files (file, path, text) with own (licence of the best statement), score and speaks (is a licence file), without the text."""
     against = Templates(templates, texts)
-    n, frequencies = document_frequencies(files, against.vocabulary)
-    against.weigh(np.log((1 + n) / (1 + frequencies)) + 1, math.log(1 + n) + 1, similar**2)
+    known = Terms(against.vocabulary)
+    n, frequencies = document_frequencies(files, known.hashes)
+    idf = np.empty(len(frequencies))
+    idf[known.order] = np.log((1 + n) / (1 + frequencies)) + 1
+    against.weigh(idf, 1.0, similar**2)  # no word weighs less than 1, so no statement is missed
+
+    def strange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(against.vocabulary)
+        for batch in batches:
+            for first, last, rows, lines, hashes in terms.scan(batch["text"]):
+                asked = statements(terms, against, rows, lines, hashes, last - first, similar, file_similar)[2]
+                if asked:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(asked)).view(np.int64))], names=["hash"])
+
+    others = np.sort(files.select("text").mapInArrow(strange, "hash long").distinct().toArrow()["hash"].to_numpy().view(np.uint64))
+    n, frequencies = document_frequencies(files, others) if len(others) else (n, np.zeros(0, np.int64))
+    against.unknown = math.log(1 + n) + 1  # of units that state nothing
+    weights = files.sparkSession.sparkContext.broadcast((others, np.log((1 + n) / (1 + frequencies)) + 1))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, names = Terms(against.vocabulary), against.names
+        against.others, against.others_idf = weights.value
         for batch in batches:
             for first, last, rows, lines, hashes in terms.scan(batch["text"]):
-                found, whole = statements(terms, against, rows, lines, hashes, last - first, similar)
+                found, whole, _ = statements(terms, against, rows, lines, hashes, last - first, similar, file_similar)
                 best: dict[int, tuple] = {}
                 for row, k, cosine in found:  # whole licences first, then the larger cosine, then the first name
                     says = (not against.whole[k], names[k] in GENERIC, -round(cosine, 9), names[k])
@@ -309,8 +342,8 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], texts: list
 def licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, similar: float = SIMILAR, file_similar: float = FILE_SIMILAR, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """file, path, licence, origin (header, inherited, none), score, directory (whose licence file speaks).
 
-    files: file, path, text. Compared as sparse TF-IDF vectors, with document frequencies over all texts and
-    1 + log of the count of a word, are: each line; each block, which is lines up to one without words; the longest
+    files: file, path, text. Compared as sparse TF-IDF vectors, with document frequencies of all words over all texts
+    (words outside the templates are counted if a unit with them can be a statement, the driver gets a number for each) and 1 + log of the count of a word, are: each line; each block, which is lines up to one without words; the longest
     runs of lines that lie on words of a template, over lines without words too, so wrapped headers anywhere; and
     the whole file. Templates are notices and headers (``templates``) and whole licences (``texts``; by default those of
     ``licence_texts``). The cosine is taken over the words of the unit, times the root of the share of the template

@@ -343,6 +343,16 @@ def test_licence_texts_and_wrapped_headers(spark):
     assert {found[f"n/{k}"].origin for k in range(300)} == {"none"}
 
 
+def test_licences_weigh_every_word(spark):
+    """Words outside the templates weigh by their own document frequency."""
+    common, rare = brute.prose(5, 4), brute.prose(6, 4)
+    files = [(1, "a/1", f"Released under the MIT License, {common}."), (2, "b/2", f"Released under the MIT License, {rare}."), *[(k, "c/3", f"x{k} {common}") for k in range(3, 300)]]
+    found = {r.file: r for r in licenses.licences(spark.createDataFrame(files, "file long, path string, text string")).collect()}
+    stated, extra = np.log(300 / 3) + 1, np.log(300 / 299) + 1
+    assert found[1].licence == "MIT" and found[1].score == pytest.approx(np.sqrt(5 * stated**2 / (5 * stated**2 + 4 * extra**2)), abs=1e-6)
+    assert found[2].origin == "none"
+
+
 # -- 9, 10 ---------------------------------------------------------------------
 
 
