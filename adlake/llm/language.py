@@ -22,8 +22,9 @@ from adlake.llm.text import CODES, LOWER, Rolling, slices
 #: Training texts of each language, and how many of them are landmarks; the first by a hash of doc_id.
 SAMPLE_PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 32
-#: Languages that are learnt, the most frequent ones.
-MAX_LANGUAGES = 256
+#: Every language is learnt: beyond so many texts or landmarks in all, each language has fewer, down to one text.
+SAMPLE_IN_ALL = 12_000
+LANDMARKS_IN_ALL = 2048
 GRAM_BYTES = (1, 2, 3, 4)
 BUCKETS = 1 << 13
 RIDGE = 1e-2
@@ -73,11 +74,11 @@ def _documents(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, int, bytes]]:
-    """Language, place and presence row of at most per_language texts of each of the MAX_LANGUAGES most frequent languages."""
+    """Language, place and presence row of at most per_language texts of each language, of fewer the more languages there are."""
     learnt = _documents(docs, F.col("lang").cast("string").alias("lang")).filter((F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    names = [r["lang"] for r in learnt.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    per_language = max(1, min(per_language, SAMPLE_IN_ALL // max(1, learnt.select("lang").distinct().count())))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ids = learnt.filter(F.col("lang").isin(names)).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
+    ids = learnt.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence = Presence()
@@ -95,15 +96,23 @@ def fit(sample: list[tuple[str, int, bytes]]) -> tuple[list[str], np.ndarray, np
     names = sorted({lang for lang, _, _ in sample})
     if not sample:
         return names, np.zeros((0, BUCKETS), np.float32), np.zeros((0, 0), np.float32)
-    rows = np.unpackbits(np.frombuffer(b"".join(bits for _, _, bits in sample), np.uint8)).reshape(len(sample), BUCKETS).astype(np.float32)
-    landmarks = rows[[place <= LANDMARKS_PER_LANGUAGE for _, place, _ in sample]]
+    packed = np.frombuffer(b"".join(bits for _, _, bits in sample), np.uint8).reshape(len(sample), BUCKETS // 8)
+
+    def rows(some: np.ndarray) -> np.ndarray:
+        return np.unpackbits(some, axis=1).astype(np.float32)
+
+    per_language = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS_IN_ALL // len(names)))
+    chosen = [k for k, (_, place, _) in enumerate(sample) if place <= per_language]
+    chosen = sorted(sorted(chosen, key=lambda k: zlib.crc32(sample[k][0].encode()))[:LANDMARKS_IN_ALL])
+    landmarks = rows(packed[chosen])
     # K_mm^(-1/2) from its eigenvectors, without the directions that rounding makes
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
     strong = values > 1e-6 * values.max()
     root = vectors[:, strong] / np.sqrt(values[strong])
-    mapped = kernel(rows, landmarks).astype(np.float64) @ root
-    targets = np.array([[lang == name for name in names] for lang, _, _ in sample], np.float64)
-    solved = np.linalg.solve(mapped.T @ mapped + RIDGE * np.eye(mapped.shape[1]), mapped.T @ targets)
+    mapped = np.concatenate([kernel(rows(packed[a : a + BATCH]), landmarks).astype(np.float64) @ root for a in range(0, len(sample), BATCH)])
+    sums = np.zeros((len(names), mapped.shape[1]))  # of the rows of each language
+    np.add.at(sums, np.searchsorted(np.array(names, object), np.array([lang for lang, _, _ in sample], object)), mapped)
+    solved = np.linalg.solve(mapped.T @ mapped + RIDGE * np.eye(mapped.shape[1]), sums.T)
     return names, landmarks, (root @ solved).astype(np.float32)
 
 

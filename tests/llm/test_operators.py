@@ -262,6 +262,20 @@ def test_mix_of_awkward_rows(spark, messy, docs):
     assert rows(mixing.mixed_documents(messy), "doc_id") == sorted((i,) for i, t in docs if brute.words(t))
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than were learnt before, most of them rare."""
+    def text(lang, k):
+        vocabulary = [f"{zlib.crc32(f'{lang}:{w}'.encode()):x}".translate(str.maketrans("0123456789", "ghijklmnop")) for w in range(12)]
+        return " ".join(vocabulary[zlib.crc32(f"{k}:{w}".encode()) % 12] for w in range(30))
+
+    rows = [(lang * 100 + k, f"l{lang}", text(lang, k)) for lang in range(300) for k in range(6 if lang < 250 else 4)]
+    found = language.predicted_languages(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()
+    learnt = {i // 100 for i, *_ in rows if zlib.crc32(str(i).encode()) % language.FOLDS != language.HELD_OUT}
+    assert len(learnt) > 256
+    right = [r.lang_pred == f"l{r.doc_id // 100}" for r in found if r.doc_id // 100 in learnt]
+    assert {r.lang_pred for r in found} == {f"l{k}" for k in learnt} and np.mean(right) > 0.95
+
+
 # -- 6 -------------------------------------------------------------------------
 
 
