@@ -129,15 +129,21 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(name)
 
 
+def in_documents(records: DataFrame, key: str, record: F.Column, size: int = 1000) -> DataFrame:
+    """value: JSON documents of at most ``size`` records of one key, whatever the number of its rows; blocks follow the order of the scan."""
+    blocks = records.select(key, record.alias("_record"), F.expr(f"monotonically_increasing_id() div {size}").alias("_block"))
+    return blocks.groupBy(key, "_block").agg(F.to_json(F.struct(F.collect_list("_record").alias("products"))).alias("value")).select("value")
+
+
 def catalog_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a list of records each, exploded, typed, stamped, loaded and reread. The turns of a conversation are its records."""
     record = F.struct(
         (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"), F.col("role").alias("title"), F.col("text").alias("description"),
         F.when(F.col("turn") == 3, "n/a").otherwise(F.length("text").cast("string")).alias("price"), F.col("turn").cast("string").alias("stock"),
     )
-    documents = source(spark, folder, "conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.collect_list(record).alias("products"))).alias("value"))
+    documents = in_documents(source(spark, folder, "conversations"), "conv_id", record)
     path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
-    documents.select("value").write.text(path)
+    documents.write.text(path)
     records = explode_records(spark, path, "products", "id string, title string, description string, price string, stock string", multi_line=False)
     store = _job(spark).store
     store.write(records_to_catalog(records, "2024-09-01 12:30:05"), CATALOG_TABLE)

@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import CATALOG_TABLE, CATALOG_TYPES
@@ -146,3 +147,13 @@ def test_nothing_is_left_when_the_application_ends(tmp_path):
     while list((tmp_path / "adlake").iterdir()) and time.time() < until:
         time.sleep(0.5)
     assert list((tmp_path / "adlake").iterdir()) == []
+
+
+def test_documents_of_a_hot_key_are_bounded(spark):
+    """One conversation holds nearly all turns: no document has more than its number of records, and none is lost."""
+    from adlake.queries import in_documents
+
+    rows = spark.range(5000).select(F.when(F.col("id") < 4900, 1).otherwise(F.col("id")).alias("conv_id"), "id")
+    found = in_documents(rows, "conv_id", F.struct(F.col("id")), 100).select(F.from_json("value", "products array<struct<id: long>>").alias("v")).collect()
+    assert max(len(r.v.products) for r in found) <= 100
+    assert sorted(x.id for r in found for x in r.v.products) == list(range(5000))
