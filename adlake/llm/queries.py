@@ -13,9 +13,12 @@ from adlake.llm.jaccard import similarity_components
 from adlake.llm.language import predicted_languages
 from adlake.llm.licenses import licences
 from adlake.llm.mixing import mixed
+from adlake.llm.packing import packed_documents
 from adlake.llm.rules import quality_rules
+from adlake.llm.spelling import spelling_variants
 from adlake.llm.substrings import repeated_windows
 from adlake.llm.suffixes import repeated_substrings
+from adlake.llm.trie import conversation_trie
 from adlake.llm.wavelet import tokenized
 
 
@@ -86,6 +89,21 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"), trusted)
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, empty texts and repeated rows as in ``packed_documents``."""
+    return packed_documents(table(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, empty texts and repeated rows as in ``spelling_variants``."""
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, ties and repeated rows as in ``conversation_trie``."""
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_language_id": op2_language_id,
@@ -97,8 +115,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an SQL string expression's UTF-8 bytes."""
+    octet = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    step = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END"
+    octets = f"list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({text}))), lambda k: {octet}))"
+    return f"(4294967295 - list_reduce({octets}, lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, i: {step})))"
+
+
 ORACLES: dict[str, str] = {
     "op5_source_mix": r"""
 WITH d AS MATERIALIZED (
@@ -146,5 +175,60 @@ kept AS (
   GROUP BY 1)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
+    "op12_spelling_variants": r"""
+WITH runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents WHERE doc_id IS NOT NULL) GROUP BY ALL),
+h AS MATERIALIZED (SELECT run, n, """
+    + _crc32("doc_id || ':' || run")
+    + r""" AS h FROM runs),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS MATERIALIZED (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS m FROM pairs GROUP BY word),
+form AS MATERIALIZED (SELECT word, min(other) AS form, any_value(m) AS form_n, any_value(n_near) AS n_near FROM pairs JOIN best USING (word) WHERE pairs.n = m GROUP BY word),
+told AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * words.n THEN form END AS form, CASE WHEN form_n >= 10 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN form USING (word)),
+walk AS (
+  WITH RECURSIVE w AS (SELECT word, word AS root FROM told UNION ALL SELECT w.word, told.form FROM w JOIN told ON told.word = w.root WHERE told.form IS NOT NULL)
+  SELECT w.word, w.root FROM w JOIN told ON told.word = w.root WHERE told.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM told JOIN walk USING (word)
+""",
+    "op13_conversation_trie": r"""
+WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+own AS MATERIALIZED (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, md5(octet_length(encode(role)) || ':' || role || text)) AS l FROM turns GROUP BY 1),
+h AS MATERIALIZED (SELECT conv_id, """
+    + _crc32("conv_id::VARCHAR")
+    + r""" % 6 AS h FROM own),
+built AS MATERIALIZED (
+  SELECT conv_id, coalesce(b.l, [])[1:h] || own.l[h + 1:] AS l
+  FROM own JOIN h USING (conv_id) LEFT JOIN (SELECT conv_id AS base, l FROM own) b ON b.base = conv_id - conv_id % 100),
+step AS MATERIALIZED (
+  SELECT conv_id, d, len(l) = d AS ends, md5(l[1:d]::JSON::VARCHAR) AS k, CASE WHEN d > 0 THEN md5(l[1:d - 1]::JSON::VARCHAR) END AS p,
+    CASE WHEN d > 0 THEN length(l[d].text) ELSE 0 END AS chars, l
+  FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM built)),
+node AS MATERIALIZED (
+  SELECT k, any_value(d) AS d, any_value(p) AS p, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends
+  FROM step GROUP BY k),
+kids AS (SELECT p, count(*) AS c FROM node WHERE p IS NOT NULL GROUP BY p),
+up AS (
+  SELECT DISTINCT a.k, b.k AS top FROM step a JOIN node ON node.k = a.k AND node.conv_id = a.conv_id JOIN step b ON a.conv_id = b.conv_id AND b.d <= a.d),
+sums AS (
+  SELECT top, sum((n - 1) * chars) AS saved, count(*) FILTER (kids.c IS NULL) AS leaves
+  FROM up JOIN node ON up.k = node.k LEFT JOIN kids ON kids.p = node.k GROUP BY top)
+SELECT node.conv_id, node.d AS depth, above.conv_id AS parent_conv_id, node.n AS n_convs, CAST(coalesce(kids.c, 0) AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN sums ON top = node.k LEFT JOIN kids ON kids.p = node.k LEFT JOIN node above ON above.k = node.p
 """,
 }

@@ -199,3 +199,75 @@ def best_template(text, templates, counted, similar):
             if cosine >= similar and (cosine > best[0] + 1e-9 or abs(cosine - best[0]) <= 1e-9 and name < best[1]):
                 best = cosine, name
     return best
+
+
+# -- packing, spelling, trie ---------------------------------------------------
+
+
+def pieces(docs, tokenizer, size=4096):
+    """doc_id, piece, start, length, crc32 of documents cut into pieces."""
+    out = []
+    for i, text in docs:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for k, a in enumerate(range(0, len(ids), size)):
+            part = ids[a : a + size]
+            out.append((i, k, a, len(part), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part))))
+    return out
+
+
+def spelling(docs):
+    """word, form, root, n, n_near, form_n."""
+    counts = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    known = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    letters, forms, near = sorted(set("".join(known))), {}, {}
+    for w in known:
+        places = range(len(w) + 1)
+        edits = {w[:k] + w[k + 1 :] for k in places[:-1]} | {w[:k] + c + w[k:] for k in places for c in letters} | {w[:k] + c + w[k + 1 :] for k in places[:-1] for c in letters}
+        own = [v for v in edits - {w} if v in known]
+        near[w] = len(own)
+        best = min(own, key=lambda v: (-known[v], v), default=None)
+        forms[w] = best if best and known[best] >= 10 * known[w] else None
+    out = []
+    for w, n in known.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out.append((w, forms[w], root, n, near[w], known.get(forms[w])))
+    return sorted(out)
+
+
+def trie(turns):
+    """conv_id, depth, parent, n_convs, n_children, n_leaves, saved, ends digest of rows (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            role, text = role or "", text or ""
+            x = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own[c].append(((turn is not None, turn or 0, x), (role, text)))
+    own = {c: [t for _, t in sorted(rows)] for c, rows in own.items()}
+    built = {}
+    for c, rows in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + rows[h:])
+    members = defaultdict(list)
+    for c, rows in built.items():
+        for d in range(len(rows) + 1):
+            members[rows[:d]].append(c)
+    children = Counter(node[:-1] for node in members if node)
+    saved, leaves = Counter(), Counter()
+    for node, who in members.items():
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(who) - 1) * len(node[-1][1]) if node else 0
+            leaves[node[:d]] += node not in children
+    return sorted(
+        (min(who), len(node), min(members[node[:-1]]) if node else None, len(who), children[node], leaves[node], saved[node],
+         sha(",".join(str(c) for c in sorted(who) if len(built[c]) == len(node))))
+        for node, who in members.items()
+    )
