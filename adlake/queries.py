@@ -423,6 +423,30 @@ def related_performance(spark: SparkSession, folder: str) -> DataFrame:
     return ontology.related("Marketing_Performance_has_Campaign", chosen)
 
 
+def traverse_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Brands that campaigns join: brand, performance, campaign, performance, brand; from brands of one size alone."""
+    product, campaign = "Marketing_Performance_has_Product", "Marketing_Performance_has_Campaign"
+    path = [product, campaign, campaign, product]
+    return lake(spark, folder).ontology.label_pairs(path, "Brand", "Brand", only=F.col("brand").endswith("1"))
+
+
+def walk_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Days on which a product was advertised that also was on the first day of 1995."""
+    ontology = lake(spark, folder).ontology
+    date, product = "Marketing_Performance_has_Date", "Marketing_Performance_has_Product"
+    return ontology.walk("Date", ontology.tables["date"].filter("date_key = 19950101"), [date, product, product, date])
+
+
+def reachable_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and products that lead from one product to, over days and products alone, and how many performance rows lie that far."""
+    ontology = lake(spark, folder).ontology
+    over = ["Marketing_Performance_has_Date", "Marketing_Performance_has_Product"]
+    found = ontology.reachable("Product", ontology.tables["product"].filter("product_key = 1"), over, max_hops=5)
+    dims = found.filter("entity <> 'Marketing_Performance'").withColumn("members", F.lit(1).cast("bigint"))
+    facts = found.filter("entity = 'Marketing_Performance'").groupBy("entity", "hops").agg(F.count("*").alias("members"))
+    return dims.unionByName(facts.withColumn("entity_key", F.lit("all")))
+
+
 def pick_member(spark: SparkSession, folder: str) -> DataFrame:
     return pick.pick_member(lake(spark, folder).gold["product"], "product_key", TRAINING_SEED)
 
@@ -650,6 +674,9 @@ QUERIES: dict[str, Query] = {
     "edges_dangling": edges_dangling,
     "related_performance": related_performance,
     "traverse_brand_campaigns": traverse_brand_campaigns,
+    "traverse_path": traverse_path,
+    "walk_path": walk_path,
+    "reachable_members": reachable_members,
     "pick_member": pick_member,
     "bounded_sample": bounded_sample,
     "drop_null_columns": drop_null_columns,

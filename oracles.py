@@ -535,6 +535,28 @@ ORACLES = {
     "traverse_brand_campaigns": chained(
         'select brand as "Brand", campaign as "Campaign", count(*) as paths from gold group by 1, 2'
     ),
+    "traverse_path": chained(
+        "select distinct a.brand as start, b.brand as \"end\" from (select distinct brand, campaign_key from gold where brand like '%1') a "
+        "join (select distinct brand, campaign_key from gold) b using (campaign_key)"
+    ),
+    "walk_path": chained(
+        "select distinct date_key from fact where product_key in (select product_key from fact where date_key = 19950101)"
+    ),
+    "reachable_members": f"with recursive {CHAIN}" + """, link as materialized (select distinct product_key, date_key from fact),
+        rows as materialized (select product_key, date_key, count(*) as n from
+          (select distinct date_key, channel_key, campaign_key, product_key, region, device_category from fact) group by all),
+        walk as (
+          select 'Product' as entity, 1 as key, 0 as hops from dim_product where product_key = 1
+          union
+          select case when entity = 'Product' then 'Date' else 'Product' end, case when entity = 'Product' then date_key else product_key end, hops + 2
+          from walk join link on case when entity = 'Product' then product_key else date_key end = key where hops < 4),
+        least as (select entity, key, min(hops) as hops from walk group by all)
+        select entity, cast(key as varchar) as entity_key, cast(hops as integer) as hops, cast(1 as bigint) as members from least
+        union all
+        select 'Marketing_Performance', 'all', cast(1 + least(coalesce(p.hops, 99), coalesce(d.hops, 99)) as integer) as far, cast(sum(n) as bigint)
+        from rows left join (select * from least where entity = 'Product') p on p.key = product_key
+        left join (select * from least where entity = 'Date') d on d.key = date_key
+        where least(coalesce(p.hops, 99), coalesce(d.hops, 99)) <= 4 group by far""",
     "bounded_sample": chained(
         f"select {GRAIN}, cast(spend as double) as spend from (select *, md5({GRAIN_TEXT.format(seed='')}) as digest "
         f"from silver) order by digest, {GRAIN} limit 10000"

@@ -65,3 +65,69 @@ def test_hops_must_share_their_source(loaded):
     wider = replace(ontology, relationships={**ontology.relationships, "other": other})
     with pytest.raises(ValueError):
         wider.traverse(HAS + "Product", "other")
+
+
+def keys(frame):
+    return sorted(r[0] for r in frame.collect())
+
+
+def test_a_walk_equals_joins(loaded):
+    ontology, fact = loaded.ontology(), loaded.gold()["fact"]
+    start = loaded.gold()["product"].filter("brand = 'Make 2'")
+    product, campaign, date = (HAS + n for n in ("Product", "Campaign", "Date"))
+    facts = fact.join(start.select("product_key"), "product_key", "left_semi")
+    assert keys(ontology.walk("Product", start, [product, campaign])) == keys(facts.select("campaign_key").distinct())
+    again = fact.join(facts.select("campaign_key").distinct(), "campaign_key", "left_semi").select("date_key").distinct()
+    assert keys(ontology.walk("Product", start, [product, campaign, campaign, date])) == keys(again)
+    assert ontology.walk("Product", start, [product]).count() == facts.select(*PERFORMANCE_KEY).distinct().count()
+    assert ontology.walk("Product", start.limit(0), [product, campaign]).count() == 0
+    rows_of_fact = ontology.walk("Product", start, [product])
+    assert keys(ontology.walk("Marketing_Performance", rows_of_fact, [campaign])) == keys(facts.select("campaign_key").distinct())
+    with pytest.raises(ValueError):
+        ontology.walk("Product", start, [campaign])
+
+
+def test_reachable_counts_least_hops(spark):
+    """A chain of days and products, a hub day, a part that nothing leads to, and null key parts."""
+    from adlake.plans.graph import Entity, Ontology
+
+    facts = [(1, 1, None), (1, 2, "a"), (2, 2, "a"), (2, 3, None), (3, 3, "a"), (9, 9, "a"), (9, 9, "a"), (5, 77, "a"), *[(4, k, "a") for k in range(3, 40)]]
+    frames = {
+        "fact": spark.createDataFrame(facts, "date_key long, product_key long, region string"),
+        "date": spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 9)], "date_key long"),
+        "product": spark.createDataFrame([(k,) for k in range(1, 41)], "product_key long"),
+    }
+    entities = {n: Entity(n, t, k, {}) for n, t, k in (("F", "fact", ["date_key", "product_key", "region"]), ("D", "date", ["date_key"]), ("P", "product", ["product_key"]))}
+    ontology = Ontology(frames, entities, {r.name: r for r in (Relationship("d", "F", "D", "fact", "date_key"), Relationship("p", "F", "P", "fact", "product_key"))})
+
+    def plain(limit):
+        links = {}
+        for d, p, region in facts:
+            node = ("F", d, p, region)
+            for other in [("D", d)] * (d in (1, 2, 3, 4, 9)) + [("P", p)] * (p <= 40):
+                links.setdefault(node, set()).add(other)
+                links.setdefault(other, set()).add(node)
+        seen, edge, hop = {("P", 1): 0}, {("P", 1)}, 0
+        while edge and (limit is None or hop < limit):
+            hop += 1
+            edge = {n for e in edge for n in links.get(e, ())} - set(seen)
+            seen.update(dict.fromkeys(edge, hop))
+        return sorted((n[0], h) for n, h in seen.items())
+
+    start = frames["product"].filter("product_key = 1")
+    for limit in (None, 0, 1, 4):
+        found = ontology.reachable("P", start, max_hops=limit)
+        assert sorted((r.entity, r.hops) for r in found.collect()) == plain(limit)
+    assert {r.entity_key for r in ontology.reachable("P", start, ["d"]).collect()} == {"1"}
+
+
+def test_label_pairs_over_four_hops(loaded):
+    ontology, gold = loaded.ontology(), loaded.gold()
+    fact = gold["fact"].join(gold["product"].select("product_key", "brand"), "product_key").select("brand", "campaign_key").distinct()
+    pairs = fact.join(fact.withColumnRenamed("brand", "end"), "campaign_key").select(F.col("brand").alias("start"), "end").distinct()
+    product, campaign = HAS + "Product", HAS + "Campaign"
+    path = [product, campaign, campaign, product]
+    assert rows(ontology.label_pairs(path, "Brand", "Brand")) == rows(pairs)
+    assert rows(ontology.label_pairs(path, "Brand", "Brand", F.col("brand") == "Make 2")) == rows(pairs.filter("start = 'Make 2'"))
+    with pytest.raises(ValueError):
+        ontology.label_pairs(path[:3], "Brand", "Brand")
