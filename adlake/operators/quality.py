@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed import ATTRIBUTE_SUFFIXES, VALID
@@ -134,10 +134,11 @@ class Check:
     expected: int | None = None
 
 
-def dq(checks: Sequence[Check]) -> DataFrame:
+def dq(checks: Sequence[Check], known: Sequence[tuple[str, int | None, int]] = ()) -> DataFrame:
     """One row per check: expected, actual and whether they agree.
 
-    Checks on the same frame share one pass over it.
+    Checks on the same frame share one pass over it. known: name, expected and actual of checks whose value was
+    counted before, as while a table was written.
     """
     by_frame: dict[int, list[Check]] = {}
     for check in checks:
@@ -157,7 +158,11 @@ def dq(checks: Sequence[Check]) -> DataFrame:
         )
         return totals.select(F.inline(rows))
 
-    report = reduce(DataFrame.unionByName, [run(group) for group in by_frame.values()])
+    parts = [run(group) for group in by_frame.values()]
+    if known:
+        spark = SparkSession.getActiveSession()
+        parts.append(spark.createDataFrame(list(known), "check_name string, expected bigint, actual bigint"))
+    report = reduce(DataFrame.unionByName, parts)
     agrees = F.col("expected").isNull() | F.col("actual").eqNullSafe(F.col("expected"))
     return report.withColumn("passed", agrees)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adlake.operators.conform import FEEDS
 from adlake.plans.graph import Ontology, performance_ontology
-from adlake.plans.medallion import GOLD, SILVER, Medallion, SilverPlan
+from adlake.plans.medallion import GOLD, Medallion, SilverPlan
 from adlake.plans.performance import performance_model
 from adlake.plans.semantic import Model
 from adlake.session import shared_folder
@@ -45,8 +45,7 @@ class Lake:
 
     @cached_property
     def silver(self) -> DataFrame:
-        self.job.store.write(PLAN.silver(self.feeds), SILVER)
-        return self.job.store.read(SILVER)
+        return self.job.write_silver(self.feeds)
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:

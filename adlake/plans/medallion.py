@@ -13,7 +13,7 @@ from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe, round_mo
 from adlake.operators.keys import dimension
 from adlake.operators.layout import clustered, file_count
 from adlake.operators.pick import pick_member
-from adlake.operators.quality import PERFORMANCE_RULES, Rule, source_counts, split_valid, valid_rows
+from adlake.operators.quality import PERFORMANCE_RULES, Rule, not_valid, source_counts, split_valid, valid_rows
 from adlake.operators.star import (
     CAMPAIGN_KEY,
     CHANNEL_KEY,
@@ -40,6 +40,15 @@ GOLD = {
 }
 LAYOUT = ["date_key", "campaign_key"]
 
+#: Counted while silver is written.
+SILVER_METRICS = {
+    "not_valid": not_valid(),
+    "without_attributes": "count_if(product_name IS NULL OR brand IS NULL OR category IS NULL)",
+    "without_channel": f"count_if({' OR '.join(f'{c} IS NULL' for c in CHANNEL_KEY)})",
+    "without_campaign": f"count_if({' OR '.join(f'{c} IS NULL' for c in CAMPAIGN_KEY)})",
+    "without_keys": f"count_if({' OR '.join(f'{c} IS NULL' for c in [*CHANNEL_KEY, *CAMPAIGN_KEY])})",
+}
+
 
 @dataclass(frozen=True)
 class SilverPlan:
@@ -93,33 +102,45 @@ class Medallion:
     def bronze(self) -> dict[str, DataFrame]:
         return {name: self.store.read(name) for name in self.plan.sources}
 
+    def write_silver(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
+        """Write the conformed table of some feeds. Its checks are counted by that write, and a failed one leaves the table as it was."""
+        self.store.write(self.plan.silver(feeds), SILVER, metrics=SILVER_METRICS, expected={"not_valid": 0})
+        return self.store.read(SILVER)
+
     def build_silver(self, audit: bool = True) -> DataFrame:
         """Write the conformed table, then its audit counts from what was written."""
-        self.store.write(self.plan.silver(self.bronze()), SILVER)
-        silver = self.store.read(SILVER)
+        silver = self.write_silver(self.bronze())
         if audit:
-            self.store.write(source_counts(silver), AUDIT)
+            self.store.write(source_counts(silver), AUDIT, unique=["source_system"])
         return silver
 
     def build_gold(self, files: int | None = None) -> dict[str, DataFrame]:
         """Write dimensions, fact and daily product; fact and product clustered by date and campaign.
 
+        A dimension whose key names several members is refused, and so is a fact that lost rows other than those
+        of silver without a key.
         Dimensions are written before the fact reads them: their file size is then known
         and decides how they are joined. Fact and product are written down once before
         their layout, which reads them twice, so the joins run once.
         """
         silver = self.store.read(SILVER)
-        self.store.write(calendar(silver, "event_date"), GOLD["date"])
-        self.store.write(dimension(silver, CHANNEL_KEY, "channel_key"), GOLD["channel"])
-        self.store.write(dimension(silver, CAMPAIGN_KEY, "campaign_key"), GOLD["campaign"])
-        self.store.write(product_dimension(silver), GOLD["product"])
+        self.store.write(calendar(silver, "event_date"), GOLD["date"], unique=["date_key"])
+        self.store.write(dimension(silver, CHANNEL_KEY, "channel_key"), GOLD["channel"], unique=["channel_key"])
+        self.store.write(dimension(silver, CAMPAIGN_KEY, "campaign_key"), GOLD["campaign"], unique=["campaign_key"])
+        self.store.write(product_dimension(silver), GOLD["product"], unique=["product_key"])
         channels, campaigns = self.store.read(GOLD["channel"]), self.store.read(GOLD["campaign"])
         fact = materialize(performance_fact(silver, channels, campaigns, self.null_safe_keys), "fact")
-        self.store.write(clustered(fact, LAYOUT, files or self._files(fact)), GOLD["fact"])
+        self.store.write(clustered(fact, LAYOUT, files or self._files(fact)), GOLD["fact"], expected=self._fact_rows())
         daily = materialize(campaign_daily(self.store.read(GOLD["fact"]), channels, campaigns), "campaign_daily")
         self.store.write(clustered(daily, LAYOUT, files or self._files(daily)), GOLD["daily"])
         return self.gold()
 
+    def _fact_rows(self) -> dict[str, int]:
+        known = self.store.metrics(SILVER)
+        if "without_keys" not in known:  # silver was appended to
+            return {}
+        return {"rows": known["rows"] - (0 if self.null_safe_keys else known["without_keys"])}
+
     def optimize(self, files: int | None = None) -> None:
         """Cluster fact and daily product anew, after appends."""
         for name in ("fact", "daily"):

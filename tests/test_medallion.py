@@ -178,3 +178,79 @@ def test_campaign_variants(loaded):
     ordered = campaigns.orderBy(*CAMPAIGN_KEY).select("campaign_key").collect()
     assert [r[0] for r in ordered] == list(range(1, 9))
     assert loaded.gold()["channel"].columns == [*CHANNEL_KEY, "channel_key"]
+
+
+def broken_rows(spark, n=1000):
+    return spark.range(0, n, 1, 8).select(F.when(F.col("id") == n - 1, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def folders(tmp_path, table):
+    return sorted(p.name for p in (tmp_path / "bronze").iterdir() if p.name.startswith(f"{table}__"))
+
+
+def test_a_failed_overwrite_keeps_the_old_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write(spark.range(3), "t")
+    store.write(spark.range(7), "t__a")  # a table whose name begins like a version's
+    with pytest.raises(Exception):
+        store.write(broken_rows(spark).withColumn("x", F.lit(1)), "t")
+    assert rows(store.read("t")) == [(0,), (1,), (2,)] and store.read("t").columns == ["id"]
+    store.write(store.read("t").selectExpr("id + 10 AS id"), "t")  # from the table itself
+    assert rows(store.read("t")) == [(10,), (11,), (12,)] and store.read("t__a").count() == 7
+    assert len([f for f in folders(tmp_path, "t") if not f.startswith("t__a")]) == 1
+
+
+def test_a_restart_clears_a_half_done_write(spark, tmp_path):
+    """A job that ended between the new version and the turn of the view: the old rows are read, and the version goes."""
+    store = TableStore(spark, str(tmp_path))
+    store.write(spark.range(3), "t")
+    schema = store.table("t").partition(".")[0]
+    spark.range(99).write.saveAsTable(f"{schema}.t__0123456789ab")
+    (tmp_path / "bronze" / "t__ba9876543210").mkdir()
+    again = TableStore(spark, str(tmp_path))
+    assert again.read("t").count() == 3 and len(folders(tmp_path, "t")) == 3
+    again.write(spark.range(4), "t")
+    assert again.read("t").count() == 4 and len(folders(tmp_path, "t")) == 1
+    assert missing_tables(spark, [f"{schema}.t__0123456789ab"])
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    frame = spark.range(0, 100, 1, 8).withColumn("v", F.when(F.col("id") % 4 > 0, F.col("id")))
+    found = store.write(frame, "t", partition_by=["v"], metrics={"null_v": "count_if(v IS NULL)"}, expected={"null_v": 25, "rows": 100})
+    assert found == store.metrics("t") == {"rows": 100, "null_v": 25}
+    store.append(spark.range(5), "t")
+    assert store.metrics("t") == {"rows": 105} and store.read("t").count() == 105
+    assert store.write(spark.range(0), "t") == {"rows": 0} == store.metrics("t")
+    with pytest.raises(KeyError):
+        store.metrics("other")
+
+
+def test_a_failed_check_names_its_table(spark, tmp_path):
+    from adlake.sources.tables import CheckFailed
+
+    store = TableStore(spark, str(tmp_path))
+    store.write(spark.range(3), "dims/t", unique=["id"])
+    with pytest.raises(CheckFailed, match="dims/t: odd is 2, not 0"):
+        store.write(spark.range(5), "dims/t", metrics={"odd": "count_if(id % 2 = 1)"}, expected={"odd": 0})
+    with pytest.raises(CheckFailed, match="dims/t: 1 values of id"):
+        store.write(spark.range(5).unionAll(spark.range(1)), "dims/t", unique=["id"])
+    assert store.read("dims/t").count() == 3 == store.metrics("dims/t")["rows"]
+
+
+def test_the_load_refuses_two_products_of_one_key(spark, literal_feeds, tmp_path):
+    from adlake.sources.tables import CheckFailed
+
+    job = Medallion(TableStore(spark, str(tmp_path)))
+    job.load_bronze(literal_feeds)
+    job.build_silver(audit=False)
+    silver = job.store.read(SILVER)
+    job.store.write(silver.withColumn("brand", F.when(F.col("region") == silver.first().region, "other").otherwise(F.col("brand"))), SILVER)
+    with pytest.raises(CheckFailed, match="dim_product"):
+        job.build_gold()
+
+
+def test_checks_read_no_feed(lake):
+    from adlake.queries import dq_report
+
+    assert "staging" not in plan_of(dq_report(lake.spark, lake.folder)) and dq_report(lake.spark, lake.folder).filter("not passed").count() == 0
