@@ -4,25 +4,31 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import PREDICTION, TRAINING_SEED
 from adlake.ml.features import DATETIME, Fill, fit_impute, hash_share
+from adlake.ml.ridge import Design, fold_errors, fold_moments, number
 from adlake.session import materialize
 from adlake.sources.tables import TableStore
 
 LABEL = "_label"
+EPOCH = date(1970, 1, 1).toordinal()
 MODELS = "models/versions"
 _LISTED = "name string, version int, path string"
+#: Widest linear design whose candidates are compared by fold statistics, which take the square of it in sums.
+WIDEST_DESIGN = 64
 SAFE_UPCASTS = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
@@ -124,6 +130,28 @@ def widest_category(prepared: PipelineModel) -> int:
     return max([0, *(len(labels) + 1 for s in indexers for labels in s.labelsArray)])
 
 
+def design_of(frame: DataFrame, inputs: Sequence[str], categorical: Sequence[str]) -> Design:
+    """The linear design of a frame's inputs, from one pass over it."""
+    numbers = [c for c in inputs if c not in categorical]
+    seen = frame.agg(
+        *[F.count_if(number(frame, c).isNull()).alias(f"m_{c}") for c in numbers],
+        *[F.count_distinct(F.col(f"`{c}`")).alias(f"d_{c}") for c in categorical],
+    ).first()
+    missing = [c for c in numbers if seen[f"m_{c}"]]
+    if len(numbers) + len(missing) + sum(seen[f"d_{c}"] for c in categorical) > WIDEST_DESIGN:
+        return Design(numbers, {c: [None] * seen[f"d_{c}"] for c in categorical}, missing)  # too wide: only its width counts
+    labels = {c: [r[0] for r in frame.select(F.col(f"`{c}`").alias("v")).distinct().filter("v is not null").orderBy("v").collect()] for c in categorical}
+    return Design(numbers, labels, missing)
+
+
+def _plain_ridge(candidate: Mapping, estimator) -> float | None:
+    """The strength of a candidate that is ridge regression and nothing else."""
+    if not isinstance(estimator, LinearRegression) or estimator.getElasticNetParam() or estimator.getLoss() != "squaredError" or not estimator.getStandardization():
+        return None
+    others = [p for p in candidate if p.parent == estimator.uid and p.name != "regParam"]
+    return None if others else float(next((v for p, v in candidate.items() if p.parent == estimator.uid), estimator.getRegParam()))
+
+
 def train(
     frame: DataFrame,
     target: str,
@@ -137,44 +165,82 @@ def train(
 ) -> Trained:
     """Cross-validate the candidates and keep the best one's refit.
 
-    A grid of more than `trials` candidates is refused, as leaving some out would choose in silence. Rows without a target are left out, and fill values come from this frame alone.
-    Features are prepared and written once for all candidates. Folds are set by row
-    hash, so a recomputed partition keeps its fold.
+    A grid of more than `trials` candidates is refused, as leaving some out would choose in silence. Rows without a target are
+    left out. Folds are set by row hash, so a recomputed partition keeps its fold. What a fold is predicted with, fills and
+    categories included, is learnt from the other folds alone. Ridge candidates over few enough columns are compared by
+    statistics of the folds, which one pass gathers for all of them; other candidates are fitted for each fold.
     """
     rows = frame.filter(F.col(target).isNotNull())
     inputs = [c for c in frame.columns if c != target]
-    given = rows.select(*inputs)
-    fills = fit_impute(given.select(*[c for c in inputs if c not in categorical]))
-    prepared = preparation(given, categorical, fills).fit(given)
-    labelled = rows.withColumns(
-        {LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")}
-    )
-    ready = materialize(prepared.transform(labelled).select("_features", "_wide", LABEL, "_fold"), "features")
+    numeric = [c for c in inputs if c not in categorical]
+    labelled = rows.withColumns({LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")})
+    labelled = materialize(labelled.select(*inputs, LABEL, "_fold"), "labelled")
+    given = labelled.select(*inputs)
+    prepared = preparation(given, categorical, fit_impute(given.select(*numeric))).fit(given)
 
     pipeline = Pipeline(stages=[])
     candidates = grid(pipeline, seed, max(32, widest_category(prepared)))
     if len(candidates) > trials:
         raise ValueError(f"{len(candidates)} candidates for at most {trials} trials")
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=candidates,
-        evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName=metric),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-        foldCol="_fold",
-    ).fit(ready)
-    averages = [float(m) for m in search.avgMetrics]
-    best = max(averages) if search.getEvaluator().isLargerBetter() else min(averages)
-    measured = [
-        (i, type(c[pipeline.stages][-1]).__name__, m, m == best)
-        for i, (c, m) in enumerate(zip(candidates, averages))
-    ]
-    metrics = frame.sparkSession.createDataFrame(
-        measured, f"trial int, estimator string, {metric} double, best boolean"
-    )
-    model = PipelineModel([*prepared.stages, *search.bestModel.stages])
-    return Trained(model, signature_of(frame, inputs), metrics)
+    estimators = [c[pipeline.stages][-1] for c in candidates]
+    strengths = [_plain_ridge(c, e) for c, e in zip(candidates, estimators, strict=True)]
+    design = design_of(labelled, inputs, categorical)
+    by_sums = {i: s for i, s in enumerate(strengths) if s is not None and metric == "rmse" and design.width <= WIDEST_DESIGN}
+    learnt = {k: _fold_fills(labelled, k, numeric, design.missing, len(by_sums) < len(candidates)) for k in range(folds)}
+
+    measured: dict[int, list[float]] = {i: [] for i in range(len(candidates))}
+    if by_sums:
+        moments = fold_moments(labelled, design, LABEL, "_fold")
+        fills = {k: {f.column: _as_number(f.value) for f in learnt[k] if f.column in design.missing} for k in learnt}
+        for strength, _, _, error in fold_errors(moments, design, sorted(set(by_sums.values())), fills):
+            for i in (i for i, s in by_sums.items() if s == strength):
+                measured[i].append(error)
+    others = [i for i in measured if i not in by_sums]
+    if others:
+        evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName=metric)
+        for k, fold_fills in learnt.items():
+            known = labelled.filter(F.col("_fold") != k)
+            stages = preparation(given, categorical, fold_fills).fit(known)
+            ready = materialize(stages.transform(labelled).select("_features", "_wide", LABEL, "_fold"), "features")
+
+            def error(i: int, ready: DataFrame = ready, k: int = k) -> float:
+                fitted = estimators[i].fit(ready.filter(F.col("_fold") != k), _own(candidates[i], estimators[i]))
+                return float(evaluator.evaluate(fitted.transform(ready.filter(F.col("_fold") == k))))
+
+            with ThreadPoolExecutor(parallelism) as pool:
+                for i, value in zip(others, pool.map(error, others), strict=True):
+                    measured[i].append(value)
+
+    averages = [sum(measured[i]) / len(measured[i]) for i in range(len(candidates))]
+    larger = RegressionEvaluator(metricName=metric).isLargerBetter()
+    chosen = averages.index(max(averages) if larger else min(averages))
+    found = [(i, type(e).__name__, m, i == chosen) for i, (e, m) in enumerate(zip(estimators, averages, strict=True))]
+    metrics = frame.sparkSession.createDataFrame(found, f"trial int, estimator string, {metric} double, best boolean")
+    ready = materialize(prepared.transform(labelled).select("_features", "_wide", LABEL), "features")
+    best = estimators[chosen].fit(ready, _own(candidates[chosen], estimators[chosen]))
+    return Trained(PipelineModel([*prepared.stages, best]), signature_of(frame, inputs), metrics)
+
+
+def _own(candidate: Mapping, estimator) -> dict:
+    return {p: v for p, v in candidate.items() if p.parent == estimator.uid}
+
+
+def _fold_fills(labelled: DataFrame, fold: int, numeric: Sequence[str], missing: Sequence[str], every: bool) -> list[Fill]:
+    """Fill values of the rows outside a fold; of all columns only where a model is fitted on them, else of those with gaps."""
+    columns = list(numeric) if every else list(missing)
+    known = labelled.filter(F.col("_fold") != fold).select(*columns)
+    gaps = [c for c in columns if c in missing]
+    found = {f.column: f for f in fit_impute(known.select(*gaps))} if gaps else {}
+    return [found.get(c, Fill(c, "none", None)) for c in columns]
+
+
+def _as_number(value: object) -> float:
+    """A fill value as the model counts it: dates as days, 0 where nothing was learnt."""
+    if value is None:
+        return 0.0
+    if hasattr(value, "toordinal"):
+        return float(value.toordinal() - EPOCH)
+    return float(value)
 
 
 def score(
@@ -186,9 +252,6 @@ def score(
 ) -> DataFrame:
     """The signature's columns, others asked for, and the prediction."""
     fitted = to_signature(frame, signature)
-    problems = check_signature(fitted, signature)
-    if problems:
-        raise ValueError("; ".join(problems))
     if keep:
         extra = [F.col(c) for c in keep if c not in dict(signature)]
         fitted = frame.select(*[F.col(n).cast(t).alias(n) for n, t in signature], *extra)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from adlake.fixed import ADDITIVE, CATALOG_TABLE, CATALOG_TYPES, GRAIN, MAX_FEED_WIDTH, MONEY, PREDICTION, TRAINING_SEED
 from adlake.functions import positive_ratio
-from adlake.ml import features, training
+from adlake.ml import features, ridge, training
 from adlake.operators import fill, keys, layout, pick, quality, star
 from adlake.operators.conform import FEEDS, META, conform, round_money
 from adlake.plans import reports
@@ -581,6 +581,19 @@ def least_squares(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(error.select("rows", F.lit(line[0]).alias("slope"), F.lit(line[1]).alias("intercept"), "rmse"), "slope", "intercept", "rmse", scale=4)
 
 
+def ridge_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Error of every fold under lines and planes fitted to the other folds, at several strengths, from one pass of sums each."""
+    silver = lake(spark, folder).silver
+    rows = silver.select("clicks", "impressions", F.col("spend").cast("double").alias("spend"), features.hash_share(GRAIN, TRAINING_SEED, 3).cast("int").alias("fold"))
+    out = []
+    for inputs, strengths in ((["clicks"], [0.0, 10.0, 1000.0]), (["clicks", "impressions"], [0.0])):
+        design = ridge.Design(inputs, {})
+        moments = ridge.fold_moments(rows, design, "spend", "fold")
+        out += [(" ".join(inputs), s, fold, n, error) for s, fold, n, error in ridge.fold_errors(moments, design, strengths)]
+    found = spark.createDataFrame(out, "inputs string, strength double, fold int, rows bigint, rmse double")
+    return rounded(found, "rmse", scale=4)
+
+
 # -- the load job ---------------------------------------------------------------------
 
 
@@ -689,6 +702,7 @@ QUERIES: dict[str, Query] = {
     "train_test_split": train_test_split,
     "scored_rows": scored_rows,
     "least_squares": least_squares,
+    "ridge_folds": ridge_folds,
     "load_job": load_job,
     "movement_insert": movement_insert,
     "train_eval": train_eval,

@@ -608,6 +608,19 @@ ORACLES = {
         f", split as materialized ({SPLIT}), line as (select regr_slope(spend, clicks) as a, regr_intercept(spend, clicks) as b "
         "from split where split = 'train')",
     ),
+    "ridge_folds": chained(
+        "select 'clicks' as inputs, strength, k as fold, count(*) as rows, round(sqrt(avg((spend - a - b * clicks) * (spend - a - b * clicks))), 4) as rmse "
+        "from folded join (select *, my - b * mx as a from (select *, cxy / (vx * (1 + strength / sy)) as b from line, "
+        "(values (0.0::double), (10.0), (1000.0)) s(strength))) on fold = k group by strength, k union all "
+        "select 'clicks impressions', 0.0, k, count(*), round(sqrt(avg((spend - a - b * clicks - c * impressions) * (spend - a - b * clicks - c * impressions))), 4) "
+        "from folded join (select *, my - b * mx - c * mz as a from (select *, (cxy * vz - czy * cxz) / (vx * vz - cxz * cxz) as b, "
+        "(czy * vx - cxy * cxz) / (vx * vz - cxz * cxz) as c from line)) on fold = k group by k",
+        f", folded as materialized (select clicks::double as clicks, impressions::double as impressions, cast(spend as double) as spend, "
+        f"cast(cast('0x' || substr(md5({GRAIN_TEXT.format(seed=chr(44) + ' ' + chr(39) + '41' + chr(39))}), 1, 8) as bigint) % 3 as integer) as fold from silver), "
+        "line as materialized (select k, avg(clicks) as mx, avg(impressions) as mz, avg(spend) as my, covar_pop(spend, clicks) as cxy, covar_pop(spend, impressions) as czy, "
+        "covar_pop(clicks, impressions) as cxz, var_pop(clicks) as vx, var_pop(impressions) as vz, stddev_pop(spend) as sy "
+        "from folded, (values (0), (1), (2)) t(k) where fold <> k group by k)",
+    ),
     "fill_datetimes": """with days as (select user_id, event_id, case when event_type <> 'error' then cast(ts as date) end as day
         from events) select user_id, event_id, coalesce(last_value(day ignore nulls) over (partition by user_id order by event_id
         rows between unbounded preceding and current row), (select day from days where day is not null group by day

@@ -208,3 +208,78 @@ def test_manual_row_is_verified_and_scored(spark, lake):
 def test_no_python_runs_over_the_data(lake):
     filled = features.apply_impute(lake.silver, [features.Fill("clicks", "mean", 1.0)])
     assert "Python" not in plan_of(filled) and "Pandas" not in plan_of(filled)
+
+
+def folded(spark, rows=900):
+    """Three folds, gaps whose mean differs by fold, and a category that one fold alone holds."""
+    return spark.range(rows).select(
+        (F.col("id") % 3).cast("int").alias("_fold"),
+        F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 101).cast("double") + 40 * (F.col("id") % 3)).alias("x"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 90).cast("int")).alias("day"),
+        F.when(F.col("id") % 30 == 2, "rare").when(F.col("id") % 2 == 0, "a").otherwise("b").alias("kind"),
+        (F.col("id") * 37 % 101 * 3.0 + F.col("id") * 53 % 17 + 20 * (F.col("id") % 2)).alias("_label"),
+    )
+
+
+def test_fold_errors_equal_models_fitted_without_the_fold(spark):
+    """Against a regression by Spark for each fold and strength, with fills and categories of the other folds."""
+    from pyspark.ml.regression import LinearRegression
+
+    from adlake.ml.ridge import fold_errors, fold_moments
+
+    frame = folded(spark).persist()
+    design = training.design_of(frame, ["x", "day", "kind"], ["kind"])
+    assert design.missing == ["x"] and design.labels == {"kind": ["a", "b", "rare"]} and design.width == 6
+    fills = {k: {"x": frame.filter(F.col("_fold") != k).agg(F.avg("x")).first()[0]} for k in range(3)}
+    found = {(s, k): e for s, k, _, e in fold_errors(fold_moments(frame, design, "_label", "_fold"), design, [0.0, 0.5, 20.0], fills)}
+    for k in range(3):
+        known = frame.filter(F.col("_fold") != k)
+        given = [features.Fill("x", "mean", fills[k]["x"]), features.Fill("day", "none", None)]
+        stages = training.preparation(frame.select("x", "day", "kind"), ["kind"], given).fit(known)
+        for strength in (0.0, 0.5, 20.0):
+            model = LinearRegression(featuresCol="_wide", labelCol="_label", predictionCol=PREDICTION, regParam=strength).fit(stages.transform(known))
+            held = model.transform(stages.transform(frame.filter(F.col("_fold") == k)))
+            assert training.evaluate(held, "_label").first().rmse == pytest.approx(found[strength, k], rel=1e-6)
+    frame.unpersist()
+
+
+def test_a_held_out_fold_does_not_leak(spark):
+    """Changing the inputs and targets of a fold changes no model that predicts it."""
+    from adlake.ml.ridge import fold_moments, solve
+
+    frame = folded(spark)
+    other = frame.withColumns({"_label": F.when(F.col("_fold") == 1, -999.0).otherwise(F.col("_label")), "x": F.when(F.col("_fold") == 1, 5e5).otherwise(F.col("x"))})
+    weights = []
+    for rows_in in (frame, other):
+        design = training.design_of(rows_in, ["x", "day", "kind"], ["kind"])
+        moments = fold_moments(rows_in, design, "_label", "_fold")
+        fills = training._fold_fills(rows_in, 1, ["x", "day"], design.missing, False)
+        assert [f.column for f in fills] == ["x"]
+        weights.append((fills, solve(design.filled(moments[0] + moments[2], {"x": fills[0].value}), 1.0).round(9).tolist()))
+    assert weights[0] == weights[1]
+
+
+def test_candidates_of_both_kinds_agree(spark, monkeypatch):
+    """Ridge candidates give one error, by sums or fitted for each fold."""
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    def ridge_grid(pipeline, seed, bins):
+        linear = LinearRegression(featuresCol="_wide", labelCol="_label", predictionCol=PREDICTION)
+        return ParamGridBuilder().baseOn({pipeline.stages: [linear]}).addGrid(linear.regParam, [0.1, 5.0]).build()
+
+    frame = folded(spark).drop("_fold").withColumnRenamed("_label", "spend")
+    by_sums = training.train(frame, "spend", ["kind"], grid=ridge_grid)
+    monkeypatch.setattr(training, "WIDEST_DESIGN", 2)
+    fitted = training.train(frame, "spend", ["kind"], grid=ridge_grid)
+    errors = [[r.rmse for r in t.metrics.orderBy("trial").collect()] for t in (by_sums, fitted)]
+    assert errors[0] == pytest.approx(errors[1], rel=1e-6) and errors[0][0] < errors[0][1]
+
+
+def test_one_fold_alone_is_refused(spark):
+    from adlake.ml.ridge import Design, fold_errors, fold_moments
+
+    frame = folded(spark).withColumn("_fold", F.lit(0))
+    design = Design(["x"], {}, ["x"])
+    with pytest.raises(ValueError):
+        fold_errors(fold_moments(frame, design, "_label", "_fold"), design, [0.0], {0: {"x": 1.0}})
