@@ -36,10 +36,9 @@ NODE_PIECES = 1 << 13
 GROUP_NODES = 64
 #: Room, in tokens, up to which a bin counts as nearly full.
 NEARLY_FULL = 16
-#: Words and parts of words a worker keeps the ids of, and the longest of them in bytes.
+#: Words and parts of words a worker keeps the ids of, before it forgets all and takes in a chunk more.
 KNOWN_WORDS = 1 << 19
 KNOWN_PARTS = 1 << 19
-KNOWN_BYTES = 64
 CHUNK_BYTES = 1 << 20
 
 _BLANK = re.compile(rb"[ \t-\r]")
@@ -55,28 +54,13 @@ _PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("star
 _IDS = pa.field("ids", pa.binary())
 
 
-class _Kept(dict):
-    """Ids of byte strings as little-endian unsigned 32-bit integers, found once and forgotten when there are too many."""
-
-    def __init__(self, find: Callable[[bytes], bytes], most: int):
-        super().__init__()
-        self.find, self.most = find, most
-
-    def __missing__(self, key: bytes) -> bytes:
-        ids = self.find(key)
-        if len(key) <= KNOWN_BYTES:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = ids
-        return ids
-
-
 class WordIds:
     """Ids of texts, each distinct word encoded once.
 
     This tokenizer drops white space and never joins what stands on both sides of it, so the ids of a
     text are those of its words one after another. A word of plain letters, digits and signs is cut further as the
-    tokenizer does; any other word goes to the tokenizer whole.
+    tokenizer does; any other word goes to the tokenizer whole. Ids are kept as little-endian unsigned 32-bit integers,
+    until there are too many.
     """
 
     def __init__(self, path: str):
@@ -84,17 +68,34 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = _Kept(self._encode, KNOWN_PARTS)
-        self.words = _Kept(self._word, KNOWN_WORDS)
-
-    def _encode(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if not _PLAIN.fullmatch(text) or "<|" in text:  # as special tokens begin
-            return self._encode(word)
-        return b"".join([self.parts[part.encode()] for part in _PARTS.findall(text.lower())])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a part
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Ids of words not known yet; their new parts are encoded in one run and cut where parts end."""
+        cut = {}
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:  # as special tokens begin
+                cut[word] = _PARTS.findall(text.lower())
+            else:
+                self.words[word] = self._ids(text).tobytes()
+        parts = list({part for own in cut.values() for part in own if part not in self.parts})
+        if parts:
+            ids = self._ids(" ".join(parts))
+            at = np.flatnonzero(self.ends[ids]) + 1
+            if len(at) != len(parts) or at[-1] != len(ids):
+                raise ValueError("the tokenizer cuts parts of words further")
+            raw, at = ids.tobytes(), (4 * at).tolist()
+            self.parts.update(zip(parts, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
+        for word, own in cut.items():
+            self.words[word] = self.parts[own[0]] if len(own) == 1 else b"".join([self.parts[part] for part in own])
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a whole text; a long one goes through in chunks that end before white space."""
@@ -102,7 +103,15 @@ class WordIds:
         while at < len(text):
             cut = _BLANK.search(text, at + CHUNK_BYTES)
             end = cut.start() if cut else len(text)
-            found.append(b"".join(map(self.words.__getitem__, text[at:end].split())))
+            words = text[at:end].split()
+            if len(self.words) > KNOWN_WORDS:
+                self.words.clear()
+            if len(self.parts) > KNOWN_PARTS:
+                self.parts.clear()
+            new = set(words).difference(self.words)
+            if new:
+                self._learn(new)
+            found.append(b"".join(map(self.words.__getitem__, words)))
             at = end
         return b"".join(found)
 
