@@ -43,7 +43,7 @@ _DEALT = "cell long, kind int, word string, n long"
 _DEALT_ARROW = pa.schema([("cell", pa.int64()), ("kind", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
 _NEAR = "word string, near long, best_n long, best string"
 _NEAR_ARROW = pa.schema([("word", pa.string()), ("near", pa.int64()), ("best_n", pa.int64()), ("best", pa.string())])
-#: What a word is in a cell: held there (and asking for words of its length), a visitor of the same length, a visitor one letter shorter.
+#: What a word is in a cell: held there, a visitor of the same length, a visitor one letter shorter. All ask for the words held.
 HELD, SAME, SHORTER = 0, 1, 2
 
 
@@ -216,6 +216,9 @@ def near_pairs(held: np.ndarray, asking: np.ndarray, leaf: int = LEAF_WORDS) ->
 
     for number, own in tree.within(asked, reach):
         members = tree.leaves[number]
+        if len(members):
+            held_here = by_letter[:, members]
+            own = own[_box_distance(asked_by_letter[:, own], held_here.min(axis=1), held_here.max(axis=1)) <= reach]
         for b in range(0, len(members), BLOCK):
             part = members[b : b + BLOCK]
             there = by_letter[:, part]
@@ -232,6 +235,11 @@ def near_pairs(held: np.ndarray, asking: np.ndarray, leaf: int = LEAF_WORDS) ->
     return q, t
 
 
+def _box_distance(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """L1 distance of every column of a to a box."""
+    return np.abs(a - np.clip(a, low[:, None], high[:, None])).sum(axis=0, dtype=np.int32)
+
+
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """L1 distance of every column of a to every column of b."""
     far = np.zeros((a.shape[1], b.shape[1]), a.dtype)
@@ -259,7 +267,7 @@ def cell_trees(words: DataFrame, cell_words: int = CELL_WORDS, sample_words: int
 
 
 def dealt_words(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
-    """cell, kind, word, n: each word in its own cell, and in every cell of its length and of one letter more that it can reach."""
+    """cell, kind, word, n: each word in its own cell, and in the cells it can reach: later ones of its length and all of one letter more."""
     shared = words.sparkSession.sparkContext.broadcast({n: (tree.root, tree.split) for n, tree in trees.items()})
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +281,7 @@ def dealt_words(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
                 for size, reach, kind in ((n, 2, SAME), (n + 1, 1, SHORTER)):
                     for leaf, some in trees.get(size, nothing).within(points, reach):
                         if kind == SAME:
-                            some = some[home[some] != leaf]
+                            some = some[home[some] < leaf]  # the words of that leaf don't come back
                         parts.append((size, kind, np.full(len(some), leaf), some))
                 cells = np.concatenate([(np.int64(size) << 32) + leaf for size, _, leaf, _ in parts])
                 kinds = np.concatenate([np.full(len(some), kind, np.int32) for _, kind, _, some in parts])
@@ -290,16 +298,18 @@ def _search(cell: pa.Table) -> pa.Table:
     kinds, n = cell["kind"].to_numpy(), cell["n"].to_numpy()
     words = np.array(cell["word"].to_pylist(), object)
     held = np.flatnonzero(kinds == HELD)
-    same, shorter = np.flatnonzero(kinds != SHORTER), np.flatnonzero(kinds == SHORTER)
     us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if len(held):
         rows = letters(words[held].tolist())
-        q, t = near_pairs(rows, letters(words[same].tolist()))
-        us, vs = [same[q]], [held[t]]
-        if len(shorter):
-            q, t = near_pairs(rows, letters(words[shorter].tolist()))
-            us += [shorter[q], held[t]]
-            vs += [held[t], shorter[q]]
+        for kind in (HELD, SAME, SHORTER):
+            asking = np.flatnonzero(kinds == kind)
+            if len(asking):
+                q, t = near_pairs(rows, letters(words[asking].tolist()))
+                us.append(asking[q])
+                vs.append(held[t])
+                if kind != HELD:  # held words find each other from both sides
+                    us.append(held[t])
+                    vs.append(asking[q])
     u, v = np.concatenate(us), np.concatenate(vs)
     if not len(u):
         return _NEAR_ARROW.empty_table()
