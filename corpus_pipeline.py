@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    named = with_domain(docs).select("doc_id", "text", "domain", "lang", "source", row)
+    named = with_domain(docs.select("doc_id", "text", "lang", "source", row))
     return mixing.mixed_documents(named, mix_weights(spark, named), MIX_PERCENT).select("row.*")
 
 
