@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from adlake.fixed import ATTRIBUTE_SUFFIXES, VALID
 
+#: Status of rows that break a rule.
+REJECTED = "Rejected"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -37,6 +40,13 @@ def valid_rows(frame: DataFrame, rules: Sequence[Rule] = PERFORMANCE_RULES) -> D
     return reduce(lambda kept, rule: kept.filter(rule.condition), rules, frame)
 
 
+def judged_rows(frame: DataFrame, rules: Sequence[Rule] = PERFORMANCE_RULES) -> DataFrame:
+    """All rows with ``reasons``, the rules each breaks, and ``quality_status``."""
+    reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.reason)) for r in rules]))
+    status = F.when(F.size("reasons") == 0, F.lit(VALID)).otherwise(F.lit(REJECTED))
+    return frame.withColumn("reasons", reasons).withColumn("quality_status", status)
+
+
 def rejected_rows(frame: DataFrame, rules: Sequence[Rule] = PERFORMANCE_RULES) -> DataFrame:
     """Rows that break a rule, with every reason in ``reasons``."""
     reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.reason)) for r in rules]))

@@ -13,7 +13,7 @@ from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe, round_mo
 from adlake.operators.keys import dimension
 from adlake.operators.layout import clustered, file_count
 from adlake.operators.pick import pick_member
-from adlake.operators.quality import PERFORMANCE_RULES, Rule, not_valid, source_counts, split_valid, valid_rows
+from adlake.operators.quality import PERFORMANCE_RULES, REJECTED, Rule, judged_rows, source_counts, split_valid, valid_rows
 from adlake.operators.star import (
     CAMPAIGN_KEY,
     CHANNEL_KEY,
@@ -28,7 +28,9 @@ from adlake.plans.semantic import Model
 from adlake.session import materialize
 from adlake.sources.tables import TableStore, align_to_schema
 
+JUDGED = "conformed/judged_performance"
 SILVER = "conformed/marketing_performance"
+REJECTS = "conformed/rejected_performance"
 AUDIT = "audit/source_row_counts"
 GOLD = {
     "date": "dimensions/dim_date",
@@ -40,13 +42,19 @@ GOLD = {
 }
 LAYOUT = ["date_key", "campaign_key"]
 
-#: Counted while silver is written.
+
+
+def _valid(condition: str = "true") -> str:
+    return f"count_if(quality_status = '{VALID}' AND ({condition}))"
+
+
+#: Counted while silver and rejected rows are written.
 SILVER_METRICS = {
-    "not_valid": not_valid(),
-    "without_attributes": "count_if(product_name IS NULL OR brand IS NULL OR category IS NULL)",
-    "without_channel": f"count_if({' OR '.join(f'{c} IS NULL' for c in CHANNEL_KEY)})",
-    "without_campaign": f"count_if({' OR '.join(f'{c} IS NULL' for c in CAMPAIGN_KEY)})",
-    "without_keys": f"count_if({' OR '.join(f'{c} IS NULL' for c in [*CHANNEL_KEY, *CAMPAIGN_KEY])})",
+    "valid": _valid(),
+    "rejected": f"count_if(quality_status = '{REJECTED}')",
+    "valid_with_reasons": _valid("size(reasons) > 0"),
+    "without_attributes": _valid("product_name IS NULL OR brand IS NULL OR category IS NULL"),
+    "without_keys": _valid(" OR ".join(f"{c} IS NULL" for c in [*CHANNEL_KEY, *CAMPAIGN_KEY])),
 }
 
 
@@ -75,6 +83,19 @@ class SilverPlan:
         kept = rows if self.filter_first else valid_rows(rows, self.rules)
         return round_money(kept, MONEY).withColumn("quality_status", F.lit(VALID))
 
+    def judged(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
+        """Silver and rejected rows in one frame, told apart by quality_status, with reasons and the rejected rows' own money.
+
+        Rows are deduplicated once. With ``filter_first`` the two differ in what is deduplicated, so both are computed.
+        """
+        def told(rows: DataFrame) -> DataFrame:
+            own = {f"raw_{c}": F.when(F.col("quality_status") == REJECTED, F.col(c)) for c in MONEY}
+            return round_money(judged_rows(rows, self.rules).withColumns(own), MONEY)
+
+        if not self.filter_first:
+            return told(self.deduped(feeds))
+        return told(self.deduped(feeds)).unionByName(told(self.unioned(feeds)).filter(F.col("quality_status") == REJECTED))
+
     def rejected(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
         rows = self.unioned(feeds) if self.filter_first else self.deduped(feeds)
         return split_valid(rows, self.rules)[1]
@@ -103,10 +124,23 @@ class Medallion:
         return {name: self.store.read(name) for name in self.plan.sources}
 
     def write_silver(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
-        """Write the conformed table of some feeds. Its checks are counted by that write, and a failed one leaves the table as it was."""
-        self.store.write(self.plan.silver(feeds), SILVER, metrics=SILVER_METRICS, expected={"not_valid": 0})
+        """Write the conformed rows of some feeds, valid and rejected ones apart, in one pass; silver and rejects show their part of it.
+
+        Checks are counted by that write, and a failed one leaves the table as it was.
+        """
+        judged = self.plan.judged(feeds)
+        raw = [f"raw_{c}" for c in MONEY]
+        self.store.write(judged, JUDGED, partition_by=["quality_status"], metrics=SILVER_METRICS, expected={"valid_with_reasons": 0})
+        own = [c for c in judged.columns if c not in ("reasons", "quality_status", *raw)]
+        rejects = [f"raw_{c} AS {c}" if c in MONEY else f"`{c}`" for c in own]
+        self.store.show(REJECTS, JUDGED, [*rejects, "reasons"], f"quality_status = '{REJECTED}'")
+        self.store.show(SILVER, JUDGED, [*(f"`{c}`" for c in own), "quality_status"], f"quality_status = '{VALID}'")
         return self.store.read(SILVER)
 
+    def silver_metrics(self) -> dict[str, int]:
+        """Counts of the last write of silver: valid and rejected rows, valid ones without attributes or keys."""
+        return self.store.metrics(JUDGED)
+
     def build_silver(self, audit: bool = True) -> DataFrame:
         """Write the conformed table, then its audit counts from what was written."""
         silver = self.write_silver(self.bronze())
@@ -136,10 +170,8 @@ class Medallion:
         return self.gold()
 
     def _fact_rows(self) -> dict[str, int]:
-        known = self.store.metrics(SILVER)
-        if "without_keys" not in known:  # silver was appended to
-            return {}
-        return {"rows": known["rows"] - (0 if self.null_safe_keys else known["without_keys"])}
+        known = self.silver_metrics()
+        return {"rows": known["valid"] - (0 if self.null_safe_keys else known["without_keys"])}
 
     def optimize(self, files: int | None = None) -> None:
         """Cluster fact and daily product anew, after appends."""

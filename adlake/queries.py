@@ -17,7 +17,7 @@ from adlake.operators import fill, keys, layout, pick, quality, star
 from adlake.operators.conform import FEEDS, META, conform, round_money
 from adlake.plans import reports
 from adlake.plans.lake import PLAN, Lake, lake
-from adlake.plans.medallion import AUDIT, GOLD, SILVER, Medallion, insert_movement
+from adlake.plans.medallion import AUDIT, GOLD, REJECTS, Medallion, insert_movement
 from adlake.plans.semantic import Between, Having, Members, Model
 from adlake.session import materialize, shared_folder
 from adlake.sources.records import coerce, explode_records, landed_files, parse_records, select_or_null
@@ -181,6 +181,13 @@ def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
     return plain(rows.withColumn("reasons", F.array_join("reasons", "; ")))
 
 
+def rejected_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected rows as the load wrote them, next to silver."""
+    at = lake(spark, folder)
+    _ = at.silver
+    return plain(at.job.store.read(REJECTS).withColumn("reasons", F.array_join("reasons", "; ")))
+
+
 def money_round(spark: SparkSession, folder: str) -> DataFrame:
     rows = PLAN.unioned(lake(spark, folder).feeds)
     return plain(round_money(rows, MONEY).select(*GRAIN, "impressions", *MONEY))
@@ -290,14 +297,14 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     """Checks of the load. Row, null and status counts were taken by the writes; what is stored is compared with them."""
     at = lake(spark, folder)
     silver, gold = at.silver, at.gold
-    written, facts = at.job.store.metrics(SILVER), at.job.store.metrics(GOLD["fact"])
+    written, facts = at.job.silver_metrics(), at.job.store.metrics(GOLD["fact"])
     known = [
         ("silver rows without attributes", 0, written["without_attributes"]),
-        ("silver rows not valid", 0, written["not_valid"]),
-        ("fact rows", written["rows"] - written["without_keys"], facts["rows"]),
+        ("silver rows not valid", 0, written["valid_with_reasons"]),
+        ("fact rows", written["valid"] - written["without_keys"], facts["rows"]),
     ]
     checks = [
-        quality.Check("silver rows", silver, "count(*)", written["rows"]),
+        quality.Check("silver rows", silver, "count(*)", written["valid"]),
         quality.Check("silver sources", silver, "count(DISTINCT source_system)", 3),
         quality.Check("silver categories", silver, "count(DISTINCT category)", 6),
         quality.Check("campaign rows per key", gold["campaign"], "count(*) - count(DISTINCT campaign_key)", 0),
@@ -606,8 +613,10 @@ def load_job(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze to gold in one run: rows of each table it wrote, and the audit's rows per source."""
     job = _job(spark)
     job.run(lake(spark, folder).feeds)
-    written = {**{n: n for n in FEEDS}, "silver": SILVER, **{n: p for n, p in GOLD.items()}}
-    counts = spark.createDataFrame([(name, job.store.metrics(path)["rows"]) for name, path in written.items()], "table_name string, rows bigint")
+    written = {name: job.store.metrics(path)["rows"] for name, path in {**{n: n for n in FEEDS}, **GOLD}.items()}
+    judged = job.silver_metrics()
+    written |= {"silver": judged["valid"], "rejected": judged["rejected"]}
+    counts = spark.createDataFrame(list(written.items()), "table_name string, rows bigint")
     audit = job.store.read(AUDIT).select(F.concat(F.lit("audit "), "source_system").alias("table_name"), F.col("count").alias("rows"))
     return counts.unionByName(audit)
 
@@ -642,6 +651,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_grain": dedupe_grain,
     "valid_rows": valid_rows,
     "rejected_rows": rejected_rows,
+    "rejected_table": rejected_table,
     "money_round": money_round,
     "silver_table": silver_table,
     "silver_summary": silver_summary,

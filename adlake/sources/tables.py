@@ -95,6 +95,12 @@ class TableStore:
         self._drop_versions(schema, table, version)
         return values
 
+    def show(self, name: str, of: str, columns: Sequence[str], where: str) -> None:
+        """Make a name answer with some rows and columns (in SQL) of another table of the store, as that is at any time."""
+        schema, table, place = self._parts(name)
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{place}'")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {schema}.{table} AS SELECT {', '.join(columns)} FROM {self.table(of)} WHERE {where}")
+
     def _drop_versions(self, schema: str, table: str, shown: str) -> None:
         """Drop the versions of a table that its view doesn't show, and the files of versions that never became tables."""
         context = self.spark.sparkContext

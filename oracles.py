@@ -295,6 +295,9 @@ ORACLES = {
     "rejected_rows": chained(
         f"select {CANON}, {REASONS} as reasons from deduped where {' or '.join(INVALID.values())}"
     ),
+    "rejected_table": chained(
+        f"select {CANON}, {REASONS} as reasons from deduped where {' or '.join(INVALID.values())}"
+    ),
     "money_round": chained(
         f"select {GRAIN}, impressions, cast(round_even(spend_raw, 2) as double) as spend, "
         "cast(round_even(revenue_raw, 2) as double) as revenue from canon0"
@@ -418,7 +421,7 @@ ORACLES = {
                 ("src_google_ads_raw", "canon0 where source_system = 'Google Ads'"),
                 ("src_meta_ads_raw", "canon0 where source_system = 'Meta Ads'"),
                 ("src_linkedin_ads_raw", "canon0 where source_system = 'LinkedIn Ads'"),
-                ("silver", "silver"), ("date", "dim_date"), ("channel", "dim_channel"), ("campaign", "dim_campaign"),
+                ("silver", "silver"), ("rejected", f"deduped where {' or '.join(INVALID.values())}"), ("date", "dim_date"), ("channel", "dim_channel"), ("campaign", "dim_campaign"),
                 ("product", "dim_product"), ("fact", "fact"),
                 ("daily", "(select distinct date_key, campaign_key, channel_key from fact)"),
             ]

@@ -254,3 +254,24 @@ def test_checks_read_no_feed(lake):
     from adlake.queries import dq_report
 
     assert "staging" not in plan_of(dq_report(lake.spark, lake.folder)) and dq_report(lake.spark, lake.folder).filter("not passed").count() == 0
+
+
+def test_one_write_tells_valid_from_rejected(spark, literal_feeds, tmp_path):
+    """Both parts of the one table equal what is computed apart; rows are deduplicated once, and each part reads its own files."""
+    from adlake.plans.medallion import REJECTS
+
+    name = "src_google_ads_raw"
+    feed = literal_feeds[name]
+    bad = feed.limit(40).withColumn("gads_clicks", F.lit(10**9)).withColumn("gads_device", F.lit("A"))
+    feeds = {**literal_feeds, name: feed.unionByName(bad)}
+    for first in (False, True):
+        plan = SilverPlan(dict(FEEDS), {}, tie_order=["device_category"], filter_first=first)
+        job = Medallion(TableStore(spark, f"{tmp_path}/{first}"), plan)
+        job.load_bronze(feeds)
+        silver, rejects = job.build_silver(), job.store.read(REJECTS)
+        assert rows(silver) == rows(plan.silver(feeds)) and silver.columns == plan.silver(feeds).columns
+        assert rows(rejects) == rows(plan.rejected(feeds)) and rejects.count() == 40
+        assert (job.silver_metrics()["valid"], job.silver_metrics()["rejected"]) == (silver.count(), 40)
+        assert "quality_status=Rejected" not in plan_of(silver.filter("clicks > 0")) and "PartitionFilters: [isnotnull(quality_status" in plan_of(silver)
+        if not first:
+            assert plan_of(plan.judged(feeds)).split("== Physical Plan ==")[1].count("row_number") == plan_of(plan.deduped(feeds)).split("== Physical Plan ==")[1].count("row_number")
