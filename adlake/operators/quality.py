@@ -78,8 +78,12 @@ def complete_rows(frame: DataFrame, suffixes: Sequence[str] = ATTRIBUTE_SUFFIXES
 
 
 def distinct_counts(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact distinct values of each column in one job."""
-    return frame.agg(*[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in columns])
+    """Exact distinct values of each column in one job.
+
+    Rows are reduced to their distinct combinations first, within each task before the shuffle, and only those are
+    expanded once per column.
+    """
+    return frame.select(*[F.col(c) for c in columns]).distinct().agg(*[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in columns])
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from adlake.fixed import ADDITIVE, CATALOG_TABLE, CATALOG_TYPES, GRAIN, MAX_FEED_WIDTH, MONEY, PREDICTION, TRAINING_SEED
 from adlake.functions import positive_ratio
 from adlake.ml import features, ridge, training
-from adlake.operators import fill, keys, layout, pick, quality, star
+from adlake.operators import fill, keys, layout, pick, presence, quality, star
 from adlake.operators.conform import FEEDS, META, conform, round_money
 from adlake.plans import reports
 from adlake.plans.lake import PLAN, Lake, lake
@@ -288,6 +288,20 @@ def dq_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.distinct_counts(lake(spark, folder).silver, ["brand", "category", "source_system", "product_id"])
 
 
+def distinct_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Products advertised per month, per year and in all, from bitmaps of each source's load, stored and merged."""
+    silver, store = lake(spark, folder).silver, _job(spark).store
+    rows = silver.select("source_system", F.year("event_date").alias("year"), F.month("event_date").alias("month"), "product_id")
+    for i, system in enumerate(("Google Ads", "Meta Ads", "LinkedIn Ads")):  # a load each
+        bitmaps = presence.key_bitmaps(rows.filter(F.col("source_system") == system), ["year", "month"], "product_id")
+        (store.append if i else store.write)(bitmaps, "audit/product_bitmaps")
+    stored = store.read("audit/product_bitmaps")
+    counts = [presence.distinct_keys(stored, by, "products") for by in (["year", "month"], ["year"], [])]
+    none = F.lit(None).cast("int")
+    years, everything = counts[1].withColumn("month", none), counts[2].withColumns({"year": none, "month": none})
+    return counts[0].unionByName(years).unionByName(everything)
+
+
 def dq_complete_attrs(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["product_name", "brand", "category", "device_category", "video_views"]
     return quality.incomplete_counts(lake(spark, folder).silver, columns)
@@ -670,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "natural_key_gaps": natural_key_gaps,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_distinct_counts": dq_distinct_counts,
+    "distinct_products": distinct_products,
     "dq_complete_attrs": dq_complete_attrs,
     "dq_report": dq_report,
     "feed_contract": feed_contract,

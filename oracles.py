@@ -347,6 +347,10 @@ ORACLES = {
         "select " + ", ".join(f"count(distinct {c}) as distinct_{c}" for c in ("brand", "category", "source_system", "product_id"))
         + " from silver"
     ),
+    "distinct_products": chained(
+        "select cast(year(event_date) as integer) as year, cast(month(event_date) as integer) as month, count(distinct product_id) as products "
+        "from silver group by grouping sets ((1, 2), (1), ())"
+    ),
     "dq_complete_attrs": chained(
         "select " + ", ".join(
             f"count(*) - count({c}) as null_{c}" for c in ("product_name", "brand", "category", "device_category", "video_views")

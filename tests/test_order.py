@@ -182,3 +182,18 @@ def test_rank_values_at_both_ends(spark):
 def test_median_of_nothing(spark):
     frame = spark.createDataFrame([(None,)], "v double")
     assert medians(frame, {"v": 0}) == {"v": None}
+
+
+def test_bitmaps_count_and_add_up(spark):
+    """Hot, negative, far and null keys; months merge into years and loads into one."""
+    from adlake.operators import presence
+
+    data = [(k % 3, k % 2, key) for k, key in enumerate([0, 0, 0, 1, 32767, 32768, 32769, 10**12, -1, -32768, None, 5] * 40)]
+    frame = spark.createDataFrame(data, "month int, load int, key long")
+    found = {r.month: r.n for r in presence.distinct_keys(presence.key_bitmaps(frame, ["month"], "key"), ["month"], "n").collect()}
+    assert found == {m: len({k for a, _, k in data if a == m and k is not None}) for m in range(3)}
+    loads = [presence.key_bitmaps(frame.filter(f"load = {n}"), ["month"], "key") for n in (0, 1)]
+    both = loads[0].unionAll(loads[1])
+    assert presence.distinct_keys(both, [], "n").first().n == len({k for *_, k in data} - {None})
+    assert presence.merged(both, ["month"]).count() == presence.key_bitmaps(frame, ["month"], "key").count()
+    assert presence.distinct_keys(presence.key_bitmaps(frame.limit(0), ["month"], "key"), ["month"], "n").collect() == []
