@@ -302,18 +302,20 @@ class Model:
         Per level: the `bars` largest members under each shown parent, their rank, value
         and share of the parent. Every shown member is opened, or only the ``selected`` one
         (shown or not) on levels that name one.
-        One row per bar; columns of deeper levels are null. The fact is summed once, at
-        the finest level, and stored; all levels are sums of that.
+        One row per bar; columns of deeper levels are null. The fact is summed once, and one rollup of those sums,
+        stored, holds all levels.
         """
         selected = dict(selected or {})
         sums = self._sums_behind([measure])
-        finest = materialize(self._grouped(path, sums, filters), "decomposition")
         names = [slug(c) for c in path]
+        totals = [F.sum(f"_{slug(m.name)}").alias(f"_{slug(m.name)}") for m in sums]
+        rolled = self._grouped(path, sums, filters).rollup(*names).agg(F.grouping_id().alias("_rolled"), *totals)
+        rolled = materialize(rolled, "decomposition")
         additive = not self.measures[measure].ratio
 
         def level(depth: int) -> DataFrame:
-            totals = [F.sum(f"_{slug(m.name)}").alias(f"_{slug(m.name)}") for m in sums]
-            return finest.groupBy(*names[:depth]).agg(*totals).select(*names[:depth], self._value(measure).alias("value"))
+            rows = rolled.filter(F.col("_rolled") == (1 << (len(names) - depth)) - 1)
+            return rows.select(*names[:depth], self._value(measure).alias("value"))
 
         levels = []
         for depth in range(1, len(path) + 1):
@@ -328,17 +330,16 @@ class Model:
                     parent, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in parents], "left_semi"
                 )
                 current = current.join(over, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parents], "inner")
-            place = F.rank().over(Window.partitionBy(*parents).orderBy(F.col("value").desc_nulls_last()))
-            ranked = current.filter(F.col("value").isNotNull()).withColumn("place", place)
-            shown = opened = ranked.filter(F.col("place") <= bars)
+            valued = current.filter(F.col("value").isNotNull())
+            shown = opened = largest(valued, parents, names[:depth], bars)
             if path[depth - 1] in selected:
-                opened = ranked.filter(F.col(names[depth - 1]).eqNullSafe(F.lit(selected[path[depth - 1]])))
+                opened = valued.filter(F.col(names[depth - 1]).eqNullSafe(F.lit(selected[path[depth - 1]])))
             share = divide(F.col("value"), F.col("_whole")) if additive else F.lit(None).cast("double")
             levels.append(
                 shown.select(
                     F.lit(depth).alias("level"),
                     *[
-                        (F.col(n) if i < depth else F.lit(None).cast(finest.schema[n].dataType)).alias(n)
+                        (F.col(n) if i < depth else F.lit(None).cast(rolled.schema[n].dataType)).alias(n)
                         for i, n in enumerate(names)
                     ],
                     "place",
@@ -356,6 +357,24 @@ class Model:
         )
 
 
+#: Parts in which the members of one parent are ranked before the parent's own ranking.
+RANKED_PARTS = 64
+
+
+def largest(rows: DataFrame, parents: Sequence[str], names: Sequence[str], n: int) -> DataFrame:
+    """Rows with ``place``, their rank by value under their parent, of the n first places; ties share a place.
+
+    The members of a parent are ranked in parts by a hash of their names first. What is among the n first of all is among the n first of its
+    part, and all that outranks it too, so the second ranking sees few rows of each part and gives the same places.
+    """
+    part = F.pmod(F.xxhash64(*names), F.lit(RANKED_PARTS))
+    by_value = F.col("value").desc_nulls_last()
+    first = rows.withColumn("_part", part)
+    first = first.withColumn("place", F.rank().over(Window.partitionBy(*parents, "_part").orderBy(by_value))).filter(F.col("place") <= n)
+    whole = Window.partitionBy(*(parents or [F.lit(0)])).orderBy(by_value)
+    return first.drop("_part").withColumn("place", F.rank().over(whole)).filter(F.col("place") <= n)
+
+
 def share_of_total(result: DataFrame, measure: str) -> DataFrame:
     """A query result with each row's share of the measure's total over all rows."""
     value = F.col(slug(measure))

@@ -176,3 +176,22 @@ def test_a_dimension_filter_reaches_the_fact_scan(lake):
     days = [Between("Date.Date", date(1996, 1, 1), date(1997, 12, 31))]
     physical = plan_of(lake.model.query([], ["Total Spend"], days))
     assert "GreaterThanOrEqual(date_key,19960101)" in physical and "LeftSemi" in physical
+
+
+def test_the_largest_of_many_with_ties(spark):
+    """A hundred thousand members of one parent: places as one ranking gives them, which no task makes alone."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from adlake.plans.semantic import largest
+
+    many = spark.range(100_000).select(F.lit(None).cast("string").alias("p"), F.col("id").alias("member"), (F.col("id") * 7919 % 9973).cast("double").alias("value"))
+    few = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 2.0), ("a", 3, 1.0), ("b", 1, -1.0), (None, 7, 1e9)], "p string, member long, value double")
+    frame = many.unionAll(few)
+    place = F.rank().over(Window.partitionBy("p").orderBy(F.desc("value")))
+    wanted = frame.withColumn("place", place).filter("place <= 3")
+    assert rows(largest(frame, ["p"], ["p", "member"], 3)) == rows(wanted)
+    alone = many.drop("p")
+    wanted = alone.withColumn("place", F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("value")))).filter("place <= 3")
+    found = largest(alone, [], ["member"], 3)
+    assert rows(found) == rows(wanted) and found.count() == 10
