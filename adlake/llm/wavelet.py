@@ -193,8 +193,8 @@ class Encoder:
         sizes = (last - first)[order]
         many = int(plain.sum())
         run = np.cumsum(sizes[:many]) // RUN_BYTES
-        edges = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
-        for a, b in zip(edges, [*edges[1:], many], strict=True):
+        edges = np.flatnonzero(np.diff(run, prepend=-1)).tolist()  # none where no piece is plain
+        for a, b in zip(edges, [*edges[1:], many][: len(edges)], strict=True):
             own = order[a:b]
             found = self._encode([b"".join(raw[x:y] for x, y in zip(first[own].tolist(), last[own].tolist(), strict=True)).decode()])[0]
             ends, wanted = np.cumsum(self.sizes[found]), np.cumsum(sizes[a:b])
