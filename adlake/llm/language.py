@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.text import CODES, LOWER, Rolling, slices
+from adlake.session import materialize
 
 #: Training texts of each language, and how many of them are landmarks; the first by a hash of doc_id.
 SAMPLE_PER_LANGUAGE = 300
@@ -34,12 +35,17 @@ BATCH = 256
 FOLDS, HELD_OUT = 3, 1
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 #: Lower case of A-Z; what is no letter in ASCII becomes a space, so only letters and word edges count.
 _FOLDED = LOWER.copy()
 _FOLDED[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter to Unicode, as \\p{L} is in the sample; numbers such as ½ and ² are none."""
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 class Presence:
     """Which n-gram buckets occur in a text: rows of zeros and ones."""
 
@@ -77,8 +83,11 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
     """Language, place and presence row of at most per_language texts of each language, of fewer the more languages there are."""
     learnt = _documents(docs, F.col("lang").cast("string").alias("lang")).filter((F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     per_language = max(1, min(per_language, SAMPLE_IN_ALL // max(1, learnt.select("lang").distinct().count())))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ids = learnt.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
+    learnt = learnt.withColumn("mark", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
+    ids = learnt.select("lang", "doc_id", "mark").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
+    # at most SAMPLE_IN_ALL rows, or one a language; texts are fetched for these alone, and equal rows once a place
+    ids = learnt.join(F.broadcast(materialize(ids, "sample")), ["lang", "doc_id", "mark"]).dropDuplicates(["lang", "place"])
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence = Presence()
@@ -132,7 +141,7 @@ def predicted_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE
         for batch in batches:
             ids, texts = batch["doc_id"].to_pylist(), batch["text"]
             for first, last, rows in presence.scan(texts):
-                lettered = [t is not None and _LETTER.search(t) is not None for t in texts[first:last].to_pylist()]
+                lettered = [t is not None and has_letter(t) for t in texts[first:last].to_pylist()]
                 if names:
                     scores = kernel(rows, landmarks) @ weights
                     best = scores.argmax(axis=1)
