@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.text import CODES, LOWER, NOT_ALNUM, Rolling, member, per_row, slices, words
+from adlake.session import materialize
 
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
 You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
@@ -361,7 +362,8 @@ def licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, sim
     """
     files = files.select("file", F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")
-    found = own_licences(files, templates, licence_texts() if texts is None else texts, similar, file_similar).withColumn("at", directory)
+    found = own_licences(files, templates, licence_texts() if texts is None else texts, similar, file_similar)
+    found = materialize(found, "found").withColumn("at", directory)  # read three times below
     speaks = found.filter("speaks")
     spoken = speaks.groupBy("at").agg(F.min(F.struct((-F.col("score")).alias("minus"), "own")).alias("best")).select(F.col("at").alias("above"), F.col("best.own").alias("told"))
     parts = F.split("at", "/")
