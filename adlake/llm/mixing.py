@@ -138,8 +138,8 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, percent: int = PERC
 def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, percent: int = PERCENT, seed: int = SEED) -> DataFrame:
     """The rows of docs that a mix of one epoch uses, with all their columns; the last document of a leaf is whole.
 
-    docs as for ``mixed``, and so are the cases. Each leaf's last order key is joined to the documents, which themselves aren't
-    shuffled when the leaves are few. Of rows with one key, which share a doc_id, all are used or none.
+    docs as for ``mixed``, and so are the cases. Each leaf's last order key is written, so that Spark knows their size, and joined to the
+    documents, which aren't shuffled when the leaves are few. Of rows with one key, which share a doc_id, all are used or none.
     """
     sized = materialize(_sized(docs), "sized")
     plan = materialize(_planned(sized, weights, percent, 1), "mix")
@@ -149,4 +149,4 @@ def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, percent:
     leaf = [F.coalesce(F.col(c).cast("string"), F.lit("")).eqNullSafe(F.col(f"_leaf_{c}")) for c in LEVELS]
     ends = ends.select(*[F.col(c).alias(f"_leaf_{c}") for c in LEVELS], F.col("end").alias("_leaf_end"))
     used = (F.col("_leaf_end") == "~") | (order_key(F.lit(0), seed) <= F.col("_leaf_end"))
-    return docs.join(ends, leaf[0] & leaf[1] & leaf[2] & used, "left_semi")
+    return docs.join(materialize(ends, "ends"), leaf[0] & leaf[1] & leaf[2] & used, "left_semi")
