@@ -256,9 +256,10 @@ def _by_length(words: list[str]) -> dict[int, np.ndarray]:
 
 
 def cell_trees(words: DataFrame, cell_words: int = CELL_WORDS, sample_words: int = SAMPLE_WORDS) -> dict[int, Tree]:
-    """For each length of a bounded sample, the tree whose leaves are cells. It decides only which task searches what."""
+    """For each length of a sample of about ``sample_words``, chosen by hash, the tree whose leaves are cells. It decides only which task searches what."""
     total = words.count()
-    sample = [r.word for r in words.orderBy(F.xxhash64("word")).limit(sample_words).select("word").collect()]
+    share = min(1.0, sample_words / max(total, 1))
+    sample = [r.word for r in words.filter(F.expr(f"pmod(xxhash64(word), 1000000) < {math.ceil(share * 1e6)}")).select("word").collect()]
     leaf = max(CELL_SAMPLE, math.floor(cell_words * len(sample) / max(total, 1)))
     trees = {}
     for n, own in _by_length(sample).items():
