@@ -13,12 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.components import components
 from adlake.llm.text import CODES, LOWER, WHITE, Rolling, member, mix, pack, pack_small, per_row, slices, unpack, unpack_small, word_windows, words
-from adlake.llm.units import cut, with_units
+from adlake.llm.units import cut, release, with_units
 from adlake.session import materialize
 
 SHINGLE_WORDS = 5
@@ -221,6 +221,8 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
     rows = materialize(rows.join(common, "token", "left_semi"), "postings")
     total = rows.count()
 
+    spark = docs.sparkSession
+    release(spark)
     label = None
     for turn in range(LEADER_ROUNDS + 1):
         lists = rows.withColumn("comp", F.col("doc_id")) if label is None else _labelled(rows, label)
@@ -229,6 +231,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
         pairs = _all_candidates(lists) if turn == LEADER_ROUNDS else _with_leader(lists, turn)
         found = materialize(similar_pairs(pairs, chosen), "links")
         label = components(found if label is None else label.unionAll(found))
+        release(spark)
     label = label.select(F.col("u").alias("rep"), F.col("v").alias("root"))
     members = classes.join(label, "rep", "left").select("s1", "s2", "n", F.coalesce("root", "rep").alias("root"))
     return sets.join(members, ["s1", "s2", "n"], "left").select(
@@ -237,12 +240,21 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFra
 
 
 def single_documents(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One document of each component of similar documents, that of the smallest doc_id, with all columns.
+    """One row of each component of similar documents, of the smallest doc_id, with all columns.
 
-    Cases as for ``similarity_components``; rows without doc_id go.
+    Cases as for ``similarity_components``; rows without doc_id go. Of several rows under one doc_id that of the smallest hash over
+    all columns stays. Only such rows are shuffled for that; the others meet a list of doc_ids.
     """
     kept = similarity_components(docs, size).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
+    own = F.col("doc_id").cast("long")
+    again = materialize(docs.groupBy(own.alias("_again")).count().filter("count > 1 and _again is not null").select("_again"), "repeated")
+    named = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(own.alias("_id"), named)
+    once = rows.join(again, rows["_id"] == again["_again"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("row")))
+    first = rows.join(again, rows["_id"] == again["_again"], "left_semi").withColumn("_place", place).filter("_place = 1").select("_id", "row")
+    single = once.unionAll(first)
+    return single.join(kept, single["_id"] == kept["_kept"], "left_semi").select("row.*")
 
 
 def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:

@@ -7,15 +7,25 @@ of all documents hold costs one entry per unit, never one per document.
 
 from __future__ import annotations
 
+import gc
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNIT_BYTES = 4 << 20
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files and broadcasts of frames that are written and no longer referred to.
+
+    It acts on what the driver's garbage collection finds, which by itself may come long after many rounds of a job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
