@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adlake.llm import decontaminate, embedding, jaccard, mixing, wavelet
 from adlake.llm.queries import mix_weights, table, with_domain
+from adlake.llm.units import release
 from adlake.session import materialize
 
 #: Tokens that the mix chooses, in percent of what is left when it begins.
@@ -22,20 +23,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return jaccard.single_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     named = with_domain(docs.select("doc_id", "text", "lang", "source", row))
     return mixing.mixed_documents(named, mix_weights(spark, named), MIX_PERCENT).select("row.*")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return wavelet.tokenized(docs)
 
 
