@@ -451,10 +451,10 @@ def traverse_path(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def walk_path(spark: SparkSession, folder: str) -> DataFrame:
-    """Days on which a product was advertised that also was on the first day of 1995."""
+    """Days on which a product was advertised that also was in the first week of 1996."""
     ontology = lake(spark, folder).ontology
     date, product = "Marketing_Performance_has_Date", "Marketing_Performance_has_Product"
-    return ontology.walk("Date", ontology.tables["date"].filter("date_key = 19950101"), [date, product, product, date])
+    return ontology.walk("Date", ontology.tables["date"].filter("date_key between 19960101 and 19960107"), [date, product, product, date])
 
 
 def reachable_members(spark: SparkSession, folder: str) -> DataFrame:

@@ -547,7 +547,7 @@ ORACLES = {
         "join (select distinct brand, campaign_key from gold) b using (campaign_key)"
     ),
     "walk_path": chained(
-        "select distinct date_key from fact where product_key in (select product_key from fact where date_key = 19950101)"
+        "select distinct date_key from fact where product_key in (select product_key from fact where date_key between 19960101 and 19960107)"
     ),
     "reachable_members": f"with recursive {CHAIN}" + """, link as materialized (select distinct product_key, date_key from fact),
         rows as materialized (select product_key, date_key, count(*) as n from
