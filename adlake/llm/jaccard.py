@@ -283,9 +283,10 @@ def _candidates(lists: DataFrame) -> int:
 def _with_leader(lists: DataFrame, turn: int) -> DataFrame:
     """Members of a token's list with a leader of its largest component, where they are outside it.
 
-    At first every member is a component, and all lists of a document lead to few leaders; later each token has its own.
+    At first every member is a component, and all lists of a document lead to few leaders; later each token has its own,
+    a member that holds it as early as any: fewer of the others are then ruled out by its place.
     """
-    place = F.xxhash64("doc_id") if not turn else F.xxhash64(F.lit(turn), "token", "doc_id")
+    place = F.xxhash64("doc_id") if not turn else F.struct(F.col("n") - F.col("room"), F.xxhash64(F.lit(turn), "token", "doc_id"))
     if turn:
         lists = lists.join(_main_components(lists).select("token", "main"), "token")
         led = lists.filter("comp = main")
