@@ -238,6 +238,16 @@ def fact_build(spark: SparkSession, folder: str) -> DataFrame:
     return fact_columns(star.performance_fact(at.silver, at.gold["channel"], at.gold["campaign"]))
 
 
+def fact_null_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per campaign where parts of the natural key are missing: joins that match nulls keep all rows, plain ones drop some."""
+    name, objective = (F.when(F.col(by) % n != 0, F.col(c)).alias(c) for c, by, n in (("campaign_name", "sessions", 11), ("campaign_objective", "clicks", 7)))
+    rows = materialize(lake(spark, folder).silver.select("campaign_id", name, objective), "null_keys")
+    campaigns = keys.dimension(rows, star.CAMPAIGN_KEY, "campaign_key")
+    used = rows.groupBy(*star.CAMPAIGN_KEY).agg(F.count("*").alias("rows"))
+    joined = [keys.attach_keys(used, campaigns, star.CAMPAIGN_KEY, "campaign_key", safe).withColumn("null_safe", F.lit(safe)) for safe in (False, True)]
+    return joined[0].unionByName(joined[1]).select("null_safe", "campaign_key", *star.CAMPAIGN_KEY, "rows")
+
+
 def fact_ratios(spark: SparkSession, folder: str) -> DataFrame:
     silver = lake(spark, folder).silver
     ratios = silver.select(
@@ -676,6 +686,7 @@ QUERIES: dict[str, Query] = {
     "dim_product": dim_product,
     "surrogate_key_large": surrogate_key_large,
     "fact_build": fact_build,
+    "fact_null_keys": fact_null_keys,
     "fact_ratios": fact_ratios,
     "campaign_daily": campaign_daily,
     "campaign_daily_sorted": campaign_daily_sorted,

@@ -317,6 +317,14 @@ ORACLES = {
     "surrogate_key_large": "select o_custkey, o_orderkey, cast(row_number() over (order by o_custkey, o_orderkey) as integer) "
     "as order_key from (select distinct o_custkey, o_orderkey from orders)",
     "fact_build": chained(f"select {FACT} from fact"),
+    "fact_null_keys": chained(
+        "select s.null_safe, campaign_key, campaign_id, campaign_name, campaign_objective, rows from keyed, (values (false), (true)) s(null_safe) "
+        "where s.null_safe or (campaign_id is not null and campaign_name is not null and campaign_objective is not null)",
+        ", gaps as (select campaign_id, case when sessions % 11 <> 0 then campaign_name end as campaign_name, "
+        "case when clicks % 7 <> 0 then campaign_objective end as campaign_objective from silver), "
+        "keyed as (select *, cast(row_number() over (order by campaign_id nulls first, campaign_name nulls first, campaign_objective nulls first) "
+        "as integer) as campaign_key from (select campaign_id, campaign_name, campaign_objective, count(*) as rows from gaps group by all))",
+    ),
     "fact_ratios": chained(
         f"select {GRAIN}, {half_up('clicks', 'impressions')} as click_through_rate, "
         f"{half_up(cents('spend'), '(100 * clicks)')} as cost_per_click, "
