@@ -77,25 +77,19 @@ def test_stages_keep_the_values_of_rows(spark):
         assert found.columns == docs.columns and {tuple(r) for r in found.collect()} <= given, name
 
 
-def test_near_copies_meet_few_others(spark, monkeypatch):
-    """Of a large group of near copies, most pairs of which are not similar, the last comparison meets a few pairs a document."""
+@pytest.mark.parametrize("edits", [4, None])
+def test_crowds_of_near_copies(spark, monkeypatch, edits):
+    """Large groups of near copies in which most pairs are not similar: four edits each give many components, up to three one."""
     base = brute.prose("crowd", 150).split()
     texts = []
     for k in range(300):
         own = list(base)
-        for j in range(k % 4):
+        for j in range(edits or k % 4):
             own[(17 * k + 41 * j + k * k * (j + 1)) % 150] = f"changed{k}x{j}"
         texts.append(" ".join(own))
     rows_ = list(enumerate(texts))
-    met = []
-
-    def counted(lists, compare=jaccard._all_candidates):
-        pairs = compare(lists)
-        met.append(pairs.count())
-        return pairs
-
-    monkeypatch.setattr(jaccard, "_all_candidates", counted)
+    expected = brute.similarity_classes(rows_)
+    assert (len({c for *_, c in expected}) > 50) == (edits == 4)
     monkeypatch.setattr(jaccard, "FEW_CANDIDATES", 0)
     found = jaccard.similarity_components(spark.createDataFrame(rows_, "doc_id long, text string"))
-    assert sorted(tuple(r) for r in found.collect()) == brute.similarity_classes(rows_)
-    assert len(met) == 1 and met[0] <= 4 * len(texts)
+    assert sorted(tuple(r) for r in found.collect()) == expected
