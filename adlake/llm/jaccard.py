@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.components import components
-from adlake.llm.text import CODES, LOWER, WHITE, Rolling, member, mix, pack, pack_small, per_row, slices, unpack, unpack_small, word_windows, words
+from adlake.llm.text import CODES, LOWER, WHITE, Fingerprints, member, mix, pack, pack_small, per_row, slices, unpack, unpack_small, word_windows, words
 from adlake.llm.units import cut, release, with_units
 from adlake.session import materialize
 
@@ -45,7 +45,7 @@ _SETS_ARROW = pa.schema([
 
 def _sets(unit: pa.Table, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Per slice: first and last row, distinct shingle hashes of the rows, ascending within a row, and their rows."""
-    inner, outer = Rolling(), Rolling()
+    inner, outer = Fingerprints(), Fingerprints()
     for first, last, data, bounds in slices(unit["text"]):
         data = LOWER[data]
         starts, ends, rows = words(data, bounds, WHITE)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, LOWER, NOT_ALNUM, Rolling, member, per_row, slices, words
+from adlake.llm.text import CODES, LOWER, NOT_ALNUM, Fingerprints, member, per_row, slices, words
 from adlake.session import materialize
 
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
@@ -105,7 +105,7 @@ class Terms:
     """Words of slices of texts, and which terms of the templates they are."""
 
     def __init__(self, vocabulary: list[str]):
-        self.rolling = Rolling()
+        self.rolling = Fingerprints()
         self.vocabulary = vocabulary
         data = np.frombuffer("".join(self.vocabulary).encode(), np.uint8)
         sizes = np.array([len(t.encode()) for t in self.vocabulary], np.int64)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, WHITE, Rolling, covered, distinct, per_row, slices, word_windows, words
+from adlake.llm.text import CODES, WHITE, Fingerprints, covered, distinct, per_row, slices, word_windows, words
 
 #: Word n-grams that are counted, and the number of buckets they are hashed to.
 GRAM_WORDS = (1, 2)
@@ -38,7 +38,7 @@ class Counter:
     """Words, word hashes and n-gram buckets of slices of texts."""
 
     def __init__(self, buckets: int = BUCKETS):
-        self.inner, self.outer, self.buckets = Rolling(), Rolling(), buckets
+        self.inner, self.outer, self.buckets = Fingerprints(), Fingerprints(), buckets
 
     def word_hashes(self, data: np.ndarray, bounds: np.ndarray):
         starts, ends, rows = words(data, bounds, WHITE)

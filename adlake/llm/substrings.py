@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from adlake.llm.text import (
-    CODES, WHITE, Rolling, covered, member, pack, pack_small, per_row, slices, unpack, unpack_small, word_windows, words,
+    CODES, WHITE, Fingerprints, covered, member, pack, pack_small, per_row, slices, unpack, unpack_small, word_windows, words,
 )
 from adlake.llm.units import cut, with_units
 
@@ -27,7 +27,7 @@ _RESULT = pa.schema([
 
 def _windows(unit: pa.Table, size: int):
     """Per slice of the unit: its documents' bytes, words, and hash and first word of every window."""
-    rolling, inner = Rolling(), Rolling()
+    rolling, inner = Fingerprints(), Fingerprints()
     for first, last, data, bounds in slices(unit["text"]):
         starts, ends, rows = words(data, bounds, WHITE)
         hashes = inner.ranges(inner.prefix(CODES[data]), starts, ends)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from adlake.llm.text import CODES, Rolling, covered, member, mix, pack, slices, unpack
+from adlake.llm.text import CODES, Fingerprints, covered, member, mix, pack, slices, unpack
 from adlake.llm.units import cut, with_units
 
 LENGTH = 400
@@ -59,7 +59,7 @@ def _pairs(names: np.ndarray, offset: int) -> np.ndarray:
     return mix(names[:n] * _PAIR + names[offset:]) if n > 0 else np.zeros(0, np.uint64)
 
 
-def names_of(data: np.ndarray, length: int, rolling: Rolling) -> np.ndarray:
+def names_of(data: np.ndarray, length: int, rolling: Fingerprints) -> np.ndarray:
     """Name of the length bytes from every position, doubled up from short strings."""
     size = length
     while size > 32:
@@ -83,7 +83,7 @@ def _leftmost_smallest(values: np.ndarray, width: int) -> np.ndarray:
     return places
 
 
-def _runs(data: np.ndarray, bounds: np.ndarray, length: int, rolling: Rolling) -> Runs:
+def _runs(data: np.ndarray, bounds: np.ndarray, length: int, rolling: Fingerprints) -> Runs:
     half = length // 2
     width = length - half + 1
     names = names_of(data, half, rolling)
@@ -156,7 +156,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, whole: bool = Tru
     buckets = max(1, units // 2)
 
     def rank_runs(unit: pa.Table) -> pa.Table:
-        rolling, owners, names = Rolling(), [], []
+        rolling, owners, names = Fingerprints(), [], []
         for _, _, data, bounds in slices(unit["text"]):
             runs = _runs(data, bounds, length, rolling)
             owners.append(runs.owner)
@@ -192,7 +192,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, whole: bool = Tru
         known, marks, _ = _answers(answers)
         if not (marks & _SENDS).any() or not unit.num_rows:
             return _SENT_ARROW.empty_table()
-        rolling, names, asks, sent = Rolling(), [], [], np.zeros(0, np.uint64)
+        rolling, names, asks, sent = Fingerprints(), [], [], np.zeros(0, np.uint64)
         for _, _, data, bounds in slices(unit["text"]):
             runs = _runs(data, bounds, length, rolling)
             own = _marks_of(runs.run, known, marks)
@@ -226,7 +226,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, whole: bool = Tru
         if not unit.num_rows:
             return _RESULT_ARROW.empty_table()
         known, marks, repeated = _answers(answers)
-        rolling, ids, out = Rolling(), unit["doc_id"].to_pylist(), []
+        rolling, ids, out = Fingerprints(), unit["doc_id"].to_pylist(), []
         for first, last, data, bounds in slices(unit["text"]):
             gone = np.zeros(len(data), bool)
             if len(known):

@@ -1,7 +1,8 @@
 """Byte work on Arrow text columns: words, hashes of words and of byte ranges.
 
-All functions work on the concatenated UTF-8 bytes of several documents. Hashes are
-64-bit: with N hashed strings a given string collides with chance N / 2**64.
+All functions work on the concatenated UTF-8 bytes of several documents. Strings that are told apart by
+hashes alone are hashed by ``Fingerprints``: among N strings a given one collides with chance N / 2**62.
+``Rolling`` is cheaper and only deals n-grams to buckets and finds what is compared afterwards.
 """
 
 from __future__ import annotations
@@ -43,7 +44,10 @@ CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
 class Rolling:
-    """Hashes of ranges of a sequence of 64-bit codes, from one prefix sum."""
+    """Hashes of ranges of a sequence of 64-bit codes, from one prefix sum modulo 2**64.
+
+    Texts with equal hashes can be made on purpose, so hashes must not stand for their strings.
+    """
 
     def __init__(self):
         self.up = self.down = np.ones(1, np.uint64)
@@ -75,6 +79,82 @@ class Rolling:
         return mix((sums[size:] - sums[:n]) * self.down[:n] + np.uint64(size))
 
 
+#: The prime 2**31 - 1, whose remainders are sums of two halves, and a base for each of the two lanes.
+_PRIME_BITS = 31
+_PRIME = (1 << _PRIME_BITS) - 1
+_BASES = (0x4F1BBCDD, 0x2545F491)
+
+
+def _halve(x: np.ndarray) -> None:
+    """Replace numbers by smaller ones of the same remainder modulo the prime."""
+    upper = x >> np.uint64(_PRIME_BITS)
+    x &= np.uint64(_PRIME)
+    x += upper
+
+
+def _powers(base: int, size: int) -> np.ndarray:
+    """The first size powers of base modulo the prime."""
+    powers, known = np.ones(size, np.uint32), 1
+    while known < size:
+        more = min(known, size - known)
+        step = np.uint64(pow(base, known, _PRIME))
+        powers[known : known + more] = powers[:more].astype(np.uint64) * step % np.uint64(_PRIME)
+        known += more
+    return powers
+
+
+class Fingerprints:
+    """Hashes of ranges of a sequence of 64-bit codes, which stand for their strings.
+
+    Two polynomials in different bases modulo the prime 2**31 - 1, over the low and the high half of each code.
+    Modulo a power of two, instead, differences of some strings vanish in every base.
+    """
+
+    def __init__(self):
+        self.up = self.down = [np.ones(1, np.uint32)] * 2
+
+    def _grow(self, n: int) -> None:
+        if len(self.up[0]) < n:
+            size = max(n, 2 * len(self.up[0]))
+            self.up = [_powers(base, size) for base in _BASES]
+            self.down = [_powers(pow(base, -1, _PRIME), size) for base in _BASES]
+
+    def prefix(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self._grow(len(codes) + 1)
+        lanes = []
+        for half, up in zip((codes & np.uint64(_PRIME), codes >> np.uint64(64 - _PRIME_BITS)), self.up, strict=True):
+            half *= up[: len(codes)]
+            _halve(half)
+            sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(half, out=sums[1:])
+            lanes.append(sums)
+        return lanes[0], lanes[1]
+
+    @staticmethod
+    def _shifted(difference: np.ndarray, down: np.ndarray) -> np.ndarray:
+        """The difference of two sums times a power, modulo the prime."""
+        _halve(difference)
+        _halve(difference)
+        difference *= down
+        _halve(difference)
+        _halve(difference)
+        np.subtract(difference, np.uint64(_PRIME), out=difference, where=difference >= _PRIME)
+        return difference
+
+    def ranges(self, sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of codes[first:last] for every pair."""
+        low, high = (self._shifted(lane[last] - lane[first], down[first]) for lane, down in zip(sums, self.down, strict=True))
+        return mix((high << np.uint64(_PRIME_BITS)) + low + (last - first).astype(np.uint64))
+
+    def windows(self, codes: np.ndarray, size: int) -> np.ndarray:
+        """Hash of every run of size codes."""
+        n = len(codes) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        low, high = (self._shifted(lane[size:] - lane[:n], down[:n]) for lane, down in zip(self.prefix(codes), self.down, strict=True))
+        return mix((high << np.uint64(_PRIME_BITS)) + low + np.uint64(size))
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Whole documents in runs of about limit bytes: first and last row, bytes, bounds of each row.
 
@@ -112,7 +192,7 @@ def words(data: np.ndarray, bounds: np.ndarray, outside: np.ndarray) -> tuple[np
     return starts, ends, np.searchsorted(bounds, starts, "right") - 1
 
 
-def word_windows(hashes: np.ndarray, rows: np.ndarray, size: int, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
+def word_windows(hashes: np.ndarray, rows: np.ndarray, size: int, rolling: Rolling | Fingerprints) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first word of every run of size words of one row."""
     found = rolling.windows(hashes, size)
     first = np.flatnonzero(rows[size - 1 :] == rows[: len(found)]) if len(found) else np.zeros(0, np.int64)

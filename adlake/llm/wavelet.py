@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, Rolling, distinct, slices
+from adlake.llm.text import CODES, Fingerprints, distinct, slices
 from adlake.llm.units import text_bytes
 from adlake.session import shared_folder
 
@@ -169,7 +169,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.rolling = Tokenizer.from_file(path), Rolling()
+        self.tokenizer, self.rolling = Tokenizer.from_file(path), Fingerprints()
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():

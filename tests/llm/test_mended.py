@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from adlake.llm import jaccard, language, wavelet
-from adlake.llm.text import slices
+from adlake.llm import jaccard, language, rules, substrings, suffixes, wavelet
+from adlake.llm.text import CODES, Fingerprints, Rolling, slices
 
 
 def encoded(encoder, texts):
@@ -93,3 +93,66 @@ def test_crowds_of_near_copies(spark, monkeypatch, edits):
     monkeypatch.setattr(jaccard, "FEW_CANDIDATES", 0)
     found = jaccard.similarity_components(spark.createDataFrame(rows_, "doc_id long, text string"))
     assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def alternating(n, a="a", b="b"):
+    """The first n letters of the Thue-Morse sequence: with a and b exchanged, equal under any polynomial hash modulo 2**64."""
+    return "".join((a, b)[k.bit_count() & 1] for k in range(n))
+
+
+#: Two words, two lines, two runs of words, two plain texts of 2048 letters or words each, which hashes must tell apart.
+SIMILAR = [alternating(2048), alternating(2048, "b", "a")]
+IN_LINES = [f"{a} and\n{b} and\n{a} and" for a, b in (SIMILAR, SIMILAR[::-1])]
+IN_WORDS = [alternating(1024, "left ", "right "), alternating(1024, "right ", "left ")]
+ALIKE = [*SIMILAR, *IN_LINES, *IN_WORDS, *(f"{x} {brute.prose('same', 14)} {y}" for x, y in (SIMILAR, SIMILAR[::-1]))]
+
+
+def test_fingerprints_tell_alternating_texts_apart():
+    one, two = (CODES[np.frombuffer(x.encode(), np.uint8)] for x in SIMILAR)
+
+    def whole(hashes, codes):
+        return hashes.ranges(hashes.prefix(codes), np.array([0]), np.array([len(codes)]))[0]
+
+    assert whole(Rolling(), one) == whole(Rolling(), two)  # why Rolling must not stand for strings
+    assert whole(Fingerprints(), one) != whole(Fingerprints(), two)
+
+
+def test_fingerprints_are_those_of_their_definition():
+    codes = np.random.default_rng(3).integers(0, 1 << 64, 200, dtype=np.uint64)
+    codes[50:60] = codes[150:160]
+    hashes = Fingerprints()
+    sums = hashes.prefix(codes)
+    first, last = (x.ravel() for x in np.triu_indices(201, 1))
+    found = hashes.ranges(sums, first, last)
+    strings = [tuple(codes[a:b].tolist()) for a, b in zip(first, last, strict=True)]
+    assert len(set(zip(found.tolist(), strings, strict=True))) == len(set(strings)) == len(set(found.tolist()))
+    for size in (1, 13, 200):
+        assert (hashes.windows(codes, size) == hashes.ranges(sums, np.arange(201 - size), np.arange(size, 201))).all()
+    assert len(hashes.windows(codes, 201)) == 0
+    again = Fingerprints()
+    assert (again.windows(codes[:20], 5) == hashes.windows(codes[:20], 5)).all()  # whatever was hashed before
+
+
+@pytest.fixture(scope="module")
+def alike(spark):
+    return spark.createDataFrame(list(enumerate(ALIKE)), "doc_id long, text string")
+
+
+def test_alternating_texts_are_encoded(alike):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(wavelet.TOKENIZER))
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in wavelet.tokenized(alike).collect()}
+    for k, text in enumerate(ALIKE):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, wavelet.END_ID]
+        assert found[k] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_alternating_texts_are_told_apart(alike):
+    docs = list(enumerate(ALIKE))
+    found = suffixes.repeated_substrings(alike, whole=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(map(tuple, found.collect())) == brute.removed_substrings(docs, suffixes.LENGTH)
+    assert sorted(map(tuple, jaccard.similarity_components(alike).collect())) == brute.similarity_classes(docs)
+    found = substrings.repeated_windows(alike, whole=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, found.collect())) == brute.removed_windows(docs, substrings.WINDOW_WORDS)
+    found = rules.quality_rules(alike, alike.limit(0), 0.0)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted((k, *brute.base_rules(t)) for k, t in docs)

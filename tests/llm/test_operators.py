@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adlake.llm import decontaminate, embedding, jaccard, language, licenses, mixing, queries, rules, substrings, suffixes, units, wavelet
 from adlake.llm.components import components
-from adlake.llm.text import Rolling, pack, pack_small, slices, unpack, unpack_small, words
+from adlake.llm.text import Fingerprints, Rolling, pack, pack_small, slices, unpack, unpack_small, words
 
 #: Enough labelled rows to learn from.
 MORE = TESTDATA.replace("sf0.001", "sf0.01")
@@ -172,7 +172,7 @@ def test_substrings_in_real_texts(real):
 def test_names_double_up():
     data = np.frombuffer(b"abcabcabc" * 30, np.uint8)
     for length in (3, 37, 64, 200):
-        names = suffixes.names_of(data, length, Rolling())
+        names = suffixes.names_of(data, length, Fingerprints())
         strings = [bytes(data[k : k + length]) for k in range(len(data) - length + 1)]
         assert len(names) == len(strings) and len(set(zip(names.tolist(), strings, strict=True))) == len(set(strings)) == len(set(names.tolist()))
     values = np.random.default_rng(4).integers(0, 5, 200)
