@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from adlake.ml.quantiles import SMALL_ROWS, medians
 from adlake.operators.fill import ffill
 from adlake.operators.pick import row_digest
+from adlake.session import materialize
 
 SKEW_LIMIT = 1.0
 DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -186,6 +187,42 @@ def fill_datetimes(
     return apply_impute(filled, [f for f in fills if f.column in columns])
 
 
+@dataclass(frozen=True)
+class DateState:
+    """Known date-times of fitted rows by group and order, which fill gaps of the same or other rows.
+
+    A gap takes the last known value at or before it, of the fitted rows and of the filled frame's own. The state is a
+    table that is ordered together with the frame, range by range; no task and no driver holds it whole.
+    """
+
+    partition_by: tuple[str, ...]
+    order_by: tuple[str, ...]
+    columns: tuple[str, ...]
+    known: DataFrame
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return *self.partition_by, *self.order_by
+
+    def apply(self, frame: DataFrame) -> DataFrame:
+        """The frame with its gaps filled; those before any known value of their group stay null."""
+        if not self.columns:
+            return frame
+        typed = self.known.select(*[F.col(f"`{c}`").cast(frame.schema[c].dataType).alias(c) for c in (*self.keys, *self.columns)])
+        both = typed.withColumn("_given", F.lit(False)).unionByName(frame.withColumn("_given", F.lit(True)), allowMissingColumns=True)
+        filled = ffill(both, self.columns, self.partition_by, [*self.order_by, "_given"])
+        return filled.filter("_given").select(*[F.col(f"`{c}`") for c in frame.columns])
+
+
+def fit_dates(frame: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]) -> DateState:
+    """The known values of the frame's date-time columns, other than those that set groups and order."""
+    keys = [*partition_by, *order_by]
+    columns = [c for c in datetime_columns(frame) if c not in keys]
+    found = frame.select(*[F.col(f"`{c}`") for c in (*keys, *columns)])
+    known = materialize(found.na.drop("all", subset=columns), "known_dates") if columns else found.limit(0)
+    return DateState(tuple(partition_by), tuple(order_by), tuple(columns), known)
+
+
 def hash_share(keys: Sequence[str], seed: int, parts: int = 100) -> Column:
     """A row's fixed place in 0 .. parts-1, set by its key and the seed alone."""
     digest = F.substring(row_digest(keys, seed), 1, 8)

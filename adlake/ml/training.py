@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import PREDICTION, TRAINING_SEED
-from adlake.ml.features import DATETIME, Fill, fit_impute, hash_share
+from adlake.ml.features import DATETIME, DateState, Fill, fit_dates, fit_impute, hash_share
 from adlake.ml.ridge import Design, fold_errors, fold_moments, number
 from adlake.session import materialize
 from adlake.sources.tables import TableStore
@@ -37,6 +37,7 @@ class Trained:
     model: PipelineModel
     signature: list[tuple[str, str]]
     metrics: DataFrame
+    dates: DateState | None = None
 
 
 def signature_of(frame: DataFrame, columns: Sequence[str]) -> list[tuple[str, str]]:
@@ -162,6 +163,7 @@ def train(
     seed: int = TRAINING_SEED,
     metric: str = "rmse",
     grid=default_grid,
+    dates_along: tuple[Sequence[str], Sequence[str]] | None = None,
 ) -> Trained:
     """Cross-validate the candidates and keep the best one's refit.
 
@@ -169,9 +171,18 @@ def train(
     left out. Folds are set by row hash, so a recomputed partition keeps its fold. What a fold is predicted with, fills and
     categories included, is learnt from the other folds alone. Ridge candidates over few enough columns are compared by
     statistics of the folds, which one pass gathers for all of them; other candidates are fitted for each fold.
+
+    dates_along: columns of groups and of the order within them, along which gaps in date-time inputs take the last known
+    value; the most frequent value fills what is left. These columns are inputs only where they are categories. A row's
+    earlier rows are known when it is scored, whatever their fold, so they fill it in every fold.
     """
     rows = frame.filter(F.col(target).isNotNull())
-    inputs = [c for c in frame.columns if c != target]
+    dates = None
+    along = [*dates_along[0], *dates_along[1]] if dates_along else []
+    inputs = [c for c in frame.columns if c != target and (c not in along or c in categorical)]
+    if dates_along:
+        dates = fit_dates(rows.select(*[c for c in frame.columns if c in along or c in inputs]), *dates_along)
+        rows = dates.apply(rows)
     numeric = [c for c in inputs if c not in categorical]
     labelled = rows.withColumns({LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")})
     labelled = materialize(labelled.select(*inputs, LABEL, "_fold"), "labelled")
@@ -218,7 +229,7 @@ def train(
     metrics = frame.sparkSession.createDataFrame(found, f"trial int, estimator string, {metric} double, best boolean")
     ready = materialize(prepared.transform(labelled).select("_features", "_wide", LABEL), "features")
     best = estimators[chosen].fit(ready, _own(candidates[chosen], estimators[chosen]))
-    return Trained(PipelineModel([*prepared.stages, best]), signature_of(frame, inputs), metrics)
+    return Trained(PipelineModel([*prepared.stages, best]), signature_of(frame, inputs), metrics, dates)
 
 
 def _own(candidate: Mapping, estimator) -> dict:
@@ -249,8 +260,11 @@ def score(
     signature: Sequence[tuple[str, str]],
     output: str = PREDICTION,
     keep: Sequence[str] = (),
+    dates: DateState | None = None,
 ) -> DataFrame:
-    """The signature's columns, others asked for, and the prediction."""
+    """The signature's columns, others asked for, and the prediction. dates: what the model fills date-times with."""
+    if dates:
+        frame = dates.apply(frame)
     fitted = to_signature(frame, signature)
     if keep:
         extra = [F.col(c) for c in keep if c not in dict(signature)]
@@ -302,17 +316,36 @@ class ModelStore:
         rows = [(i, n, t) for i, (n, t) in enumerate(trained.signature)]
         signature = self.store.spark.createDataFrame(rows, "place int, name string, type string")
         signature.coalesce(1).write.parquet(f"{path}/signature")
+        if trained.dates:
+            trained.dates.known.write.parquet(f"{path}/dates/known")
+            names = [(i, role, c) for role in ("partition_by", "order_by", "columns") for i, c in enumerate(getattr(trained.dates, role))]
+            self.store.spark.createDataFrame(names, "place int, role string, name string").coalesce(1).write.parquet(f"{path}/dates/names")
+        kind = self.store.spark.createDataFrame([(trained.dates is not None,)], "dates boolean")
+        kind.coalesce(1).write.parquet(f"{path}/kind")
         row = self.store.spark.createDataFrame([(name, version, path)], _LISTED)
         (self.store.append if self.store.exists(MODELS) else self.store.write)(row, MODELS)
         return version
 
-    def load(self, name: str, version: int | None = None) -> tuple[PipelineModel, list[tuple[str, str]]]:
+    def _path(self, name: str, version: int | None) -> str:
         listed = self.versions(name)
         found = (listed if version is None else listed.filter(F.col("version") == version)).first()
         if not found:
             raise KeyError(f"no saved model {name!r}")
-        rows = self.store.spark.read.parquet(f"{found['path']}/signature").orderBy("place").collect()
-        return PipelineModel.load(f"{found['path']}/model"), [(r["name"], r["type"]) for r in rows]
+        return found["path"]
+
+    def load(self, name: str, version: int | None = None) -> tuple[PipelineModel, list[tuple[str, str]]]:
+        path = self._path(name, version)
+        rows = self.store.spark.read.parquet(f"{path}/signature").orderBy("place").collect()
+        return PipelineModel.load(f"{path}/model"), [(r["name"], r["type"]) for r in rows]
+
+    def dates(self, name: str, version: int | None = None) -> DateState | None:
+        """What a saved model fills date-times with; None where it was trained without."""
+        path, read = self._path(name, version), self.store.spark.read.parquet
+        if not read(f"{path}/kind").first()["dates"]:
+            return None
+        names = read(f"{path}/dates/names").orderBy("place").collect()
+        roles = {role: tuple(r["name"] for r in names if r["role"] == role) for role in ("partition_by", "order_by", "columns")}
+        return DateState(**roles, known=read(f"{path}/dates/known"))
 
 
 def manual_rows(spark: SparkSession, rows: Sequence[tuple], signature: Sequence[tuple[str, str]]) -> DataFrame:

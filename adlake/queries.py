@@ -542,6 +542,21 @@ def fill_datetimes(spark: SparkSession, folder: str) -> DataFrame:
     return features.fill_datetimes(gaps, features.fit_impute(gaps.select("day")), ["user_id"], ["event_id"])
 
 
+def fitted_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Event days, missing on error events, of both splits: filled by what the train split knows, and the filled split itself.
+
+    What has no known day before it takes the most frequent day of the filled train split.
+    """
+    events = source(spark, folder, "events")
+    gaps = events.select("user_id", "ts", "event_id", F.when(F.col("event_type") != "error", F.col("ts").cast("date")).alias("day"))
+    train, test = features.hash_split(gaps, ["event_id"], 0.8, TRAINING_SEED)
+    state = features.fit_dates(train, ["user_id"], ["ts", "event_id"])
+    known = materialize(state.apply(train), "filled_dates")
+    fills = features.fit_impute(known.select("day"))
+    splits = [f.withColumn("split", F.lit(name)) for name, f in (("train", known), ("test", state.apply(test)))]
+    return features.apply_impute(splits[0].unionByName(splits[1]), fills).drop("ts")
+
+
 def natural_key_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Days of signals that the calendar lacks, with their rows: the signals of rejected rows alone."""
     at = lake(spark, folder)
@@ -735,6 +750,7 @@ QUERIES: dict[str, Query] = {
     "impute_apply": impute_apply,
     "ffill": ffill,
     "fill_datetimes": fill_datetimes,
+    "fitted_dates": fitted_dates,
     "train_test_split": train_test_split,
     "scored_rows": scored_rows,
     "least_squares": least_squares,

@@ -640,6 +640,16 @@ ORACLES = {
         from events) select user_id, event_id, coalesce(last_value(day ignore nulls) over (partition by user_id order by event_id
         rows between unbounded preceding and current row), (select day from days where day is not null group by day
         order by count(*) desc, day limit 1)) as day from days""",
+    "fitted_dates": """with days as (select user_id, ts, event_id, case when event_type <> 'error' then cast(ts as date) end as day,
+        case when cast('0x' || substr(md5(concat_ws(chr(31), cast(event_id as varchar), '41')), 1, 8) as bigint) % 10000 < 8000
+        then 'train' else 'test' end as split from events),
+        train as (select event_id, last_value(day ignore nulls) over (partition by user_id order by ts, event_id
+        rows between unbounded preceding and current row) as day from days where split = 'train'),
+        every as (select event_id, last_value(day ignore nulls) over (partition by user_id order by ts, event_id
+        rows between unbounded preceding and current row) as day from days)
+        select d.user_id, d.event_id, d.split, coalesce(case when d.split = 'train' then t.day else e.day end,
+        (select day from train where day is not null group by day order by count(*) desc, day limit 1)) as day
+        from days d join every e on e.event_id = d.event_id left join train t on t.event_id = d.event_id""",
     "ffill": """select user_id, ts, event_id, last_value(case when event_type <> 'error' then value end ignore nulls)
         over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as value
         from events""",

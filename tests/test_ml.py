@@ -78,6 +78,47 @@ def test_dates_fill_forward_then_by_mode(spark):
     assert [r.d for r in filled.orderBy("k").collect()] == [date(2024, 1, 1), day, day, day]
 
 
+def test_known_dates_fill_other_rows(spark):
+    """Gaps take the last date at or before them, of the fitted rows or their own; other groups and columns don't matter."""
+    def of(*found):
+        return spark.createDataFrame([(g, k, d and date(2024, 1, d), "x") for g, k, d in found], "g string, k int, d date, other string")
+
+    state = features.fit_dates(of(("a", 1, 3), ("a", 5, None), ("a", 9, 7), (None, 2, 8), ("b", 4, 9)), ["g"], ["k"])
+    assert state.columns == ("d",) and state.known.count() == 4
+    frame = of(("a", 0, None), ("a", 2, None), ("a", 6, 5), ("a", 8, None), ("a", 9, None), ("b", 3, None), (None, 3, None), ("c", 1, None))
+    filled = state.apply(frame.withColumn("k", F.col("k").cast("bigint")))
+    assert filled.columns == frame.columns and filled.schema["k"].dataType.simpleString() == "bigint"
+    days = {(r.g, r.k): r.d and r.d.day for r in filled.collect()}
+    assert days == {("a", 0): None, ("a", 2): 3, ("a", 6): 5, ("a", 8): 5, ("a", 9): 7, ("b", 3): None, (None, 3): 8, ("c", 1): None}
+    assert state.apply(frame.limit(0)).count() == 0
+    none = features.fit_dates(frame.limit(0), ["g"], ["k"])
+    assert rows(none.apply(frame)) == rows(features.ffill(frame, ["d"], ["g"], ["k"]))
+    assert features.fit_dates(frame.drop("d"), ["g"], ["k"]).apply(frame).columns == frame.columns
+
+
+def test_a_model_fills_dates_as_it_was_trained(spark, tmp_path):
+    """Spend follows the day, which is missing on a third of the rows and is that of the row before."""
+    day = F.date_add(F.lit(date(2024, 1, 1)), (F.floor(F.col("id") / 4)).cast("int"))
+    frame = spark.range(400).select(
+        F.col("id").alias("k"), F.lit("a").alias("g"), F.when(F.col("id") % 4 != 3, day).alias("day"),
+        (F.floor(F.col("id") / 4) * 2.0).alias("spend"),
+    )
+    train, test = frame.filter("k % 7 != 3"), frame.filter("k % 7 = 3")
+    plain = training.train(train.drop("k", "g"), "spend", folds=2, trials=2, grid=small_grid)
+    result = training.train(train, "spend", folds=2, trials=2, grid=small_grid, dates_along=(["g"], ["k"]))
+    assert result.signature == [("day", "date")] and result.dates.columns == ("day",) and plain.dates is None
+    models = training.ModelStore(TableStore(spark, str(tmp_path)))
+    models.save("spend", plain)
+    models.save("spend", result)
+    assert models.dates("spend", 1) is None
+    model, signature = models.load("spend")
+    scored = training.score(test, model, signature, keep=["k", "spend"], dates=models.dates("spend"))
+    assert training.evaluate(scored, "spend").first().rmse < 0.5
+    assert training.evaluate(training.score(test, plain.model, plain.signature, keep=["spend"]), "spend").first().rmse > 5
+    again = training.score(test, result.model, result.signature, keep=["k", "spend"], dates=result.dates)
+    assert rows(scored) == rows(again) and scored.filter("day is null").count() == 0
+
+
 def test_hash_split_ignores_partitioning(spark):
     frame = spark.range(10000)
     train, test = features.hash_split(frame, ["id"], 0.8, 41)
