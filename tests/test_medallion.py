@@ -226,6 +226,23 @@ def test_counts_come_with_the_write(spark, tmp_path):
         store.metrics("other")
 
 
+def test_a_partitioned_write_needs_no_sort(spark, tmp_path, monkeypatch):
+    """Files of several partitions are open at once, for that write alone; more partitions than that are written too."""
+    from pyspark.sql import DataFrameWriter
+
+    name, store, seen, save = "spark.sql.maxConcurrentOutputFileWriters", TableStore(spark, str(tmp_path)), [], DataFrameWriter.saveAsTable
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda self, *a, **k: seen.append(int(spark.conf.get(name))) or save(self, *a, **k))
+    frame = spark.range(0, 900, 1, 3).select("id", (F.col("id") % 60).alias("part"))
+    store.write(frame, "t", partition_by=["part"])
+    store.write(frame, "u")
+    assert seen == [16, 0] and spark.conf.get(name) == before
+    assert rows(store.read("t")) == rows(frame) == rows(store.read("u"))
+    with pytest.raises(Exception):
+        store.write(frame.withColumn("bad", F.raise_error(F.lit("bad")).cast("int")), "t", partition_by=["part"])
+    assert spark.conf.get(name) == before and store.read("t").count() == 900
+
+
 def test_a_failed_check_names_its_table(spark, tmp_path):
     from adlake.sources.tables import CheckFailed
 
