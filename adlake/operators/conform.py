@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from adlake.fixed import CANONICAL_COLUMNS, GRAIN
 from adlake.functions import banker_round
+from adlake.session import materialize
+
+#: Most repeated keys that are sent to every task.
+FEW_KEYS = 200_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +69,26 @@ def dedupe(frame: DataFrame, keys: Sequence[str] = GRAIN, order_by: Sequence[str
     return ranked.filter(F.col("_place") == 1).drop("_place")
 
 
+def dedupe_stored(
+    frame: DataFrame, keys: Sequence[str] = GRAIN, order_by: Sequence[str] | None = None, few_keys: int = FEW_KEYS
+) -> DataFrame:
+    """As :func:`dedupe`, for frames in which few keys repeat: only rows whose key may repeat are shuffled and sorted whole.
+
+    Keys are counted by a 64-bit hash, which is all the count sends. A hash met once belongs to a row that stays as it is;
+    equal hashes of different keys only add rows to those that are deduplicated. With more than ``few_keys`` repeated
+    hashes all rows are. The frame is read several times: pass a written table. Keys must not be floating numbers, whose
+    equal zeros may differ in hash.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in keys])
+    uses = frame.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count("*").alias("uses"))
+    repeated = materialize(uses.filter("uses > 1").select("_hash"), "repeated_keys")
+    if repeated.limit(few_keys + 1).count() > few_keys:
+        return dedupe(frame, keys, order_by)
+    told, hashes = frame.withColumn("_hash", hashed), F.broadcast(repeated)
+    once = told.join(hashes, "_hash", "left_anti").drop("_hash")
+    return once.unionByName(dedupe(told.join(hashes, "_hash", "left_semi").drop("_hash"), keys, order_by))
+
+
 def round_money(frame: DataFrame, columns: Sequence[str], scale: int = 2, precision: int = 18) -> DataFrame:
     return frame.withColumns({c: banker_round(F.col(c), scale, precision) for c in columns})
 

@@ -14,6 +14,7 @@ from adlake.operators.keys import attach_keys
 CHANNEL_KEY = ["channel", "source_system"]
 CAMPAIGN_KEY = ["campaign_id", "campaign_name", "campaign_objective"]
 PRODUCT_KEY = ["product_id", "product_name", "brand", "category"]
+LOADED = ["batch_id", "ingestion_utc"]
 
 
 def calendar(frame: DataFrame, date_column: str) -> DataFrame:
@@ -48,6 +49,11 @@ def performance_fact(
     silver: DataFrame, channels: DataFrame, campaigns: DataFrame, null_safe: bool = False
 ) -> DataFrame:
     """Silver rows with surrogate keys in place of natural ones, and row-level ratios."""
+    return with_ratios(keyed_rows(silver, channels, campaigns, null_safe))
+
+
+def keyed_rows(silver: DataFrame, channels: DataFrame, campaigns: DataFrame, null_safe: bool = False) -> DataFrame:
+    """The fact without its ratios."""
     keyed = attach_keys(silver, channels, CHANNEL_KEY, "channel_key", null_safe)
     keyed = attach_keys(keyed, campaigns, CAMPAIGN_KEY, "campaign_key", null_safe)
     return keyed.select(
@@ -60,11 +66,18 @@ def performance_fact(
         *ADDITIVE,
         "video_views",
         "engagements",
+        *LOADED,
+    )
+
+
+def with_ratios(keyed: DataFrame) -> DataFrame:
+    """Keyed rows with their row-level ratios, ahead of what tells the load."""
+    return keyed.select(
+        *[c for c in keyed.columns if c not in LOADED],
         positive_ratio(F.col("clicks"), F.col("impressions")).alias("click_through_rate"),
         positive_ratio(F.col("spend"), F.col("clicks")).alias("cost_per_click"),
         positive_ratio(F.col("revenue"), F.col("spend")).alias("return_on_ad_spend"),
-        "batch_id",
-        "ingestion_utc",
+        *LOADED,
     )
 
 

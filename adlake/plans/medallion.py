@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed import GRAIN, MONEY, VALID
-from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe, round_money, union_feeds
+from adlake.operators.conform import FEEDS, SourceMap, conform, dedupe_stored, round_money, union_feeds
 from adlake.operators.keys import dimension
 from adlake.operators.layout import clustered, file_count
 from adlake.operators.pick import pick_member
@@ -19,8 +19,9 @@ from adlake.operators.star import (
     CHANNEL_KEY,
     calendar,
     campaign_daily,
-    performance_fact,
+    keyed_rows,
     product_dimension,
+    with_ratios,
 )
 from adlake.plans.graph import Ontology, performance_ontology
 from adlake.plans.performance import performance_model
@@ -74,7 +75,7 @@ class SilverPlan:
 
     def deduped(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
         rows = self.unioned(feeds)
-        return dedupe(valid_rows(rows, self.rules) if self.filter_first else rows, self.grain, self.tie_order)
+        return dedupe_stored(valid_rows(rows, self.rules) if self.filter_first else rows, self.grain, self.tie_order)
 
     def silver(self, feeds: Mapping[str, DataFrame]) -> DataFrame:
         """Valid rows, one per grain, money rounded. Duplicates go before invalid rows do,
@@ -155,7 +156,8 @@ class Medallion:
         of silver without a key.
         Dimensions are written before the fact reads them: their file size is then known
         and decides how they are joined. Fact and product are written down once before
-        their layout, which reads them twice, so the joins run once.
+        their layout, which reads them twice, so the joins run once. Row ratios follow from the
+        other columns and come after the layout, which needn't carry them.
         """
         silver = self.store.read(SILVER)
         self.store.write(calendar(silver, "event_date"), GOLD["date"], unique=["date_key"])
@@ -163,8 +165,9 @@ class Medallion:
         self.store.write(dimension(silver, CAMPAIGN_KEY, "campaign_key"), GOLD["campaign"], unique=["campaign_key"])
         self.store.write(product_dimension(silver), GOLD["product"], unique=["product_key"])
         channels, campaigns = self.store.read(GOLD["channel"]), self.store.read(GOLD["campaign"])
-        fact = materialize(performance_fact(silver, channels, campaigns, self.null_safe_keys), "fact")
-        self.store.write(clustered(fact, LAYOUT, files or self._files(fact)), GOLD["fact"], expected=self._fact_rows())
+        fact = materialize(keyed_rows(silver, channels, campaigns, self.null_safe_keys), "fact")
+        laid = with_ratios(clustered(fact, LAYOUT, files or self._files(fact)))
+        self.store.write(laid, GOLD["fact"], expected=self._fact_rows())
         daily = materialize(campaign_daily(self.store.read(GOLD["fact"]), channels, campaigns), "campaign_daily")
         self.store.write(clustered(daily, LAYOUT, files or self._files(daily)), GOLD["daily"])
         return self.gold()

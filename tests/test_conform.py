@@ -54,6 +54,24 @@ def test_dedupe_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(dedupe(frame, ["k"])) and "Partial" in plan_of(dedupe(frame, ["k"]))
 
 
+def test_only_rows_whose_key_may_repeat_are_shuffled_whole(spark, tmp_path):
+    from adlake.operators.conform import dedupe_stored
+    from adlake.session import materialize
+
+    n = F.col("id")
+    frame = spark.range(4000).select(
+        F.when(n % 50 == 0, n % 100).otherwise(n).alias("k"), F.when(n % 3 > 0, F.concat(F.lit("p"), n % 7)).alias("p"), (n * 31 % 1009).alias("a"), n.alias("b")
+    )
+    frame = materialize(frame.unionAll(spark.sql("SELECT null, null, 5L, id FROM range(9)")).repartition(5), "test_repeats")
+    for keys, order in ((["k", "p"], ["a"]), (["k"], None), (["b"], None), (["p"], ["a"])):
+        expected = rows(dedupe(frame, keys, order))
+        assert rows(dedupe_stored(frame, keys, order)) == expected == rows(dedupe_stored(frame, keys, order, few_keys=1))
+    plan = plan_of(dedupe_stored(frame, ["k"], ["a"])).split("== Physical Plan ==")[1]
+    once = plan[: plan.index("Window")]
+    assert "LeftAnti" in once and "hashpartitioning" not in once
+    assert "Join" not in plan_of(dedupe_stored(frame, ["k"], ["a"], few_keys=0))
+
+
 def test_valid_and_rejected_split_all_rows(spark):
     data = [
         (date(2024, 1, 1), 1, 1.0, 1.0, 5, 9), (None, 1, 1.0, 1.0, 5, 9), (date(2024, 1, 1), None, -1.0, 1.0, 5, 9),

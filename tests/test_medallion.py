@@ -153,6 +153,27 @@ def test_the_joins_of_the_fact_run_once(spark, literal_feeds, tmp_path, monkeypa
     assert len(plans) == 2 and not any("Join" in plan for plan in plans)
 
 
+def test_the_layout_carries_no_ratios(spark, literal_feeds, tmp_path, monkeypatch):
+    """They are computed from the laid rows, and equal those of the fact in one piece."""
+    from adlake.operators.star import performance_fact
+    from adlake.plans import medallion
+
+    laid, own = [], medallion.clustered
+    monkeypatch.setattr(medallion, "clustered", lambda frame, *a: laid.append(frame.columns) or own(frame, *a))
+    job = Medallion(TableStore(spark, str(tmp_path)))
+    job.run(literal_feeds)
+    assert not {"click_through_rate", "cost_per_click", "return_on_ad_spend"} & set(laid[0])
+    gold = job.gold()
+    whole = performance_fact(job.store.read(SILVER), gold["channel"], gold["campaign"])
+    assert gold["fact"].schema == whole.schema and rows(gold["fact"]) == rows(whole)
+
+
+def test_the_load_shuffles_few_rows_whole(spark, literal_feeds, tmp_path):
+    job = Medallion(TableStore(spark, str(tmp_path)))
+    job.load_bronze(literal_feeds)
+    assert "LeftAnti" in plan_of(job.plan.judged(job.bronze()))
+
+
 def test_append_aligns(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(spark.createDataFrame([(1, "a", 1.5)], "n int, s string, d double"), "t")
