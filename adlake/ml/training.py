@@ -212,7 +212,7 @@ def train(
         for k, fold_fills in learnt.items():
             known = labelled.filter(F.col("_fold") != k)
             stages = preparation(given, categorical, fold_fills).fit(known)
-            ready = materialize(stages.transform(labelled).select("_features", "_wide", LABEL, "_fold"), "features")
+            ready = materialize(stages.transform(labelled).select(*_vectors(candidates, estimators, others), LABEL, "_fold"), "features")
 
             def error(i: int, ready: DataFrame = ready, k: int = k) -> float:
                 fitted = estimators[i].fit(ready.filter(F.col("_fold") != k), _own(candidates[i], estimators[i]))
@@ -227,7 +227,7 @@ def train(
     chosen = averages.index(max(averages) if larger else min(averages))
     found = [(i, type(e).__name__, m, i == chosen) for i, (e, m) in enumerate(zip(estimators, averages, strict=True))]
     metrics = frame.sparkSession.createDataFrame(found, f"trial int, estimator string, {metric} double, best boolean")
-    ready = materialize(prepared.transform(labelled).select("_features", "_wide", LABEL), "features")
+    ready = materialize(prepared.transform(labelled).select(*_vectors(candidates, estimators, [chosen]), LABEL), "features")
     best = estimators[chosen].fit(ready, _own(candidates[chosen], estimators[chosen]))
     return Trained(PipelineModel([*prepared.stages, best]), signature_of(frame, inputs), metrics, dates)
 
@@ -236,6 +236,11 @@ def _own(candidate: Mapping, estimator) -> dict:
     return {p: v for p, v in candidate.items() if p.parent == estimator.uid}
 
 
+def _vectors(candidates: Sequence[Mapping], estimators: Sequence, wanted: Sequence[int]) -> list[str]:
+    """The feature columns that some candidates are fitted on; what no candidate reads is neither computed nor written."""
+    return list(dict.fromkeys(_own(candidates[i], estimators[i]).get(estimators[i].featuresCol, estimators[i].getFeaturesCol()) for i in wanted))
+
+
 def _fold_fills(labelled: DataFrame, fold: int, numeric: Sequence[str], missing: Sequence[str], every: bool) -> list[Fill]:
     """Fill values of the rows outside a fold; of all columns only where a model is fitted on them, else of those with gaps."""
     columns = list(numeric) if every else list(missing)

@@ -317,6 +317,25 @@ def test_candidates_of_both_kinds_agree(spark, monkeypatch):
     assert errors[0] == pytest.approx(errors[1], rel=1e-6) and errors[0][0] < errors[0][1]
 
 
+def test_vectors_no_candidate_reads_are_not_written(spark, monkeypatch):
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    def two(pipeline, seed, bins):
+        linear = LinearRegression(featuresCol="_wide", labelCol="_label", predictionCol=PREDICTION, regParam=1.0, elasticNetParam=0.5)
+        grid = ParamGridBuilder().baseOn({pipeline.stages: [linear]})
+        return grid.build() + grid.addGrid(linear.featuresCol, ["_features"]).build()
+
+    written, write = [], training.materialize
+    monkeypatch.setattr(training, "materialize", lambda frame, label: written.append((label, frame.columns)) or write(frame, label))
+    frame = folded(spark).drop("_fold").withColumnRenamed("_label", "spend")
+    found = training.train(frame, "spend", ["kind"], grid=two).metrics.filter("best").first()
+    assert [c for label, c in written if label == "features"][:-1] == [["_wide", "_features", "_label", "_fold"]] * 3
+    assert written[-1] == ("features", [["_wide", "_features"][found.trial], "_label"])
+    written.clear()
+    training.train(frame, "spend", ["kind"], grid=lambda *a: two(*a)[1:])
+    assert {tuple(c) for label, c in written if label == "features"} == {("_features", "_label", "_fold"), ("_features", "_label")}
+
+
 def test_one_fold_alone_is_refused(spark):
     from adlake.ml.ridge import Design, fold_errors, fold_moments
 
