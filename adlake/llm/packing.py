@@ -18,6 +18,7 @@ import re
 import sys
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import compress, filterfalse
 from types import ModuleType
 
 import numpy as np
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.text import LOWER, WHITE, slices, words
 from adlake.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,13 +41,17 @@ NEARLY_FULL = 16
 #: Words and parts of words a worker keeps the ids of, before it forgets all and takes in a chunk more.
 KNOWN_WORDS = 1 << 19
 KNOWN_PARTS = 1 << 19
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 21
+#: Texts go through in runs of about so many bytes.
+SLICE_BYTES = 1 << 21
 
 _BLANK = re.compile(rb"[ \t-\r]")
 _KEPT_HERE = "_adlake_worker_words"
-#: The pattern by which the tokenizer cuts words, for words of the characters of _PLAIN in lower case.
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+#: Kind of every byte of plain words in lower case: other sign, letter, digit.
+_DIGIT = 2
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+_KINDS[0x30:0x3A] = _DIGIT
 #: A node's bins are numbered from the node's number shifted by so many bits.
 _BIN_BITS = 24
 
@@ -71,49 +77,126 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a part
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, new: set[bytes]) -> None:
-        """Ids of words not known yet; their new parts are encoded in one run and cut where parts end."""
-        cut = {}
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(text) and "<|" not in text:  # as special tokens begin
-                cut[word] = _PARTS.findall(text.lower())
-            else:
-                self.words[word] = self._ids(text).tobytes()
-        parts = list({part for own in cut.values() for part in own if part not in self.parts})
-        if parts:
-            ids = self._ids(" ".join(parts))
-            at = np.flatnonzero(self.ends[ids]) + 1
-            if len(at) != len(parts) or at[-1] != len(ids):
-                raise ValueError("the tokenizer cuts parts of words further")
-            raw, at = ids.tobytes(), (4 * at).tolist()
-            self.parts.update(zip(parts, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
-        for word, own in cut.items():
-            self.words[word] = self.parts[own[0]] if len(own) == 1 else b"".join([self.parts[part] for part in own])
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a whole text; a long one goes through in chunks that end before white space."""
-        found, at = [], 0
-        while at < len(text):
-            cut = _BLANK.search(text, at + CHUNK_BYTES)
-            end = cut.start() if cut else len(text)
-            words = text[at:end].split()
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_parts(self, new: list[bytes]) -> None:
+        """Ids of parts not known yet, encoded in one run and cut where parts end."""
+        ids = self._ids([b" ".join(new).decode()])[0]
+        at = np.flatnonzero(self.ends[ids]) + 1
+        if len(at) != len(new) or at[-1] != len(ids):
+            raise ValueError("the tokenizer cuts parts of words further")
+        self.parts.update(zip(new, _cut(ids.tobytes(), 4 * at), strict=True))
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of words not known yet."""
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        data = np.frombuffer(b"".join(new), np.uint8)
+        plain = _plain(data, ends)
+        whole = [new[k] for k in np.flatnonzero(~plain).tolist()]
+        if whole:
+            self.words.update(zip(whole, (x.tobytes() for x in self._ids([word.decode("utf-8", "replace") for word in whole])), strict=True))
+        if not plain.any():
+            return
+        sizes = np.diff(ends, prepend=0)
+        data, ends = data[np.repeat(plain, sizes)], np.cumsum(sizes[plain])
+        data, starts = _parts(data, ends)
+        distinct, of = _encoded(data, np.append(starts, len(data)))
+        unknown = list(filterfalse(self.parts.__contains__, distinct))
+        if unknown:
+            self._learn_parts(unknown)
+        ids, counts = _gathered(list(map(self.parts.__getitem__, distinct)), of)
+        at = np.cumsum(counts)[np.searchsorted(starts, ends) - 1]
+        self.words.update(zip(compress(new, plain.tolist()), _cut(ids.tobytes(), 4 * at), strict=True))
+
+    def encode_texts(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a slice one after another, and the number of ids of each; a long one goes through in chunks that end before white space."""
+        found, n_ids, at = [], np.zeros(len(bounds) - 1, np.int64), 0
+        while at < len(data):
+            cut = _BLANK.search(data, at + CHUNK_BYTES)
+            end = cut.start() if cut else len(data)
+            chunk, edges = data[at:end], np.clip(bounds, at, end) - at
+            starts, ends, rows = words(chunk, edges, WHITE)
+            at = end
+            if not len(starts):
+                continue
             if len(self.words) > KNOWN_WORDS:
                 self.words.clear()
             if len(self.parts) > KNOWN_PARTS:
                 self.parts.clear()
-            new = set(words).difference(self.words)
+            distinct, of = _encoded(chunk[~WHITE[chunk]], np.append(0, np.cumsum(ends - starts)))
+            new = list(filterfalse(self.words.__contains__, distinct))
             if new:
                 self._learn(new)
-            found.append(b"".join(map(self.words.__getitem__, words)))
-            at = end
-        return b"".join(found)
+            ids, counts = _gathered(list(map(self.words.__getitem__, distinct)), of)
+            found.append(ids)
+            n_ids += np.bincount(rows, counts, minlength=len(n_ids)).astype(np.int64)
+        return np.concatenate([np.zeros(0, "<u4"), *found]), n_ids
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a whole text."""
+        return self.encode_texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0].tobytes()
+
+
+def _encoded(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Distinct strings of those that data holds one after another, and which of them each is."""
+    column = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = column.dictionary_encode()
+    _, ends, raw = coded.dictionary.buffers()
+    return _cut(raw.to_pybytes(), np.frombuffer(ends, np.int64)[1 : len(coded.dictionary) + 1]), coded.indices.to_numpy()
+
+
+def _gathered(known: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of every string one after another, by which of the known it is, and the number of ids of each."""
+    pool = np.frombuffer(b"".join(known), "<u4")
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    counts = sizes[of]
+    shifts = (np.cumsum(sizes) - sizes)[of] - (np.cumsum(counts) - counts)
+    return pool[np.repeat(shifts, counts) + np.arange(counts.sum())], counts
+
+
+def _cut(raw: bytes, ends: np.ndarray) -> list[bytes]:
+    ends = ends.tolist()
+    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _plain(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words are of ! to ~ and of U+00C0 to U+00FF but for the two signs there, without the begin of a special token."""
+    starts = np.append(0, ends[:-1])
+    lead, tail = data == 0xC3, (data >= 0x80) & (data < 0xC0)
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:], after[:-1] = lead[:-1], tail[1:]
+    before[starts], after[ends - 1] = False, False
+    good = ((data > 0x20) & (data < 0x7F)) | (lead & after) | (tail & before & (data != 0x97) & (data != 0xB7))
+    good[:-1] &= (data[:-1] != 0x3C) | (data[1:] != 0x7C)
+    return np.logical_and.reduceat(good, starts)
+
+
+def _parts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Plain words in lower case, and where the parts begin into which the tokenizer cuts them.
+
+    Fixed rule: 's 't 're 've 'm 'll 'd where a part begins, else a run of letters, one digit, or a run of other signs.
+    """
+    low = LOWER[data]
+    low[1:][(data[:-1] == 0xC3) & (data[1:] <= 0x9E)] += 0x20  # these bytes are above 0x7F
+    kind = _KINDS[low]
+    begins = kind == _DIGIT
+    begins[0] = True
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins[ends[:-1]] = True
+    at = np.flatnonzero(begins & (low == 0x27))
+    room = ends[np.searchsorted(ends, at, "right")] - at
+    padded = np.append(low, [0, 0])
+    one, two = padded[at + 1], padded[at + 2]
+    short = (room > 1) & np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = (room > 2) & (((one == 0x72) & (two == 0x65)) | ((one == 0x76) & (two == 0x65)) | ((one == 0x6C) & (two == 0x6C)))
+    begins[at[short | long] + 1] = False
+    rest = np.concatenate([at[short] + 2, at[long] + 3])
+    begins[rest[rest < len(low)]] = True
+    return low, np.flatnonzero(begins)
 
 
 def worker_words(path: str) -> WordIds:
@@ -132,19 +215,23 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int =
     """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     schema = _PIECES_ARROW.append(_IDS) if with_ids else _PIECES_ARROW
-    end, width = np.array([end_id], "<u4").tobytes(), 4 * size
+    width = 4 * size
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = worker_words(path)
+        known = worker_words(path)
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                raw = words.encode(text.as_py() or b"") + end
-                for k, a in enumerate(range(0, len(raw), width)):
-                    ids = raw[a : a + width]
-                    for column, value in zip(out, (doc, k, a // 4, len(ids) // 4, zlib.crc32(ids), ids), strict=False):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            docs = batch["doc_id"].to_pylist()
+            for first, last, data, bounds in slices(batch["text"], SLICE_BYTES):
+                out: list[list] = [[] for _ in schema]
+                found, counts = known.encode_texts(data, bounds)
+                ends = np.cumsum(counts)
+                raw, ends = np.insert(found, ends, end_id).tobytes(), (4 * (ends + np.arange(1, len(ends) + 1))).tolist()
+                for doc, begin, end in zip(docs[first:last], [0, *ends[:-1]], ends, strict=True):
+                    for k, a in enumerate(range(begin, end, width)):
+                        ids = raw[a : min(a + width, end)]
+                        for column, value in zip(out, (doc, k, (a - begin) // 4, len(ids) // 4, zlib.crc32(ids), ids), strict=False):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).filter("doc_id is not null")
     return docs.mapInArrow(encode, _PIECES + (", ids binary" if with_ids else ""))

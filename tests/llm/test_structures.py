@@ -6,12 +6,14 @@ import brute
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from adlake.llm import packing, queries, spelling, trie
+from adlake.llm.text import slices
 from adlake.session import materialize
 
 
@@ -63,6 +65,23 @@ def test_words_equal_the_tokenizer(tokenizer):
         assert np.frombuffer(ids.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_slices_of_texts_equal_the_tokenizer(tokenizer, monkeypatch):
+    """Many texts at once, cut into chunks: two calls of the tokenizer a chunk for plain words and others."""
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 4000)
+    known, calls = packing.WordIds(public_tokenizers.path(packing.TOKENIZER)), []
+    monkeypatch.setattr(known, "_ids", lambda texts, ids=known._ids: calls.append(len(texts)) or ids(texts))
+    rng = np.random.default_rng(9)
+    parts = [*"abZ'smtdlvreÀßÿ \n\t9.,<|", "'ll", "'S", "it's ", " don't, ", "''re've", "'", " \xd7", "é", "日本", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(600)] + ["", " ", brute.prose("slice", 3000), "x"]
+    column = pa.array([None, *(t.encode() for t in texts), b"\xc3 \xa9 \xc3", b"\xa9"], pa.binary())
+    (_, _, data, bounds), = slices(column, 1 << 24)
+    ids, counts = known.encode_texts(data, bounds)
+    ends = np.cumsum(counts)
+    expected = [tokenizer.encode((x.as_py() or b"").decode("utf-8", "replace"), add_special_tokens=False).ids for x in column]
+    assert [ids[a:b].tolist() for a, b in zip(ends - counts, ends, strict=True)] == expected
+    assert len(calls) <= 2 * (len(data) // 4000 + 1)
+
+
 def test_words_are_forgotten(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
     monkeypatch.setattr(packing, "KNOWN_PARTS", 2)
