@@ -18,7 +18,7 @@ import re
 import sys
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import compress, filterfalse
+from itertools import compress
 from types import ModuleType
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.text import LOWER, WHITE, slices, words
+from adlake.llm.text import LOWER, WHITE, gathered, looked_up, pieces_of, slices, strings, words
 from adlake.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -89,7 +89,7 @@ class WordIds:
         at = np.flatnonzero(self.ends[ids]) + 1
         if len(at) != len(new) or at[-1] != len(ids):
             raise ValueError("the tokenizer cuts parts of words further")
-        self.parts.update(zip(new, _cut(ids.tobytes(), 4 * at), strict=True))
+        self.parts.update(zip(new, pieces_of(ids.tobytes(), 4 * at), strict=True))
 
     def _learn(self, new: list[bytes]) -> None:
         """Ids of words not known yet."""
@@ -104,13 +104,10 @@ class WordIds:
         sizes = np.diff(ends, prepend=0)
         data, ends = data[np.repeat(plain, sizes)], np.cumsum(sizes[plain])
         data, starts = _parts(data, ends)
-        distinct, of = _encoded(data, np.append(starts, len(data)))
-        unknown = list(filterfalse(self.parts.__contains__, distinct))
-        if unknown:
-            self._learn_parts(unknown)
-        ids, counts = _gathered(list(map(self.parts.__getitem__, distinct)), of)
+        distinct, of = strings(data, np.append(starts, len(data)))
+        ids, counts = gathered(looked_up(self.parts, distinct, self._learn_parts), of, "<u4")
         at = np.cumsum(counts)[np.searchsorted(starts, ends) - 1]
-        self.words.update(zip(compress(new, plain.tolist()), _cut(ids.tobytes(), 4 * at), strict=True))
+        self.words.update(zip(compress(new, plain.tolist()), pieces_of(ids.tobytes(), 4 * at), strict=True))
 
     def encode_texts(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice one after another, and the number of ids of each; a long one goes through in chunks that end before white space."""
@@ -127,11 +124,8 @@ class WordIds:
                 self.words.clear()
             if len(self.parts) > KNOWN_PARTS:
                 self.parts.clear()
-            distinct, of = _encoded(chunk[~WHITE[chunk]], np.append(0, np.cumsum(ends - starts)))
-            new = list(filterfalse(self.words.__contains__, distinct))
-            if new:
-                self._learn(new)
-            ids, counts = _gathered(list(map(self.words.__getitem__, distinct)), of)
+            distinct, of = strings(chunk[~WHITE[chunk]], np.append(0, np.cumsum(ends - starts)))
+            ids, counts = gathered(looked_up(self.words, distinct, self._learn), of, "<u4")
             found.append(ids)
             n_ids += np.bincount(rows, counts, minlength=len(n_ids)).astype(np.int64)
         return np.concatenate([np.zeros(0, "<u4"), *found]), n_ids
@@ -141,28 +135,6 @@ class WordIds:
         return self.encode_texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0].tobytes()
 
 
-def _encoded(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Distinct strings of those that data holds one after another, and which of them each is."""
-    column = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
-    coded = column.dictionary_encode()
-    _, ends, raw = coded.dictionary.buffers()
-    return _cut(raw.to_pybytes(), np.frombuffer(ends, np.int64)[1 : len(coded.dictionary) + 1]), coded.indices.to_numpy()
-
-
-def _gathered(known: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of every string one after another, by which of the known it is, and the number of ids of each."""
-    pool = np.frombuffer(b"".join(known), "<u4")
-    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-    counts = sizes[of]
-    shifts = (np.cumsum(sizes) - sizes)[of] - (np.cumsum(counts) - counts)
-    return pool[np.repeat(shifts, counts) + np.arange(counts.sum())], counts
-
-
-def _cut(raw: bytes, ends: np.ndarray) -> list[bytes]:
-    ends = ends.tolist()
-    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-
 def _plain(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which words are of ! to ~ and of U+00C0 to U+00FF but for the two signs there, without the begin of a special token."""
     starts = np.append(0, ends[:-1])

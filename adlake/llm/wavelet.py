@@ -13,10 +13,12 @@ the output of lost or repeated tasks away.
 from __future__ import annotations
 
 import os
+import string
 import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 from types import ModuleType
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.text import CODES, Fingerprints, distinct, slices
+from adlake.llm.text import distinct, gathered, looked_up, pieces_of, slices, strings
 from adlake.llm.units import text_bytes
 from adlake.session import shared_folder
 
@@ -35,7 +37,9 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 RANGE_BYTES = 16 << 20
 BLOCK_BITS = 512
-#: Texts are handed to the tokenizer in runs of about so many bytes.
+#: Texts are encoded, and shards end, after runs of about so many bytes.
+SLICE_BYTES = 1 << 21
+#: Pieces are handed to the tokenizer in runs of about so many bytes.
 RUN_BYTES = 1 << 16
 #: Pieces of text whose ids a worker remembers.
 MEMORY_PIECES = 3 << 18
@@ -57,16 +61,16 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        n, ids = len(ids), ids.astype(np.uint32)
+        n, ids = len(ids), ids.astype(np.uint16 if bits <= 16 else np.uint32)
         width = -(-n // BLOCK_BITS) * BLOCK_BITS // 8
         planes, ranks, zeros = np.zeros((bits, width), np.uint8), [], np.zeros(bits, np.int64)
         for level in range(bits):
-            ones = (ids >> np.uint32(bits - 1 - level)) & np.uint32(1) == 1
+            ones = ids & ids.dtype.type(1 << (bits - 1 - level)) != 0
             packed = np.packbits(ones, bitorder="little")
             planes[level, : len(packed)] = packed
             counts = np.bitwise_count(planes[level].view(np.uint64)).reshape(-1, BLOCK_BITS // 64).sum(axis=1, dtype=np.int64)
             ranks.append(np.cumsum(counts) - counts)
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            ids = np.concatenate([ids.compress(~ones), ids.compress(ones)])
             zeros[level] = n - int(counts.sum())
         return cls(n, planes, np.array(ranks, np.uint32).reshape(bits, -1), zeros)
 
@@ -161,83 +165,58 @@ def worker_encoder(path: str) -> Encoder:
 class Encoder:
     """Token ids of texts, each distinct piece of text encoded once.
 
-    The tokenizer never joins text across a white space that follows other text, so ids of a text
-    are those of its pieces, cut before such white space. Pieces are known by a 64-bit hash.
+    The tokenizer never joins text across a white space that follows other text, nor a letter with a sign that follows
+    it, so ids of a text are those of its pieces, cut before such white space and such signs.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.rolling = Tokenizer.from_file(path), Fingerprints()
+        self.tokenizer = Tokenizer.from_file(path)
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(added[i].encode()) if i in added else len(token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool: list[np.ndarray] = []
-        self.pooled = 0
+        self.kind = "<u2" if len(self.sizes) <= 1 << 16 else "<u4"
+        self.signs = np.zeros(256, bool)  # that no special token holds
+        self.signs[[ord(c) for c in set(string.punctuation).difference(*added.values())]] = True
+        self.known: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint16 if len(self.sizes) <= 1 << 16 else np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, raw: bytes, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Ids of new pieces. Pieces that begin with a white space and end without one are encoded in runs, others alone."""
-        data = np.frombuffer(raw, np.uint8)
-        plain = np.isin(data[first], (0x20, 0x0A)) & _safe_ends(data, last)
-        ids, counts = [], np.zeros(len(first), np.int64)
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        sizes = (last - first)[order]
-        many = int(plain.sum())
-        run = np.cumsum(sizes[:many]) // RUN_BYTES
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        data, last = np.frombuffer(b"".join(new), np.uint8), np.cumsum(sizes)
+        plain = np.isin(data[last - sizes], (0x20, 0x0A)) & _safe_ends(data, last)
+        alone, many, sizes = [new[k] for k in np.flatnonzero(~plain)], list(compress(new, plain.tolist())), sizes[plain]
+        run = np.cumsum(sizes) // RUN_BYTES
         edges = np.flatnonzero(np.diff(run, prepend=-1)).tolist()  # none where no piece is plain
-        for a, b in zip(edges, [*edges[1:], many][: len(edges)], strict=True):
-            own = order[a:b]
-            found = self._encode([b"".join(raw[x:y] for x, y in zip(first[own].tolist(), last[own].tolist(), strict=True)).decode()])[0]
+        for a, b in zip(edges, [*edges[1:], len(many)][: len(edges)], strict=True):
+            found = self._encode([b"".join(many[a:b]).decode()])[0]
             ends, wanted = np.cumsum(self.sizes[found]), np.cumsum(sizes[a:b])
             at = np.searchsorted(ends, wanted)
             if at[-1] != len(found) - 1 or (ends[at] != wanted).any():
                 raise ValueError("the tokenizer joins text across white space")
-            ids.append(found)
-            counts[own] = np.diff(at, prepend=-1)
-        for k in order[many:].tolist():
-            found = self._encode([raw[first[k] : last[k]].decode()])[0]
-            ids.append(found)
-            counts[k] = len(found)
-        starts = np.zeros(len(first), np.int64)
-        starts[order] = self.pooled + np.cumsum(counts[order]) - counts[order]
-        self.pool.extend(ids)
-        self.pooled += int(counts.sum())
-        known = np.concatenate([self.known, hashes])
-        place = np.argsort(known, kind="stable")
-        self.known = known[place]
-        self.starts, self.counts = (np.concatenate([old, new])[place] for old, new in ((self.starts, starts), (self.counts, counts)))
-        self.pool = [np.concatenate(self.pool)]
+            self.known.update(zip(many[a:b], pieces_of(found.tobytes(), found.itemsize * (at + 1)), strict=True))
+        self.known.update(zip(alone, (x.tobytes() for x in self._encode([piece.decode() for piece in alone])), strict=True))
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice one after another, and the number of ids of each text."""
         n = len(bounds) - 1
         if not len(data):
-            return np.zeros(0, np.uint16), np.zeros(n, np.int64)
-        white = (data[1:] == 0x20) | (data[1:] == 0x0A)
-        cuts = np.flatnonzero(white & _safe_ends(data, np.arange(1, len(data)))) + 1
-        first = distinct(np.concatenate([bounds[:-1][np.diff(bounds) > 0], cuts]))
-        last = np.append(first[1:], len(data))
-        hashes = self.rolling.ranges(self.rolling.prefix(CODES[data]), first, last)
-        pieces, at, of = np.unique(hashes, return_index=True, return_inverse=True)
+            return np.zeros(0, self.kind), np.zeros(n, np.int64)
+        white = np.flatnonzero((data[1:] == 0x20) | (data[1:] == 0x0A)) + 1
+        signs = np.flatnonzero(self.signs[data[1:]]) + 1
+        first = distinct(np.concatenate([bounds[:-1][np.diff(bounds) > 0], white[_safe_ends(data, white)], signs[_letter_ends(data, signs)]]))
+        pieces, of = strings(data, np.append(first, len(data)))
         if len(self.known) > MEMORY_PIECES:
-            self._forget()
-        new = ~np.isin(pieces, self.known, assume_unique=True)
-        if new.any():
-            self._learn(data.tobytes(), pieces[new], first[at[new]], last[at[new]])
-        place = np.searchsorted(self.known, pieces)
-        starts, counts = self.starts[place][of], self.counts[place][of]
-        steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            self.known.clear()
+        ids, counts = gathered(looked_up(self.known, pieces, self._learn), of, self.kind)
         rows = np.searchsorted(bounds, first, "right") - 1
-        return self.pool[0][np.repeat(starts, counts) + steps], np.bincount(rows, counts, minlength=n).astype(np.int64)
+        return ids, np.bincount(rows, counts, minlength=n).astype(np.int64)
 
 
 def _safe_ends(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -246,6 +225,12 @@ def _safe_ends(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return ((one > 0x20) & (one < 0x7F)) | ((one >= 0x80) & (two >= 0xC3) & (two <= 0xDF) & (ends >= 2))
 
 
+def _letter_ends(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether the character before each end is surely a letter: A to Z in either case, or U+00C0 to U+00FF but for the two signs there."""
+    one, two = data[ends - 1], data[np.maximum(ends - 2, 0)]
+    return ((one | 0x20) - np.uint8(0x61) < 26) | ((one >= 0x80) & (two == 0xC3) & (one != 0x97) & (one != 0xB7) & (ends >= 2))
+
+
 def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """A row per shard. Tasks hold ranges of ascending doc_id and cut them into shards of whole documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("doc_id is not null")
@@ -264,7 +249,7 @@ def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_
             encoder = encoder or worker_encoder(tokenizer)
             bits = max(1, int(max(len(encoder.sizes) - 1, end_id)).bit_length())
             keys = batch["doc_id"].to_numpy().astype(np.int64)
-            for first, last, data, bounds in slices(batch["text"]):
+            for first, last, data, bounds in slices(batch["text"], SLICE_BYTES):
                 found, counts = encoder.encode(data, bounds)
                 ends = np.cumsum(counts)
                 ids.append(np.insert(found.astype(np.uint32), ends, end_id))

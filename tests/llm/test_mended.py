@@ -42,6 +42,18 @@ def test_warm_encoders_encode_any_slice(texts):
         assert encoded(encoder, [text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
 
 
+def test_words_before_signs_are_encoded_once():
+    """A word is one piece whatever sign follows it, and ids stay the tokenizer's where a cut would be wrong."""
+    path = public_tokenizers.path(wavelet.TOKENIZER)
+    encoder, tokenizer = wavelet.Encoder(path), Tokenizer.from_file(path)
+    words, signs = [f"word{'x' * k}é" for k in range(20)], "!#$%&()*+,-./:;=?@"
+    texts = [f"a {word}{sign} b" for word in words for sign in signs]
+    odd = ["<|endoftext|>", "a<|endoftext|>,b", "<|endof,text|>", "it's 'S ''s, x's.", "\xd7, \xf7. a\xd7, 1, é, e\u0301, ª,", "a|b>c<d", "Ω, ж. 日,"]
+    assert encoded(encoder, texts + odd) == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts + odd]
+    encoder.known.clear()
+    assert encoded(encoder, texts) and len(encoder.known) == len(words) + len(signs) + 2
+
+
 def test_numbers_are_no_letters(spark):
     docs = [(3 * k, f"the words of it and more {k}", "en") for k in range(9)] + [(101, "½ ² ① 12", "en"), (102, "é", "en"), (103, "_ 7", "en"), (104, "½ a", None), (105, "日", None)]
     found = {r.doc_id: r.lang_pred for r in language.predicted_languages(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
