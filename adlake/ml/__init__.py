@@ -1 +1,10 @@
-"""Feature preparation, training and scoring of spend models."""
+"""Feature preparation, training and scoring of spend models.
+
+Tasks get the functions of this package by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,14 +9,19 @@ apart from zeros by a mark of their own, so every fold is filled with values lea
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adlake.ml.blocks import Rows
+
+#: Rows of one product, few enough that it stays in the task's own thread.
+SLICE_ROWS = 256
 #: A standard deviation below this part of the mean counts as none.
 FLAT = 1e-9
 
@@ -60,20 +65,53 @@ def number(frame: DataFrame, name: str) -> Column:
 
 
 def fold_moments(frame: DataFrame, design: Design, target: str, fold: str) -> dict[int, np.ndarray]:
-    """Per fold the sums of products of all pairs of the design's columns; one pass, one row a fold to the driver."""
+    """Per fold the sums of products of all pairs of the design's columns; one pass, one row a fold and task to the driver."""
     columns = design.columns(frame, target)
     size = len(columns)
-    names = [f"_z{i}" for i in range(size)]
-    rows = frame.select(F.col(fold).alias("_fold"), *[c.alias(n) for c, n in zip(columns, names, strict=True)])
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    found = rows.groupBy("_fold").agg(F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).alias("sums"))
-    moments = {}
-    for row in found.collect():
-        sums = np.zeros((size, size))
-        for (i, j), value in zip(pairs, row["sums"], strict=True):
-            sums[i, j] = sums[j, i] = value
-        moments[row["_fold"]] = sums
-    return moments
+    known = F.coalesce(columns[-1], F.lit(0.0))  # a missing target adds nothing
+    rows = frame.select(F.col(fold).cast("int").alias("_fold"), *[c.alias(f"_z{i}") for i, c in enumerate([*columns[:-1], known])])
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            folds, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield np.column_stack(values), folds
+
+    return _products(rows, tables, size)
+
+
+def block_moments(rows: Rows, design: Design) -> dict[int, np.ndarray]:
+    """The moments of :func:`fold_moments` of rows in blocks, whose categories are numbered in the order of the design's labels."""
+    missing = [list(rows.numbers).index(c) for c in design.missing]
+    counts, read, size = [len(v) for v in design.labels.values()], rows.reader(), design.width + 2
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for numbers, categories, target, folds in read(batches):
+            gaps = [np.isnan(numbers[i]) for i in missing]
+            filled = list(numbers)
+            for i, gap in zip(missing, gaps, strict=True):
+                filled[i] = np.where(gap, 0.0, numbers[i])
+            hot = [named == label for named, count in zip(categories, counts, strict=True) for label in range(count)]
+            yield np.array([*filled, *gaps, *hot, np.ones(len(target)), target]).T, folds
+
+    return _products(rows.table, tables, size)
+
+
+def _products(frame: DataFrame, tables: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]], size: int) -> dict[int, np.ndarray]:
+    """Sums of products of all pairs of columns by fold, of what the frame's batches hold as tables and folds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for table, folds in tables(batches):
+            for k in np.unique(folds).tolist():
+                part = table[folds == k]
+                for a in range(0, len(part), SLICE_ROWS):
+                    found[k] = found.get(k, 0.0) + part[a : a + SLICE_ROWS].T @ part[a : a + SLICE_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([m.tobytes() for m in found.values()], pa.binary())], ["fold", "sums"])
+
+    moments: dict[int, np.ndarray] = {}
+    for row in frame.mapInArrow(run, "fold int, sums binary").collect():
+        moments[row["fold"]] = moments.get(row["fold"], 0.0) + np.frombuffer(row["sums"]).reshape(size, size)
+    return dict(sorted(moments.items()))
 
 
 def solve(moments: np.ndarray, strength: float) -> np.ndarray:

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import PREDICTION, TRAINING_SEED
+from adlake.ml import trees
+from adlake.ml.blocks import BLOCKS_AT_ONCE, Rows, rows_of
 from adlake.ml.features import DATETIME, DateState, Fill, fit_dates, fit_impute, hash_share
-from adlake.ml.ridge import Design, fold_errors, fold_moments, number
-from adlake.session import materialize
+from adlake.ml.ridge import Design, block_moments, fold_errors, number
+from adlake.session import OPEN_FILES, OPEN_FILES_SETTING, materialize, setting
 from adlake.sources.tables import TableStore
 
 LABEL = "_label"
@@ -170,7 +175,8 @@ def train(
     A grid of more than `trials` candidates is refused, as leaving some out would choose in silence. Rows without a target are
     left out. Folds are set by row hash, so a recomputed partition keeps its fold. What a fold is predicted with, fills and
     categories included, is learnt from the other folds alone. Ridge candidates over few enough columns are compared by
-    statistics of the folds, which one pass gathers for all of them; other candidates are fitted for each fold.
+    statistics of the folds, which one pass gathers for all of them; other candidates are fitted for each fold, forests and
+    boosted trees of usual parameters by :mod:`adlake.ml.trees`.
 
     dates_along: columns of groups and of the order within them, along which gaps in date-time inputs take the last known
     value; the most frequent value fills what is left. These columns are inputs only where they are categories. A row's
@@ -187,7 +193,8 @@ def train(
     labelled = rows.withColumns({LABEL: F.col(target).cast("double"), "_fold": hash_share(frame.columns, seed, folds).cast("int")})
     labelled = materialize(labelled.select(*inputs, LABEL, "_fold"), "labelled")
     given = labelled.select(*inputs)
-    prepared = preparation(given, categorical, fit_impute(given.select(*numeric))).fit(given)
+    known_fills = fit_impute(given.select(*numeric))
+    prepared = preparation(given, categorical, known_fills).fit(given)
 
     pipeline = Pipeline(stages=[])
     candidates = grid(pipeline, seed, max(32, widest_category(prepared)))
@@ -195,40 +202,70 @@ def train(
         raise ValueError(f"{len(candidates)} candidates for at most {trials} trials")
     estimators = [c[pipeline.stages][-1] for c in candidates]
     strengths = [_plain_ridge(c, e) for c, e in zip(candidates, estimators, strict=True)]
-    design = design_of(labelled, inputs, categorical)
+    design = Design(numeric, dict(zip(categorical, _labels(prepared), strict=True)), _with_gaps(labelled, numeric))
     by_sums = {i: s for i, s in enumerate(strengths) if s is not None and metric == "rmse" and design.width <= WIDEST_DESIGN}
     learnt = {k: _fold_fills(labelled, k, numeric, design.missing, len(by_sums) < len(candidates)) for k in range(folds)}
 
     measured: dict[int, list[float]] = {i: [] for i in range(len(candidates))}
-    if by_sums:
-        moments = fold_moments(labelled, design, LABEL, "_fold")
-        fills = {k: {f.column: _as_number(f.value) for f in learnt[k] if f.column in design.missing} for k in learnt}
-        for strength, _, _, error in fold_errors(moments, design, sorted(set(by_sums.values())), fills):
-            for i in (i for i, s in by_sums.items() if s == strength):
-                measured[i].append(error)
     others = [i for i in measured if i not in by_sums]
-    if others:
+    asked = {i: trees.growth(estimators[i], _own(candidates[i], estimators[i])) for i in others}
+    asked = {i: g for i, g in asked.items() if g and metric == "rmse" and _vectors(candidates, estimators, [i]) == ["_features"]}
+    fitted = [i for i in others if i not in asked]
+    if by_sums or asked:
+        numbers, indexed = {c: number(labelled, c) for c in numeric}, {c: F.col(f"_i_{c}") for c in categorical}
+        packed = rows_of(prepared.transform(labelled), numbers, indexed, F.col(LABEL), F.col("_fold"))
+    with setting(frame.sparkSession, *BLOCKS_AT_ONCE):
+        if by_sums:
+            moments = block_moments(packed, design)
+            fills = {k: {f.column: _as_number(f.value) for f in learnt[k] if f.column in design.missing} for k in learnt}
+            for strength, _, _, error in fold_errors(moments, design, sorted(set(by_sums.values())), fills):
+                for i in (i for i, s in by_sums.items() if s == strength):
+                    measured[i].append(error)
         evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName=metric)
-        for k, fold_fills in learnt.items():
-            known = labelled.filter(F.col("_fold") != k)
-            stages = preparation(given, categorical, fold_fills).fit(known)
-            ready = materialize(stages.transform(labelled).select(*_vectors(candidates, estimators, others), LABEL, "_fold"), "features")
-
-            def error(i: int, ready: DataFrame = ready, k: int = k) -> float:
-                fitted = estimators[i].fit(ready.filter(F.col("_fold") != k), _own(candidates[i], estimators[i]))
-                return float(evaluator.evaluate(fitted.transform(ready.filter(F.col("_fold") == k))))
-
-            with ThreadPoolExecutor(parallelism) as pool:
-                for i, value in zip(others, pool.map(error, others), strict=True):
+        sizes = {r["_fold"]: r["count"] for r in labelled.groupBy("_fold").count().collect()} if asked else {}
+
+        def fold_work(k: int) -> list[tuple[int, Callable[[], float]]]:
+            """The fits that a fold needs, over rows prepared for it."""
+            stages = preparation(given, categorical, learnt[k]).fit(labelled.filter(F.col("_fold") != k))
+            work = []
+            for bins in dict.fromkeys(g.bins for g in asked.values()):
+                count = sum(n for f, n in sizes.items() if f != k)
+                coding, blocks = _coded(packed, design, labelled.filter(F.col("_fold") != k), count, stages, learnt[k], bins, seed, k)
+
+                def grown_error(i: int, coding: trees.Coding = coding, blocks: DataFrame = blocks) -> float:
+                    grown = trees.grow(blocks.filter("NOT held"), coding, asked[i])
+                    rows, error = trees.squared_error(blocks.filter("held"), coding, grown)
+                    return math.sqrt(error / rows) if rows else math.nan
+
+                work += [(i, partial(grown_error, i)) for i, g in asked.items() if g.bins == bins]
+            if fitted:
+                ready = materialize(stages.transform(labelled).select(*_vectors(candidates, estimators, fitted), LABEL, "_fold"), "features")
+
+                def fitted_error(i: int) -> float:
+                    model = estimators[i].fit(ready.filter(F.col("_fold") != k), _own(candidates[i], estimators[i]))
+                    return float(evaluator.evaluate(model.transform(ready.filter(F.col("_fold") == k))))
+
+                work += [(i, partial(fitted_error, i)) for i in fitted]
+            return work
+
+        if others:
+            with ThreadPoolExecutor(parallelism) as pool, setting(frame.sparkSession, OPEN_FILES_SETTING, OPEN_FILES):
+                work = [w for fold in pool.map(fold_work, learnt) for w in fold]
+                for (i, _), value in zip(work, pool.map(lambda w: w[1](), work), strict=True):
                     measured[i].append(value)
 
-    averages = [sum(measured[i]) / len(measured[i]) for i in range(len(candidates))]
-    larger = RegressionEvaluator(metricName=metric).isLargerBetter()
-    chosen = averages.index(max(averages) if larger else min(averages))
-    found = [(i, type(e).__name__, m, i == chosen) for i, (e, m) in enumerate(zip(estimators, averages, strict=True))]
-    metrics = frame.sparkSession.createDataFrame(found, f"trial int, estimator string, {metric} double, best boolean")
-    ready = materialize(prepared.transform(labelled).select(*_vectors(candidates, estimators, [chosen]), LABEL), "features")
-    best = estimators[chosen].fit(ready, _own(candidates[chosen], estimators[chosen]))
+        averages = [sum(measured[i]) / len(measured[i]) for i in range(len(candidates))]
+        larger = RegressionEvaluator(metricName=metric).isLargerBetter()
+        chosen = averages.index(max(averages) if larger else min(averages))
+        found = [(i, type(e).__name__, m, i == chosen) for i, (e, m) in enumerate(zip(estimators, averages, strict=True))]
+        metrics = frame.sparkSession.createDataFrame(found, f"trial int, estimator string, {metric} double, best boolean")
+        own = _own(candidates[chosen], estimators[chosen])
+        if chosen in asked:
+            coding, blocks = _coded(packed, design, labelled, sum(sizes.values()), prepared, known_fills, asked[chosen].bins, seed)
+            best = trees.as_model(trees.grow(blocks, coding, asked[chosen]), coding, estimators[chosen].copy(own))
+        else:
+            ready = materialize(prepared.transform(labelled).select(*_vectors(candidates, estimators, [chosen]), LABEL), "features")
+            best = estimators[chosen].fit(ready, own)
     return Trained(PipelineModel([*prepared.stages, best]), signature_of(frame, inputs), metrics, dates)
 
 
@@ -241,6 +278,27 @@ def _vectors(candidates: Sequence[Mapping], estimators: Sequence, wanted: Sequen
     return list(dict.fromkeys(_own(candidates[i], estimators[i]).get(estimators[i].featuresCol, estimators[i].getFeaturesCol()) for i in wanted))
 
 
+def _labels(prepared: PipelineModel) -> list[Sequence[str]]:
+    """The values of each category, in the order of their numbers."""
+    return [labels for s in prepared.stages if isinstance(s, StringIndexerModel) for labels in s.labelsArray]
+
+
+def _with_gaps(frame: DataFrame, numbers: Sequence[str]) -> list[str]:
+    seen = frame.agg(F.count("*").alias("_rows"), *[F.count(number(frame, c)).alias(f"n_{c}") for c in numbers]).first()
+    return [c for c in numbers if seen[f"n_{c}"] < seen["_rows"]]
+
+
+def _coded(
+    rows: Rows, design: Design, known: DataFrame, count: int, prepared: PipelineModel, fills: Sequence[Fill], bins: int, seed: int, held: int | None = None
+) -> tuple[trees.Coding, DataFrame]:
+    """Rows as codes, set by the known ones alone. design: has the labels of the rows' categories in the order of their numbers."""
+    own = [{v: i for i, v in enumerate(found)} for found in _labels(prepared)]
+    orders = [np.array([*(at.get(v, len(at)) for v in design.labels[c]), len(at)], np.int32) for c, at in zip(rows.categories, own, strict=True)]
+    edges = trees.sampled_edges(prepared.transform(known), [f"_f_{c}" for c in rows.numbers], count, bins, seed)
+    coding = trees.coding_of([*edges, *(len(at) + 1 for at in own)])
+    return coding, trees.coded(rows, coding, {f.column: _as_number(f.value) for f in fills if f.column in design.missing}, orders, held)
+
+
 def _fold_fills(labelled: DataFrame, fold: int, numeric: Sequence[str], missing: Sequence[str], every: bool) -> list[Fill]:
     """Fill values of the rows outside a fold; of all columns only where a model is fitted on them, else of those with gaps."""
     columns = list(numeric) if every else list(missing)

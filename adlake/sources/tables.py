@@ -5,19 +5,17 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.fixed import BATCH_STAMP_FORMAT
+from adlake.session import OPEN_FILES, OPEN_FILES_SETTING, setting
 
 _VERSION, _METRIC = "adlake.table", "adlake.metric."
 ROWS = "rows"
-#: Files that a task of a partitioned write holds open at once. Only rows of further partitions are sorted first.
-OPEN_FILES = 16
 
 
 class CheckFailed(ValueError):
@@ -83,7 +81,7 @@ class TableStore:
         version = f"{table}__{uuid.uuid4().hex[:12]}"
         counted = {ROWS: "count(*)", **(metrics or {})}
         observed, found = _observed(frame, counted)
-        with _setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES if partition_by else 0):
+        with setting(self.spark, OPEN_FILES_SETTING, OPEN_FILES if partition_by else 0):
             observed.write.format("parquet").option("compression", "zstd").partitionBy(*partition_by).saveAsTable(f"{schema}.{version}")
         values = found.get
         problems = [f"{n} is {values[n]}, not {v}" for n, v in (expected or {}).items() if values[n] != v]
@@ -138,17 +136,6 @@ class TableStore:
         return self.spark.table(self.table(name))
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
-    """A setting of the session for the time of a write."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(value))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _observed(frame: DataFrame, metrics: Mapping[str, str]) -> tuple[DataFrame, Observation]:
     """The frame with counts that its next run finds on the side."""
     found = Observation()
