@@ -44,15 +44,20 @@ def drop_null_columns(frame: DataFrame) -> DataFrame:
     return frame.select(*[F.col(f"`{c}`") for c in frame.columns if filled[c]])
 
 
-def feature_frame(frame: DataFrame, categorical: Sequence[str] = ()) -> DataFrame:
+def feature_columns(frame: DataFrame, categorical: Sequence[str] = ()) -> list[Column]:
     """Numeric and date-time columns plus the categories asked for; decimals as double."""
     chosen = []
-    for f in drop_null_columns(frame).schema:
+    for f in frame.schema:
         if isinstance(f.dataType, T.DecimalType):
-            chosen.append(F.col(f.name).cast("double").alias(f.name))
+            chosen.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
         elif isinstance(f.dataType, (T.NumericType, *DATETIME)) or f.name in categorical:
-            chosen.append(F.col(f.name))
-    return frame.select(*chosen)
+            chosen.append(F.col(f"`{f.name}`"))
+    return chosen
+
+
+def feature_frame(frame: DataFrame, categorical: Sequence[str] = ()) -> DataFrame:
+    """The feature columns that hold a value."""
+    return drop_null_columns(frame.select(*feature_columns(frame, categorical)))
 
 
 def adjusted_skewness(column: str) -> Column:
@@ -229,8 +234,12 @@ def hash_share(keys: Sequence[str], seed: int, parts: int = 100) -> Column:
     return F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(parts))
 
 
+def hash_below(keys: Sequence[str], fraction: float, seed: int) -> Column:
+    """Whether a row is in the part of the rows that its key's hash puts first."""
+    return hash_share(keys, seed, 10_000) < int(fraction * 10_000)
+
+
 def hash_split(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by key hash: the same rows whatever the partitioning."""
-    share = hash_share(keys, seed, 10_000)
-    edge = int(fraction * 10_000)
-    return frame.filter(share < edge), frame.filter(share >= edge)
+    below = hash_below(keys, fraction, seed)
+    return frame.filter(below), frame.filter(~below)

@@ -19,7 +19,7 @@ from adlake.plans import reports
 from adlake.plans.lake import PLAN, Lake, lake
 from adlake.plans.medallion import AUDIT, GOLD, REJECTS, Medallion, insert_movement
 from adlake.plans.semantic import Between, Having, Members, Model
-from adlake.session import materialize, shared_folder
+from adlake.session import OPEN_FILES, OPEN_FILES_SETTING, materialize, setting, shared_folder
 from adlake.sources.records import coerce, explode_records, landed_files, parse_records, select_or_null
 from adlake.sources.records import typed_catalog as records_to_catalog
 from adlake.sources.scan import scan
@@ -575,10 +575,13 @@ CATEGORICAL = ["source_system", "region"]
 
 
 def split_rows(at: Lake) -> tuple[DataFrame, DataFrame]:
-    """Train and test features: silver split by its grain, each written once."""
+    """Train and test features: silver split by its grain, written once, in a folder each."""
     if at not in _SPLIT:
-        parts = features.hash_split(at.silver, GRAIN, 0.8, TRAINING_SEED)
-        _SPLIT[at] = tuple(materialize(features.feature_frame(p, categorical=CATEGORICAL), "split") for p in parts)
+        marked = at.silver.withColumn("_train", features.hash_below(GRAIN, 0.8, TRAINING_SEED))
+        wanted = features.feature_columns(at.silver, CATEGORICAL)
+        with setting(at.spark, OPEN_FILES_SETTING, OPEN_FILES):
+            rows = materialize(marked.select(*wanted, "_train"), "split", ["_train"])
+        _SPLIT[at] = tuple(features.drop_null_columns(rows.filter(part).drop("_train")) for part in ("_train", "NOT _train"))
     return _SPLIT[at]
 
 
