@@ -28,9 +28,9 @@ CODE_BITS = 10
 DEEPEST = 8
 SAMPLE_ROWS = 10_000
 #: Sums of one pass in a task; trees of a forest that need more take several passes.
-PASS_BYTES = 256 << 20
+PASS_BYTES = 64 << 20
 #: Sums of all tasks that the driver adds up; more are added in tasks first.
-GATHERED_BYTES = 64 << 20
+GATHERED_BYTES = 16 << 20
 PIECE = 1 << 17
 #: Part of the squared mean below which a gain is rounding.
 ROUNDING = 1e-18
